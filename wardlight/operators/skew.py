@@ -35,15 +35,17 @@ def salted_join(
     share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Inner or left join; rows of hot left keys are spread over `salts` tasks.
 
-    Only the right rows of hot keys are repeated, so the extra volume is (hot keys) x salts rows.
+    Only the right rows of hot keys are repeated, so the extra volume is (hot keys) x salts rows. A
+    caller that knows the number of left rows passes it: below min_rows no key can be hot.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left")
     on = list(on)
-    hot = hot_keys(left, on, share, min_rows)
+    hot = [] if rows is not None and rows < min_rows else hot_keys(left, on, share, min_rows)
     if not hot:
         return left.join(right, on, how)
     is_hot = F.xxhash64(*on).isin(hot)
