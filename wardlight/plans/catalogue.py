@@ -9,17 +9,22 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import aggregates as A
 from ..operators import clean as C
+from ..operators import clusters as K
 from ..operators import dedupe as D
 from ..operators import enrich as E
+from ..operators import forest as R
 from ..operators import labels as L
 from ..operators import metrics as M
+from ..operators import resampling as B
 from ..operators import sampling as P
+from . import dashboard as V
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -608,3 +613,130 @@ def multilabel_metrics(t):
         (F.col("l_discount") > 0.05).cast("int").alias("p0"), (F.col("l_tax") > 0.04).cast("int").alias("p1"),
     )
     return rounded(M.multilabel_metrics(flags, ["y0", "y1"], ["p0", "p1"]))
+
+
+# --- clusters ----------------------------------------------------------------------------------------------------
+
+CLUSTER_SQL = f"""WITH RECURSIVE s AS MATERIALIZED (SELECT o_orderkey, o_orderstatus, round(longitude * 10000)::INT AS x, round(latitude * 10000)::INT AS y FROM {ORDER_SITES}),
+p AS MATERIALIZED (SELECT x, y, min(o_orderkey) AS id FROM s GROUP BY ALL),
+o AS (SELECT i::INT AS dx, j::INT AS dy FROM range(-8, 9) a(i), range(-8, 9) b(j) WHERE i * i + j * j <= 64 AND (i <> 0 OR j <> 0)),
+e AS MATERIALIZED (SELECT a.id AS u, b.id AS v FROM p a, o, p b WHERE b.x = a.x + o.dx AND b.y = a.y + o.dy),
+c(id, root) USING KEY (id) AS (SELECT id, id FROM p UNION
+  (SELECT e.u, min(c.root) FROM c JOIN e ON e.v = c.id JOIN recurring.c AS r ON r.id = e.u WHERE c.root < r.root GROUP BY e.u)),
+d AS (SELECT id, dense_rank() OVER (ORDER BY root) - 1 AS cluster FROM c)
+SELECT s.o_orderkey, d.cluster FROM s JOIN p USING (x, y) JOIN d ON d.id = p.id"""
+
+
+@query(CLUSTER_SQL)
+def dbscan(t):
+    return K.dbscan(order_sites(t), "o_orderkey").select("o_orderkey", "cluster")
+
+
+@query()
+def dbscan_dense_cores(t):
+    return K.dbscan(order_sites(t), "o_orderkey", min_samples=4).select("o_orderkey", "cluster")
+
+
+@query()
+def map_points(t):
+    table = L.parse_type_column(order_labels(t)).select("o_orderkey", F.to_date("o_orderdate").alias("date"), F.col("type").alias("types"))
+    places = order_sites(t).select("o_orderkey", "latitude", "longitude")
+    points = V.map_points(table.join(places, "o_orderkey"), "o_orderkey", 1998, ["1-URGENT", "P"])
+    return points.select("o_orderkey", "date", "latitude", "longitude", "cluster")
+
+
+# --- imbalance -----------------------------------------------------------------------------------------------------
+
+
+def vectors(t: Tables, positive: Column) -> DataFrame:
+    doubles = F.col("embedding").cast("array<double>")
+    return t.embeddings.select(F.col("vec_id").cast("string").alias("row_id"), array_to_vector(doubles).alias("features"), positive.cast("double").alias("label"))
+
+
+STATS_SQL = """WITH c AS (SELECT count(*) FILTER (label = 0) AS p, count(*) FILTER (label <> 0) AS n FROM embeddings),
+s AS (SELECT p, n, greatest(floor(0.2::DOUBLE * n - p), 0)::BIGINT + p AS rp FROM c)
+SELECT 'smote_under' AS strategy, p AS original_positive, n AS original_negative, p + n AS original_total, rp AS resampled_positive,
+floor(rp / 0.3::DOUBLE)::BIGINT AS resampled_negative, rp + floor(rp / 0.3::DOUBLE)::BIGINT AS resampled_total,
+round((rp + floor(rp / 0.3::DOUBLE) - p - n) * 100 / (p + n), 6) AS change_percent FROM s"""
+
+
+@query(STATS_SQL)
+def smote_under_stats(t):
+    made, stats = B.resample(vectors(t, F.col("label") == 0), strategy="smote_under")
+    counted = made.agg(F.count_if(F.col("label") == 1).alias("resampled_positive"), F.count(F.lit(1)).alias("resampled_total"))
+    asked = stats.to_df(t.spark).drop("error", "resampled_positive", "resampled_negative", "resampled_total")
+    return asked.join(counted.withColumn("strategy", F.lit("smote_under")), "strategy").select(
+        "strategy", "original_positive", "original_negative", "original_total", "resampled_positive",
+        (F.col("resampled_total") - F.col("resampled_positive")).alias("resampled_negative"), "resampled_total",
+        F.round("change_percent", 6).alias("change_percent"),
+    )
+
+
+@query()
+def smote_rows(t):
+    rare = vectors(t, F.col("label") == 0)
+    sizes = rare.agg(F.count_if(F.col("label") == 1).alias("p"), F.count(F.lit(1)).alias("n")).first()
+    made = B.smote(rare.filter("label = 1"), 4 * sizes["p"])
+    return made.select("row_id", F.col("features").cast("string").alias("features"))
+
+
+# --- forests --------------------------------------------------------------------------------------------------------
+
+SMALL_SPACE = {**R.SEARCH_SPACE, "n_estimators": (10, 20), "max_depth": (4, 8)}
+
+
+@query("""SELECT event_id, hour(ts)::DOUBLE AS hour, (isodow(ts) - 1)::DOUBLE AS day_of_week, month(ts)::DOUBLE AS month, value,
+(event_type = 'click')::INT::DOUBLE AS district_click, (event_type = 'error')::INT::DOUBLE AS district_error, (event_type = 'purchase')::INT::DOUBLE AS district_purchase,
+(event_type = 'signup')::INT::DOUBLE AS district_signup, (event_type = 'view')::INT::DOUBLE AS district_view FROM events""")
+def feature_matrix(t):
+    from pyspark.ml.functions import vector_to_array
+
+    made = L.prepare_features(t.events.select("event_id", "ts", "event_type", "value"), "ts", "event_type")
+    names = R.feature_columns(made, exclude=["event_id"])
+    matrix = R.assemble(made, "event_id", names)
+    values = vector_to_array("features")
+    out = {n: F.get(values, F.lit(i)).alias(n) for i, n in enumerate(names)}
+    wanted = [n for n in names if n in ("hour", "day_of_week", "month", "value") or n.startswith("district_")]
+    return matrix.select(F.col("row_id").cast("bigint").alias("event_id"), *[out[n] for n in wanted])
+
+
+@query()
+def forest_metrics(t):
+    train, test = P.split_data(vectors(t, F.col("label") < 3), "row_id", stratify="label")
+    model = R.train_classifier(train, n_estimators=20, max_depth=6)
+    return R.evaluate_classifier(model, test)
+
+
+@query()
+def forest_multi_output(t):
+    rows = vectors(t, F.col("label") < 3).withColumnRenamed("label", "y0")
+    both = rows.join(vectors(t, F.col("label") > 5).select("row_id", F.col("label").alias("y1")), "row_id")
+    train, test = P.split_data(both, "row_id")
+    models = R.train_classifier(train, ["y0", "y1"], n_estimators=10, max_depth=5)
+    return R.evaluate_classifier(models, test, ["y0", "y1"])
+
+
+@query()
+def forest_importance(t):
+    model = R.train_classifier(vectors(t, F.col("label") == 0), n_estimators=20, max_depth=6)
+    names = ["hour", "pm25", "temperature_2m (°C)", "latitude", *[f"district_{i}" for i in range(60)]]
+    return R.importance_report(R.feature_importance(model, names, t.spark))
+
+
+@query()
+def forest_cross_validation(t):
+    return R.cross_validate(vectors(t, F.col("label") < 3), R.forest(10, 5), cv=3, scoring="f1")[0]
+
+
+@query()
+def forest_search(t):
+    trained = R.train_single_type_model(vectors(t, F.col("label") < 3), n_iter=2, space=SMALL_SPACE)
+    return t.spark.createDataFrame([(k, v) for k, v in trained.metrics.items()], "metric string, value double")
+
+
+@query()
+def forest_all_types(t):
+    rows = vectors(t, F.col("label") < 3).drop("label")
+    kind = t.embeddings.select(F.col("vec_id").cast("string").alias("row_id"), F.array(F.concat(F.lit("g"), F.floor(F.col("label") / 4))).alias("type"))
+    results = R.train_all_types(rows.join(kind, "row_id"), [], n_iter=1, space=SMALL_SPACE)
+    return R.training_summary(results, t.spark)
