@@ -10,6 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KM_PER_DEGREE = 111
+# Every character that counts as white space in Unicode.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 DAY_NAMES = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 # Tried in this order once the ISO cast has failed.
 TIMESTAMP_FORMATS = ("M/d/yyyy H:m:s", "M/d/yyyy H:m", "M/d/yyyy")
@@ -34,7 +39,7 @@ def _col(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Remove surrounding white space of any kind, no-break spaces included."""
-    return F.regexp_replace(_col(c), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.btrim(_col(c), F.lit(WHITE_SPACE))
 
 
 def to_number(c: Column | str) -> Column:

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import sys
+
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import drop_stage, write_stage
 from .skew import salted_join
 
+# Tasks get the functions of this module with the job, so executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _min_neighbour(edges: DataFrame) -> DataFrame:
     """(u, m): the smallest of u and its neighbours; combined before the shuffle."""
@@ -43,6 +51,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60, **salting) -> D
     """
     now = write_stage(_tidy(edges.select("u", "v")), "edges")
     state = _state(now)
+    if not state[0]:
+        return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     for _ in range(max_rounds):
         # A large-star step sees each edge from both ends, a small-star step at most those edges.
         salting["rows"] = 2 * state[0]
@@ -56,3 +66,40 @@ def connected_components(edges: DataFrame, max_rounds: int = 60, **salting) -> D
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = now.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(roots)
+
+
+def _roots_in_tile(edges: pd.DataFrame) -> pd.DataFrame:
+    nodes, ends = np.unique(edges[["u", "v"]].to_numpy(), return_inverse=True)
+    u, v = ends.reshape(-1, 2).T
+    root = np.arange(len(nodes))
+    while True:
+        least = np.minimum(root[u], root[v])
+        new = root.copy()
+        np.minimum.at(new, u, least)
+        np.minimum.at(new, v, least)
+        new = new[new]
+        if np.array_equal(new, root):
+            return pd.DataFrame({"node": nodes, "root": nodes[root]})
+        root = new
+
+
+def tiled_components(edges: DataFrame, **salting) -> DataFrame:
+    """(node, root) for edges (u, v, tile_u, tile_v) between nodes on a map.
+
+    Edges inside a tile are solved tile by tile first; a tile must hold a bounded number of nodes. What
+    is left are the edges across tiles between the roots found, which is a far smaller graph with a
+    far smaller diameter.
+    """
+    edges = write_stage(edges, "edges")
+    inside = edges.filter("tile_u = tile_v").groupBy("tile_u").applyInPandas(_roots_in_tile, "node bigint, root bigint")
+    local = write_stage(inside, "local")
+    across = edges.filter("tile_u <> tile_v").select("u", "v")
+    for end in ("u", "v"):
+        across = across.join(local.withColumnRenamed("node", end), end, "left")
+        across = across.withColumn(end, F.coalesce("root", end)).drop("root")
+    joined = connected_components(across, **salting)
+    known = local.unionByName(
+        joined.join(local, "node", "left_anti").select("node", F.col("node").alias("root"))
+    )
+    final = joined.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    return salted_join(known, final, ["root"], "left", **salting).select("node", F.coalesce("top", "root").alias("root"))

@@ -19,10 +19,14 @@ def _items(text: Column) -> Column:
     return F.transform(F.split(text, ",", -1), strip)
 
 
+def has_labels(c: Column) -> Column:
+    """Whether '{..}' text holds anything but white space."""
+    return F.coalesce(F.length(strip(F.btrim(c, F.lit("{}")))) > 0, F.lit(False))
+
+
 def label_list(c: Column) -> Column:
     """'{a, b}' to ['a', 'b']; blank or NULL to []; empty items between commas stay."""
-    inner = strip(F.btrim(c, F.lit("{}")))
-    return F.when(F.length(inner) > 0, _items(inner)).otherwise(F.array().cast("array<string>"))
+    return F.when(has_labels(c), _items(F.btrim(c, F.lit("{}")))).otherwise(F.array().cast("array<string>"))
 
 
 def label_list_marked(c: Column, marker: str = NO_LABEL) -> Column:
@@ -44,7 +48,9 @@ def parse_type_column(df: DataFrame, column: str = "type") -> DataFrame:
 
 
 def filter_empty_types(df: DataFrame, column: str = "type") -> DataFrame:
-    return df.filter(F.size(column) > 0)
+    """Keep rows with labels. On text that is not parsed yet this spares parsing every row twice."""
+    c = F.col(column)
+    return df.filter(F.size(c) > 0 if dict(df.dtypes)[column].startswith("array") else has_labels(c))
 
 
 def vocabulary(df: DataFrame, column: str, max_columns: int = MAX_COLUMNS) -> list[str]:

@@ -36,7 +36,7 @@ def prepare(merged: DataFrame, sample_size: int | None = None, id_column: str =
 
     Both vocabularies come from the rows that are left; pass them in to fix the columns across runs.
     """
-    df = labels.filter_empty_types(labels.parse_type_column(clean.strip_names(merged)))
+    df = labels.parse_type_column(labels.filter_empty_types(clean.strip_names(merged)))
     df = clean.drop_missing_weather(df, [c for c in clean.NEEDED_WEATHER if c in df.columns])
     if sample_size is not None:
         df = sampling.sample_data(df, id_column, sample_size, seed)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +22,7 @@ from ..operators import enrich as E
 from ..operators import forest as R
 from ..operators import labels as L
 from ..operators import metrics as M
+from ..operators import neighbours as N
 from ..operators import resampling as B
 from ..operators import sampling as P
 from . import dashboard as V
@@ -276,7 +277,7 @@ UNION ALL SELECT 1, 'labelled', count(*) FROM {ORDER_LABELS} WHERE len(labels) >
 UNION ALL SELECT 2, 'in year', count(*) FROM {ORDER_LABELS} WHERE len(labels) > 0 AND year(o_orderdate) = 1998""")
 def stage_funnel(t):
     raw = order_labels(t)
-    labelled = L.filter_empty_types(L.parse_type_column(raw))
+    labelled = L.parse_type_column(L.filter_empty_types(raw))
     return A.stage_counts({"raw": raw, "labelled": labelled, "in year": C.in_year(labelled, "o_orderdate", 1998)})
 
 
@@ -359,7 +360,7 @@ c AS (SELECT label, count(*) AS positive FROM (SELECT unnest(labels) AS label FR
 
 
 def labelled_orders(t: Tables) -> DataFrame:
-    return L.filter_empty_types(L.parse_type_column(order_labels(t)))
+    return L.parse_type_column(L.filter_empty_types(order_labels(t)))
 
 
 @query(LABEL_COUNT_SQL + "SELECT label, positive, round(positive * 100.0 / n, 6) AS percent FROM c, n")
@@ -617,27 +618,39 @@ def multilabel_metrics(t):
 
 # --- clusters ----------------------------------------------------------------------------------------------------
 
-CLUSTER_SQL = f"""WITH RECURSIVE s AS MATERIALIZED (SELECT o_orderkey, o_orderstatus, round(longitude * 10000)::INT AS x, round(latitude * 10000)::INT AS y FROM {ORDER_SITES}),
-p AS MATERIALIZED (SELECT x, y, min(o_orderkey) AS id FROM s GROUP BY ALL),
-o AS (SELECT i::INT AS dx, j::INT AS dy FROM range(-8, 9) a(i), range(-8, 9) b(j) WHERE i * i + j * j <= 64 AND (i <> 0 OR j <> 0)),
-e AS MATERIALIZED (SELECT a.id AS u, b.id AS v FROM p a, o, p b WHERE b.x = a.x + o.dx AND b.y = a.y + o.dy),
-c(id, root) USING KEY (id) AS (SELECT id, id FROM p UNION
+def cluster_sql(rows: str, min_samples: int, columns: str = "") -> str:
+    """DBSCAN by brute force: rows has o_orderkey, longitude and latitude; `columns` are passed through."""
+    return f"""WITH RECURSIVE s AS MATERIALIZED (SELECT *, round(longitude * 10000)::INT AS x, round(latitude * 10000)::INT AS y FROM {rows}),
+g AS MATERIALIZED (SELECT x, y, count(*) AS w, min(o_orderkey) AS id FROM s GROUP BY ALL),
+o AS (SELECT i::INT AS dx, j::INT AS dy FROM range(-8, 9) a(i), range(-8, 9) b(j) WHERE i * i + j * j <= 64),
+n AS MATERIALIZED (SELECT a.id AS u, b.id AS v, b.w FROM g a, o, g b WHERE b.x = a.x + o.dx AND b.y = a.y + o.dy),
+k AS MATERIALIZED (SELECT u AS id FROM n GROUP BY u HAVING sum(w) >= {min_samples}),
+e AS MATERIALIZED (SELECT u, v FROM n WHERE u <> v AND u IN (FROM k) AND v IN (FROM k)),
+c(id, root) USING KEY (id) AS (SELECT id, id FROM k UNION
   (SELECT e.u, min(c.root) FROM c JOIN e ON e.v = c.id JOIN recurring.c AS r ON r.id = e.u WHERE c.root < r.root GROUP BY e.u)),
-d AS (SELECT id, dense_rank() OVER (ORDER BY root) - 1 AS cluster FROM c)
-SELECT s.o_orderkey, d.cluster FROM s JOIN p USING (x, y) JOIN d ON d.id = p.id"""
+f AS (SELECT id, root FROM c UNION ALL
+  SELECT n.u, min(c.root) FROM n JOIN c ON c.id = n.v WHERE n.u NOT IN (FROM k) GROUP BY n.u),
+d AS (SELECT root, row_number() OVER (ORDER BY root) - 1 AS cluster FROM (SELECT DISTINCT root FROM c))
+SELECT s.o_orderkey, {columns} coalesce(d.cluster, -1) AS cluster FROM s JOIN g USING (x, y) LEFT JOIN f ON f.id = g.id LEFT JOIN d ON d.root = f.root"""
 
 
-@query(CLUSTER_SQL)
+@query(cluster_sql(ORDER_SITES, 1))
 def dbscan(t):
     return K.dbscan(order_sites(t), "o_orderkey").select("o_orderkey", "cluster")
 
 
-@query()
+@query(cluster_sql(ORDER_SITES, 4))
 def dbscan_dense_cores(t):
     return K.dbscan(order_sites(t), "o_orderkey", min_samples=4).select("o_orderkey", "cluster")
 
 
-@query()
+MAP_SQL = f"""(WITH q AS (SELECT o.o_orderkey, o.o_orderdate::DATE AS date, longitude, latitude FROM {ORDER_SITES} o JOIN {ORDER_LABELS} l USING (o_orderkey)
+WHERE year(o.o_orderdate) = 1998 AND list_has_any(labels, ['1-URGENT', 'P'])),
+u AS (SELECT min(o_orderkey) AS o_orderkey, date, longitude, latitude FROM q GROUP BY ALL)
+SELECT * FROM u WHERE date >= (SELECT max(date) FROM u) - 365 ORDER BY md5('42:' || o_orderkey) LIMIT 50000)"""
+
+
+@query(cluster_sql(MAP_SQL, 1, "date, latitude, longitude,"))
 def map_points(t):
     table = L.parse_type_column(order_labels(t)).select("o_orderkey", F.to_date("o_orderdate").alias("date"), F.col("type").alias("types"))
     places = order_sites(t).select("o_orderkey", "latitude", "longitude")
@@ -653,6 +666,16 @@ def vectors(t: Tables, positive: Column) -> DataFrame:
     return t.embeddings.select(F.col("vec_id").cast("string").alias("row_id"), array_to_vector(doubles).alias("features"), positive.cast("double").alias("label"))
 
 
+@query("""WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+d AS (SELECT a.vec_id AS id, b.vec_id AS nid, list_distance(a.e, b.e) AS dist FROM v a JOIN v b ON a.vec_id <> b.vec_id)
+SELECT id, nid, row_number() OVER (PARTITION BY id ORDER BY dist, nid) AS rank, round(dist, 6) AS dist FROM d
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY dist, nid) <= 5""")
+def nearest_rows(t):
+    points = t.embeddings.select(F.col("vec_id").cast("string").alias("id"), F.col("embedding").cast("array<double>").alias("features"))
+    found = N.nearest_neighbours(points, 5)
+    return found.select(big(F.col("id")).alias("id"), big(F.col("nid")).alias("nid"), big(F.col("rank")).alias("rank"), F.round("dist", 6).alias("dist"))
+
+
 STATS_SQL = """WITH c AS (SELECT count(*) FILTER (label = 0) AS p, count(*) FILTER (label <> 0) AS n FROM embeddings),
 s AS (SELECT p, n, greatest(floor(0.2::DOUBLE * n - p), 0)::BIGINT + p AS rp FROM c)
 SELECT 'smote_under' AS strategy, p AS original_positive, n AS original_negative, p + n AS original_total, rp AS resampled_positive,
@@ -689,8 +712,6 @@ SMALL_SPACE = {**R.SEARCH_SPACE, "n_estimators": (10, 20), "max_depth": (4, 8)}
 (event_type = 'click')::INT::DOUBLE AS district_click, (event_type = 'error')::INT::DOUBLE AS district_error, (event_type = 'purchase')::INT::DOUBLE AS district_purchase,
 (event_type = 'signup')::INT::DOUBLE AS district_signup, (event_type = 'view')::INT::DOUBLE AS district_view FROM events""")
 def feature_matrix(t):
-    from pyspark.ml.functions import vector_to_array
-
     made = L.prepare_features(t.events.select("event_id", "ts", "event_type", "value"), "ts", "event_type")
     names = R.feature_columns(made, exclude=["event_id"])
     matrix = R.assemble(made, "event_id", names)
