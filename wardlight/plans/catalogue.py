@@ -6,6 +6,7 @@ derived from keys on a lattice of 1e-4 degrees.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -25,6 +26,9 @@ from ..operators import metrics as M
 from ..operators import neighbours as N
 from ..operators import resampling as B
 from ..operators import sampling as P
+from ..session import work_folder
+from ..sources import sinks, tables
+from . import batch
 from . import dashboard as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -281,6 +285,63 @@ def stage_funnel(t):
     return A.stage_counts({"raw": raw, "labelled": labelled, "in year": C.in_year(labelled, "o_orderdate", 1998)})
 
 
+# --- files ------------------------------------------------------------------------------------------------
+
+
+def as_csv(t: Tables, df: DataFrame) -> str:
+    return sinks.save_csv(df, f"{work_folder(t.spark)}/csv-{uuid.uuid4().hex}")
+
+
+@query("SELECT doc_id, md5(text) AS text_md5, n_chars, CASE WHEN lang <> 'de' THEN lang END AS lang FROM documents")
+def report_csv(t):
+    """Free text with quotes and line breaks survives the CSV; NULL stands for a missing-value token."""
+    messy = t.documents.select("doc_id", "text", "n_chars", F.when(F.col("lang") == "de", "NULL").otherwise(F.col("lang")).alias("lang"))
+    back = tables.read_reports(t.spark, as_csv(t, messy))
+    return back.select(big(F.col("doc_id")).alias("doc_id"), F.md5(F.col("text").cast("binary")).alias("text_md5"), big(F.col("n_chars")).alias("n_chars"), "lang")
+
+
+@query("""SELECT ts::DATE AS date, round(avg(value), 6) AS "rain (mm)", count(*) AS n_rows, count(*) FILTER (event_type <> 'view') AS n_wind FROM events GROUP BY 1""")
+def weather_csv(t):
+    wind = F.when(F.col("event_type") == "view", "NaN").otherwise("1.5")
+    hourly_rows = t.events.select(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("time"), F.col("value").alias("rain (mm)"), wind.alias("wind_speed_10m (km/h)")
+    )
+    weather = tables.read_weather(t.spark, as_csv(t, hourly_rows))
+    daily = weather.groupBy(F.to_date("time").alias("date"))
+    return daily.agg(
+        F.round(F.avg("rain (mm)"), 6).alias("rain (mm)"), F.count(F.lit(1)).alias("n_rows"), F.count("wind_speed_10m (km/h)").alias("n_wind")
+    )
+
+
+@query("""SELECT o_orderdate::DATE AS date, CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END AS pm25, o_orderkey::DOUBLE AS pm10 FROM orders""")
+def air_csv(t):
+    daily_rows = t.orders.select(
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+        F.when(F.col("o_orderstatus") == "F", "n/a ").otherwise(F.concat(F.lit(" "), F.col("o_totalprice").cast("string"))).alias(" pm25"),
+        F.col("o_orderkey").alias(" pm10"), F.lit(1).alias(" so2"), F.lit(1).alias(" co"),
+    )
+    return tables.read_air_quality(t.spark, as_csv(t, daily_rows))
+
+
+PREPARED_TYPES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW", "F", "O", "P"]
+
+
+@query(f"""WITH w AS (SELECT l_shipdate::DATE AS date, avg(l_quantity) AS rain FROM lineitem GROUP BY 1)
+SELECT o_orderkey, round(rain, 6) AS rain, hour(o_orderdate)::INT AS hour, (isodow(o_orderdate) - 1)::INT AS day_of_week, month(o_orderdate)::INT AS month,
+round(sin(2 * pi() * month(o_orderdate) / 12), 9) + 0 AS month_sin, (o_orderstatus = 'F')::INT AS "district_F", (o_orderstatus = 'O')::INT AS "district_O", (o_orderstatus = 'P')::INT AS "district_P",
+""" + ", ".join(f"""list_contains(labels, '{v}')::INT AS "type_{v}" """ for v in PREPARED_TYPES) + f"""
+FROM {ORDER_LABELS} o JOIN w ON w.date = o.o_orderdate::DATE WHERE len(labels) > 0""")
+def prepared_table(t):
+    """Daily weather joined to reports, rows without weather dropped, then all features and targets."""
+    reports = order_labels(t).select("o_orderkey", "type", F.col("o_orderdate").alias("timestamp"), F.col("o_orderstatus").alias("district"))
+    weather = E.daily_mean(t.lineitem, "l_shipdate", ["l_quantity"]).withColumnRenamed("l_quantity", "rain (mm)")
+    made = batch.prepare(E.enrich_daily(E.add_date(reports, "timestamp"), weather), id_column="o_orderkey").table
+    kept = [c for c in made.columns if c.startswith(("district_", "type_"))]
+    return made.select(
+        "o_orderkey", F.round("rain (mm)", 6).alias("rain"), "hour", "day_of_week", "month", (F.round("month_sin", 9) + 0.0).alias("month_sin"), *kept
+    )
+
+
 # --- coordinates and time ------------------------------------------------------------------------------
 
 @query(f"""SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN longitude END AS longitude,

@@ -22,7 +22,7 @@ def flat_for_csv(df: DataFrame) -> DataFrame:
 
 
 def save_csv(df: DataFrame, path: str) -> str:
-    flat_for_csv(df).write.mode("overwrite").option("header", True).csv(path)
+    flat_for_csv(df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return path
 
 

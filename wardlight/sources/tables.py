@@ -102,3 +102,8 @@ def read_air_quality_if_present(spark: SparkSession, path: str | None) -> DataFr
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
     """Resume from a merged table written earlier."""
     return spark.read.parquet(path)
+
+
+def extract(spark: SparkSession, reports_path: str, weather_path: str) -> tuple[DataFrame, DataFrame]:
+    """(reports, weather)."""
+    return read_reports(spark, reports_path), read_weather(spark, weather_path)
