@@ -22,7 +22,8 @@ from .skew import salted_join
 NOISE = -1
 MAX_CELL_SIDE = 64
 CELL_SPAN = 1 << 31
-TILE_BITS = 6  # a tile is 64 x 64 cells
+# Width of a tile in cells. Inside a large tile only the edges across small tiles are left.
+TILES = {"tile": 1 << 6, "block": 1 << 11}
 
 
 def round_coordinates(df: DataFrame, decimals: int = 4) -> DataFrame:
@@ -33,11 +34,11 @@ def _cell_id(cx: Column, cy: Column) -> Column:
     return cx.cast("bigint") * F.lit(CELL_SPAN) + cy.cast("bigint") + F.lit(CELL_SPAN // 2)
 
 
-def _tile_id(cell: str) -> Column:
+def _tile_id(cell: str, width: int) -> Column:
     """Tile of a cell, from the two numbers packed in its id."""
     cx = F.shiftright(cell, 31)
     cy = F.col(cell).bitwiseAND(F.lit(CELL_SPAN - 1)) - F.lit(CELL_SPAN // 2)
-    return _cell_id(F.floor(cx / (1 << TILE_BITS)), F.floor(cy / (1 << TILE_BITS)))
+    return _cell_id(F.floor(cx / width), F.floor(cy / width))
 
 
 def _reach(side: int, limit: float) -> list[tuple[int, int]]:
@@ -97,8 +98,8 @@ def dbscan(df: DataFrame, id_column: str, eps: float = 0.0008, min_samples: int
         F.col("cell").alias("u"), F.col("pts").alias("a"), F.explode(_neighbour_ids(F.col("cx"), F.col("cy"), forward)).alias("v")
     ).join(cells.select(F.col("cell").alias("v"), F.col("pts").alias("b")), "v")
     touching = F.exists("a", lambda p: F.exists(F.col("b"), lambda q: _near(p, q, limit)))
-    edges = pairs.filter(touching).select("u", "v", _tile_id("u").alias("tile_u"), _tile_id("v").alias("tile_v"))
-    linked = tiled_components(edges, **salting)
+    places = [_tile_id(end, width).alias(f"{level}_{end}") for level, width in TILES.items() for end in ("u", "v")]
+    linked = tiled_components(pairs.filter(touching).select("u", "v", *places), list(TILES), **salting)
     roots = cells.join(linked.withColumnRenamed("node", "cell"), "cell", "left").select(
         "cell", "pts", F.coalesce("root", "cell").alias("root")
     )

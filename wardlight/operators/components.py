@@ -83,23 +83,36 @@ def _roots_in_tile(edges: pd.DataFrame) -> pd.DataFrame:
         root = new
 
 
-def tiled_components(edges: DataFrame, **salting) -> DataFrame:
-    """(node, root) for edges (u, v, tile_u, tile_v) between nodes on a map.
+def _relabel(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """Replace both ends of the edges by their roots; the tiles stay those of the first ends."""
+    for end in ("u", "v"):
+        edges = edges.join(roots.withColumnRenamed("node", end), end, "left")
+        edges = edges.withColumn(end, F.coalesce("root", end)).drop("root")
+    return edges.filter("u <> v").distinct()
+
+
+def _compose(inner: DataFrame, outer: DataFrame, **salting) -> DataFrame:
+    """Roots of roots: nodes of both tables, each with the last root known for it."""
+    onward = outer.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    moved = salted_join(inner, onward, ["root"], "left", **salting)
+    moved = moved.select("node", F.coalesce("top", "root").alias("root"))
+    return moved.unionByName(outer.join(inner.select("node"), "node", "left_anti"))
 
-    Edges inside a tile are solved tile by tile first; a tile must hold a bounded number of nodes. What
-    is left are the edges across tiles between the roots found, which is a far smaller graph with a
-    far smaller diameter.
+
+def tiled_components(edges: DataFrame, tiles: list[str], **salting) -> DataFrame:
+    """(node, root) for edges between places on a map, solved tile by tile.
+
+    Every edge (u, v) carries for each level of tiles, small ones first, the columns <level>_u and
+    <level>_v. Edges inside a tile are solved in that tile, and only edges across tiles, between the
+    roots found so far, go on to the next level and at last to the rounds above. A tile must hold a
+    bounded number of nodes.
     """
-    edges = write_stage(edges, "edges")
-    inside = edges.filter("tile_u = tile_v").groupBy("tile_u").applyInPandas(_roots_in_tile, "node bigint, root bigint")
-    local = write_stage(inside, "local")
-    across = edges.filter("tile_u <> tile_v").select("u", "v")
-    for end in ("u", "v"):
-        across = across.join(local.withColumnRenamed("node", end), end, "left")
-        across = across.withColumn(end, F.coalesce("root", end)).drop("root")
-    joined = connected_components(across, **salting)
-    known = local.unionByName(
-        joined.join(local, "node", "left_anti").select("node", F.col("node").alias("root"))
-    )
-    final = joined.select(F.col("node").alias("root"), F.col("root").alias("top"))
-    return salted_join(known, final, ["root"], "left", **salting).select("node", F.coalesce("top", "root").alias("root"))
+    known = None
+    for level in tiles:
+        here = write_stage(edges, "edges")
+        same = F.col(f"{level}_u") == F.col(f"{level}_v")
+        inside = here.filter(same).groupBy(f"{level}_u").applyInPandas(_roots_in_tile, "node bigint, root bigint")
+        roots = write_stage(inside, "roots")
+        edges = _relabel(here.filter(~same), roots)
+        known = roots if known is None else _compose(known, roots, **salting)
+    return _compose(known, connected_components(edges.select("u", "v"), **salting), **salting)

@@ -53,13 +53,27 @@ def filter_empty_types(df: DataFrame, column: str = "type") -> DataFrame:
     return df.filter(F.size(c) > 0 if dict(df.dtypes)[column].startswith("array") else has_labels(c))
 
 
+def vocabularies(df: DataFrame, columns: Sequence[str], max_columns: int = MAX_COLUMNS) -> dict[str, list[str]]:
+    """Sorted distinct values of several text or list columns in one pass, refused beyond max_columns each."""
+    kinds = dict(df.dtypes)
+
+    def tagged(name: str) -> Column:
+        values = quoted(name) if kinds[name].startswith("array") else F.array(quoted(name))
+        values = F.coalesce(values, F.array().cast("array<string>"))
+        return F.transform(values, lambda v: F.struct(F.lit(name).alias("c"), v.alias("v")))
+
+    pairs = df.select(F.explode(F.concat(*map(tagged, columns))).alias("p")).select("p.*").filter("v is not null").distinct()
+    found: dict[str, list[str]] = {name: [] for name in columns}
+    for r in pairs.limit(max_columns * len(columns) + 1).collect():
+        found[r["c"]].append(r["v"])
+    for name, values in found.items():
+        if len(values) > max_columns or sum(map(len, found.values())) > max_columns * len(columns):
+            raise ValueError(f"{name} has more than {max_columns} values; keep it as a list instead of columns")
+    return {name: sorted(values) for name, values in found.items()}
+
+
 def vocabulary(df: DataFrame, column: str, max_columns: int = MAX_COLUMNS) -> list[str]:
-    """Sorted distinct values of a text or list column, refused beyond max_columns."""
-    value = F.explode(column) if dict(df.dtypes)[column].startswith("array") else quoted(column)
-    found = df.select(value.alias("v")).filter("v is not null").distinct().limit(max_columns + 1).collect()
-    if len(found) > max_columns:
-        raise ValueError(f"{column} has more than {max_columns} values; keep it as a list instead of columns")
-    return sorted(r["v"] for r in found)
+    return vocabularies(df, [column], max_columns)[column]
 
 
 def create_binary_targets(df: DataFrame, column: str = "type", labels: Sequence[str] | None = None) -> tuple[DataFrame, list[str]]:

@@ -40,6 +40,10 @@ def prepare(merged: DataFrame, sample_size: int | None = None, id_column: str =
     df = clean.drop_missing_weather(df, [c for c in clean.NEEDED_WEATHER if c in df.columns])
     if sample_size is not None:
         df = sampling.sample_data(df, id_column, sample_size, seed)
+    unknown = [c for c, known in (("type", types), ("district", districts)) if known is None and c in df.columns]
+    if unknown:
+        found = labels.vocabularies(df, unknown)
+        types, districts = found.get("type", types), found.get("district", districts)
     df = labels.prepare_features(df, districts=districts)
     table, type_columns = labels.create_binary_targets(df, labels=types)
     return Prepared(table, type_columns)
