@@ -153,9 +153,9 @@ def any_label(df: DataFrame, labels: Sequence[str], types_column: str = "types")
 
 
 def trailing_days(df: DataFrame, date_column: str, days: int = 365) -> DataFrame:
-    """Rows within `days` of the latest date; the bound is a scalar subquery that the scan can use."""
+    """Rows whose day is within `days` of the latest; the bound is a scalar subquery that the scan can use."""
     latest = df.agg(F.max(date_column)).scalar()
-    return df.filter(F.col(date_column) >= F.date_sub(latest, days))
+    return df.filter(F.col(date_column) >= F.date_sub(latest, days).cast(df.schema[date_column].dataType))
 
 
 def fill_zero(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import calculate_distances, grid_key, grid_nearest, hour_floor, parse_time, split_coordinates
 from .clean import numeric_columns, quoted
-from .skew import BROADCAST_ROWS, lookup_join
+from .skew import BROADCAST_ROWS, fits_broadcast, lookup_join
 
 
 def mean_without_nan(name: str, kind: str):
@@ -57,7 +57,7 @@ def hour_join(left: DataFrame, right: DataFrame, how: str = "left", key: str = "
         return lookup_join(left, right, [key], how, max_rows)
     matched = lookup_join(left, right, [key], "left", max_rows)
     hours = left.select(key).filter(F.col(key).isNotNull()).distinct()
-    if hours.limit(max_rows + 1).count() <= max_rows:
+    if fits_broadcast(hours, [key], max_rows):
         hours = F.broadcast(hours)
     return matched.unionByName(right.join(hours, [key], "left_anti"), allowMissingColumns=True)
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import feature_category, is_cyclical_name, is_district_name
+from ..session import work_folder
 from .clean import numeric_columns, quoted
 from .labels import class_distribution
 from .metrics import binary_metrics, multilabel_metrics, weighted_metrics
@@ -153,6 +154,7 @@ def random_search(train: DataFrame, n_iter: int = 5, seed: int = 42, folds: int
 
     train: row_id, features, label. A single setting needs no scoring and is fitted at once.
     """
+    work_folder(train.sparkSession)  # deep trees checkpoint the node of every row there
     settings = draw_params(n_iter, seed, space)
     rf = forest(seed=seed, weightCol="weight")
     weighted = add_balanced_weight(add_folds(train, "label", "row_id", folds, seed)).persist(StorageLevel.MEMORY_AND_DISK)

@@ -6,8 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
+FIXED_CELL_BYTES = 16
 HOT_SHARE = 0.005
 HOT_ROWS = 1_000_000
 SALTS = 128
@@ -56,6 +59,22 @@ def salted_join(
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
+def fits_broadcast(df: DataFrame, on: Sequence[str], max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether df has been counted to have at most max_rows rows and about BROADCAST_BYTES.
+
+    The row count reads the key columns alone; text and nested columns are measured only if it passes.
+    """
+    rows = df.select(*on).limit(max_rows + 1).count()
+    if rows > max_rows:
+        return False
+    wide = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.NumericType, T.DatetimeType, T.BooleanType))]
+    size = rows * FIXED_CELL_BYTES * len(df.columns)
+    if wide:
+        texts = [F.sum(F.octet_length(F.to_json(F.struct(df[f"`{c}`"])))) for c in wide]
+        size += sum(v or 0 for v in df.agg(*texts).first())
+    return size <= BROADCAST_BYTES
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -66,10 +85,10 @@ def lookup_join(
 ) -> DataFrame:
     """Join a large table with a table that is usually small.
 
-    The right side is broadcast only after a count has shown that it has at most max_rows rows; the
-    count reads its key columns alone. A larger right side is joined through the salted shuffle.
+    The right side is broadcast only after it has been measured; a larger one is joined through the
+    salted shuffle.
     """
     on = list(on)
-    if right.select(*on).limit(max_rows + 1).count() <= max_rows:
+    if fits_broadcast(right, on, max_rows):
         return left.join(F.broadcast(right), on, how)
     return salted_join(left, right, on, how, **salting)

@@ -251,7 +251,7 @@ def year_anyof(t):
 
 @query("SELECT o_orderkey FROM orders WHERE o_orderdate::DATE >= (SELECT max(o_orderdate::DATE) FROM orders) - 365")
 def trailing_365(t):
-    return C.trailing_days(t.orders.withColumn("day", F.to_date("o_orderdate")), "day").select("o_orderkey")
+    return C.trailing_days(t.orders, "o_orderdate").select("o_orderkey")
 
 
 @query("""SELECT o_custkey, o_orderstatus, min(o_orderkey) AS o_orderkey, arg_min(o_totalprice, o_orderkey) AS o_totalprice
@@ -390,6 +390,60 @@ def parse_times(t):
     return rows.select("o_orderkey", F.to_date(S.parse_time("text")).alias("day"), S.parse_date("text").alias("iso_day"))
 
 
+@query("""SELECT CASE WHEN o_orderstatus = 'P' THEN 'invalid' ELSE 'valid' END AS kind, count(*) AS n, sum(o_orderkey)::BIGINT AS keys FROM orders GROUP BY 1""")
+def valid_and_invalid_times(t):
+    text = F.when(F.col("o_orderstatus") == "P", "NULL").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    rows = E.with_hour(C.null_tokens_to_null(t.orders.select("o_orderkey", text.alias("timestamp"))), "timestamp")
+    valid, invalid = C.valid_and_invalid(rows, "hour_ts")
+    both = valid.select(F.lit("valid").alias("kind"), "o_orderkey").unionAll(invalid.select(F.lit("invalid"), "o_orderkey"))
+    return both.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
+
+
+@query(f"""WITH e AS (SELECT event_id, event_type, value, longitude, latitude, date_trunc('hour', ts) AS h,
+  round_even(round_even(latitude / 0.1::DOUBLE, 0) * 0.1::DOUBLE * 10, 0)::INT AS la,
+  round_even(round_even(longitude / 0.1::DOUBLE, 0) * 0.1::DOUBLE * 10, 0)::INT AS lo FROM {EVENT_SITES}),
+w AS (SELECT la, lo, h, avg(value) AS temp FROM e WHERE event_type = 'view' GROUP BY ALL)
+SELECT e.event_id, round(w.temp, 6) AS temp, round(sqrt((latitude - 13.74::DOUBLE) ^ 2 + (longitude - 100.5::DOUBLE) ^ 2) * 111, 6) AS km
+FROM e LEFT JOIN w USING (la, lo, h) WHERE e.event_type <> 'view'""")
+def station_transform(t):
+    """The whole transform step, from text coordinates and times to the joined table."""
+    sites = event_sites(t)
+    pair = F.concat_ws(",", F.col("longitude").cast("string"), F.col("latitude").cast("string"))
+    reports = sites.filter("event_type <> 'view'").select("event_id", pair.alias("coords"), F.col("ts").cast("string").alias("timestamp"))
+    cells = E.with_hour(E.assign_grid_cells(sites.filter("event_type = 'view'")), "ts", "time")
+    weather = cells.groupBy("time", F.col("grid_lat").alias("latitude"), F.col("grid_lon").alias("longitude")).agg(F.avg("value").alias("temp"))
+    return E.transform(reports, weather).select("event_id", F.round("temp", 6).alias("temp"), F.round("distance_to_weather_station_km", 6).alias("km"))
+
+
+@query("""SELECT o_orderkey, coalesce(CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END, 0) AS pm25 FROM orders""")
+def fill_and_rename(t):
+    price = F.when(F.col("o_orderstatus") != "F", F.col("o_totalprice"))
+    rows = C.rename_if_present(t.orders.select("o_orderkey", price.alias(" pm25")), {" pm25": "pm25", " pm10": "pm10"})
+    return C.fill_zero(rows, C.columns_containing(rows, "pm"))
+
+
+@query(f"""SELECT o.o_orderkey, o_orderdate::DATE AS date, longitude, latitude, array_to_string(labels, '|') AS labels, o.o_totalprice AS pm25
+FROM {ORDER_SITES} o JOIN (SELECT o_orderkey, labels FROM {ORDER_LABELS}) l USING (o_orderkey) WHERE len(labels) > 0 AND o_orderstatus <> 'O'""")
+def map_table(t):
+    """Bad dates, bad coordinates and reports without a label are left out of the map."""
+    sites = order_sites(t).select("o_orderkey", "longitude", "latitude")
+    pair = F.concat_ws(",", F.col("longitude").cast("string"), F.col("latitude").cast("string"))
+    bad = (F.col("o_orderstatus") == "O") & (F.col("o_totalprice") < 50_000)
+    raw = order_labels(t).join(sites, "o_orderkey").select(
+        "o_orderkey", "type", F.col("o_totalprice").cast("string").alias(" pm25"), F.lit("1").alias(" o3"),
+        F.when(bad, "x").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("date"),
+        F.when(F.col("o_orderstatus") == "O", F.lit("100.5")).otherwise(pair).alias("coords"),
+    )
+    return V.map_table(raw).select("o_orderkey", "date", "longitude", "latitude", F.array_join("types", "|").alias("labels"), "pm25")
+
+
+@query("""SELECT hour(ts)::INT AS hour, dayname(ts) AS day_name, monthname(ts) AS month_name, count(*) AS n, round(sum(value), 4) AS pm25 FROM events GROUP BY ALL""")
+def dashboard_table(t):
+    raw = t.events.select(F.col("ts").cast("string").alias("timestamp"), F.col("value").cast("string").alias(" pm25 "))
+    table = V.dashboard_table(raw)
+    return table.groupBy("hour", "day_name", "month_name").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("pm25"), 4).alias("pm25"))
+
+
 # --- labels ---------------------------------------------------------------------------------------------
 
 LABEL_ROWS = "SELECT o_orderkey, len({0})::INT AS n_labels, array_to_string({0}, '|') AS labels FROM {1}"
