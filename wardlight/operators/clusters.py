@@ -62,11 +62,11 @@ def _neighbour_ids(cx: Column, cy: Column, offsets: list[tuple[int, int]]) -> Co
 
 
 def dbscan(df: DataFrame, id_column: str, eps: float = 0.0008, min_samples: int = 1, decimals: int = 4, dense: bool = True, **salting) -> DataFrame:
-    """Add cluster: numbered 0, 1, .. by the smallest row id in the cluster, -1 for noise.
+    """Add cluster: numbered 0, 1, .. by the smallest row id at a core point of the cluster, -1 for noise.
 
     latitude and longitude are rounded to `decimals`; two points are neighbours when their distance in
-    degrees is at most eps. A border point goes to the cluster that it touches with the smallest
-    member id. With dense=False the label is that smallest row id itself. Row ids must be numeric.
+    degrees is at most eps. A border point goes to the first of the clusters that it touches. With
+    dense=False the label is that smallest row id itself. Row ids must be numeric.
     """
     scale = 10**decimals
     limit = math.floor((eps * scale) ** 2 + 1e-6)
@@ -91,7 +91,9 @@ def dbscan(df: DataFrame, id_column: str, eps: float = 0.0008, min_samples: int
     points = write_stage(_mark_core(points, offsets, limit, min_samples), "points")
     salting["rows"] = points.agg(F.sum("w")).first()[0] or 0
 
-    cells = points.filter("core").groupBy("cell", "cx", "cy").agg(F.collect_list(F.struct("x", "y")).alias("pts"))
+    cells = points.filter("core").groupBy("cell", "cx", "cy").agg(
+        F.collect_list(F.struct("x", "y")).alias("pts"), F.min("first_id").alias("first_id")
+    )
     cells = write_stage(cells, "cells")
     forward = [o for o in offsets if o > (0, 0)]
     pairs = cells.select(
@@ -100,25 +102,21 @@ def dbscan(df: DataFrame, id_column: str, eps: float = 0.0008, min_samples: int
     touching = F.exists("a", lambda p: F.exists(F.col("b"), lambda q: _near(p, q, limit)))
     places = [_tile_id(end, width).alias(f"{level}_{end}") for level, width in TILES.items() for end in ("u", "v")]
     linked = tiled_components(pairs.filter(touching).select("u", "v", *places), list(TILES), **salting)
-    roots = cells.join(linked.withColumnRenamed("node", "cell"), "cell", "left").select(
-        "cell", "pts", F.coalesce("root", "cell").alias("root")
-    )
-
-    core = points.filter("core").join(roots.select("cell", "root"), "cell")
-    names = core.groupBy("root").agg(F.min("first_id").alias("label"))
-    named = write_stage(salted_join(roots, names, ["root"], "inner", **salting).select("cell", "pts", "label"), "named")
-    core_labels = points.filter("core").join(named.select("cell", "label"), "cell").select("x", "y", "label")
+    linked = linked.withColumnRenamed("node", "cell")
+    roots = write_stage(cells.join(linked, "cell", "left").withColumn("root", F.coalesce("root", "cell")), "roots")
+    names = roots.groupBy("root").agg(F.min("first_id").alias("cluster"))
+    if dense:
+        names = add_dense_index(write_stage(names, "names"), "cluster", "number").select("root", F.col("number").alias("cluster"))
+    named = salted_join(roots, names, ["root"], "inner", **salting).select("cell", "pts", "cluster")
+    named = write_stage(named, "named")
 
+    core = points.filter("core").join(named.select("cell", "cluster"), "cell").select("x", "y", "cluster")
     borders = points.filter("not core").select(
         "x", "y", F.explode(_neighbour_ids(F.col("cx"), F.col("cy"), [(0, 0), *offsets])).alias("cell")
     )
     touched = borders.join(named, "cell").filter(F.exists("pts", lambda q: _near(F.struct("x", "y"), q, limit)))
-    labels = core_labels.unionAll(touched.groupBy("x", "y").agg(F.min("label").alias("label")))
-    if dense:
-        # Borders take part in their cluster's smallest id only through its core points.
-        order = add_dense_index(write_stage(named.select("label").distinct(), "labels"), "label", "number")
-        labels = salted_join(labels, order, ["label"], "inner", **salting).select("x", "y", F.col("number").alias("label"))
-    labels = write_stage(labels.select(F.col("x").alias("_x"), F.col("y").alias("_y"), F.col("label").alias("cluster")), "labels")
+    labels = core.unionAll(touched.groupBy("x", "y").agg(F.min("cluster").alias("cluster")))
+    labels = write_stage(labels.withColumnsRenamed({"x": "_x", "y": "_y"}), "labels")
     found = salted_join(rows, labels, ["_x", "_y"], "left", **salting).drop("_x", "_y")
     return found.withColumn("cluster", F.coalesce("cluster", F.lit(NOISE)).cast("bigint"))
 
