@@ -44,7 +44,7 @@ def test_stratified_split_sizes(spark, bucket):
 
 def test_allocation_adds_up():
     for sizes in ({"a": 3, "b": 5}, {"a": 1, "b": 1, "c": 1}, {"a": 1000}):
-        assert sum(P.test_sizes(sizes, 0.2).values()) == math.ceil(sum(sizes.values()) * 0.2)
+        assert sum(P.share_out(sizes, 0.2).values()) == math.ceil(sum(sizes.values()) * 0.2)
 
 
 def test_folds_are_even_within_classes(spark, bucket):

@@ -16,7 +16,7 @@ from ..functions.scalars import to_number
 UNUSED_COLUMNS = (
     "ticket_id", "organization", "photo", "photo_after", "address", "state", "star", "count_reopen", "last_activity",
 )
-# Fixed value: the province kept by default (Bangkok).
+# Fixed value: the province kept by default.
 PROVINCE = "กรุงเทพมหานคร"
 # Weather columns that must be present after preprocessing.
 NEEDED_WEATHER = ("temperature_2m (°C)", "rain (mm)", "wind_speed_10m (km/h)")

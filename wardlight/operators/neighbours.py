@@ -88,7 +88,7 @@ def nearest_neighbours(points: DataFrame, k: int, block_rows: int | None = None,
     centres = np.array([r["features"] for r in picked], dtype=float)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in filter(len, batches):
             d = np.sqrt(_squared(_matrix(b["features"]), centres))
             cell = d.argmin(axis=1)
             yield b.assign(cell=cell.astype("int32"), dist=d[np.arange(len(b)), cell])
@@ -111,12 +111,12 @@ def nearest_neighbours(points: DataFrame, k: int, block_rows: int | None = None,
 
     def count_copies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(len(centres), dtype="int64")
-        for b in batches:
+        for b in filter(len, batches):
             total += np.bincount(within(b)[1], minlength=len(centres))
         yield pd.DataFrame({"cell": np.arange(len(centres), dtype="int32"), "n": total})
 
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in filter(len, batches):
             row, cell = within(b)
             yield b.iloc[row].assign(cell=cell.astype("int32"))
 

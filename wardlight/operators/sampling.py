@@ -123,7 +123,7 @@ def undersample(df: DataFrame, label: str, id_column: str, ratio: float = 0.5, s
     return df.filter(positive | (row_hash(id_column, f"{seed}:under") <= _cutoff_of(cls, cuts, 0)))
 
 
-def test_sizes(sizes: dict[str, int], test_size: float) -> dict[str, int]:
+def share_out(sizes: dict[str, int], test_size: float) -> dict[str, int]:
     """ceil(n x test_size) test rows shared out in proportion, largest remainders first."""
     total = sum(sizes.values())
     tests = math.ceil(total * test_size)
@@ -140,7 +140,7 @@ def mark_test(df: DataFrame, id_column: str, test_size: float = 0.2, seed: int |
     label = None if stratify is None else quoted(stratify)
     seed = f"{seed}:split"
     cuts = hash_cutoffs(
-        _keyed(df, id_column, seed, label), lambda size: {c: [k] for c, k in test_sizes(size, test_size).items()}
+        _keyed(df, id_column, seed, label), lambda size: {c: [k] for c, k in share_out(size, test_size).items()}
     )
     return df.withColumn("is_test", row_hash(id_column, seed) <= _cutoff_of(label, cuts, 0))
 
