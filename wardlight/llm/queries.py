@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, warc
+from . import bpe, near_duplicates, packing, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +28,39 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query(
+    r"""
+    with recursive w as (
+        select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws
+        from documents
+    ), s as (
+        select distinct doc_id, unnest(case when len(ws) >= 5
+            then list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+            when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as shingle
+        from w
+    ), n as (
+        select doc_id, count(*) as n from s group by doc_id
+    ), met as (
+        select a.doc_id as a, b.doc_id as b, count(*) as shared
+        from s a join s b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by all
+    ), link as (
+        select a, b from met join n x on x.doc_id = a join n y on y.doc_id = b where 100 * shared >= 85 * (x.n + y.n - shared)
+    ), reach as (
+        select doc_id as a, doc_id as b from documents
+        union
+        select reach.a, link.b from reach join link on link.a = reach.b
+    ), root as (
+        select a as doc_id, min(b) as component_id from reach group by a
+    )
+    select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept
+    from documents left join n using (doc_id) join root using (doc_id)
+    """
+)
+def op4_near_duplicates(spark, folder):
+    return near_duplicates.group_near_duplicates(table(spark, folder, "documents"))
+
+
 @query()
 def op6_bpe(spark, folder):
     return bpe.encode_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
