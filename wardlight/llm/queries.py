@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, near_duplicates, packing, warc
+from . import bpe, near_duplicates, packing, quality, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -61,6 +61,45 @@ def op4_near_duplicates(spark, folder):
     return near_duplicates.group_near_duplicates(table(spark, folder, "documents"))
 
 
+@query(
+    r"""
+    with w as (
+        select doc_id, coalesce(text, '') as text,
+            list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws,
+            list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls
+        from documents
+    ), win as (
+        select doc_id, unnest(range(1, len(ws) - 6)) as p,
+            unnest(list_transform(range(1, len(ws) - 6), lambda i: array_to_string(ws[i:i + 7], ' '))) as win from w
+    ), again as (
+        select doc_id, p, lead(p) over (partition by doc_id order by p) as next
+        from win join (select doc_id, win from win group by all having count(*) > 1) using (doc_id, win)
+    ), covered as (
+        select doc_id, sum(least(8, coalesce(next - p, 8)))::bigint as n_repeat_words from again group by doc_id
+    ), f as (
+        select doc_id, text, len(ws)::bigint as n_words, length(array_to_string(ws, ''))::bigint as word_chars,
+            len(regexp_extract_all(text, '[#*$%&|<>]'))::bigint as n_symbols, len(ls)::bigint as n_lines,
+            (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words,
+            len(regexp_extract_all(text, '\p{Lu}')) as capitals, len(regexp_extract_all(text, '\p{L}')) as letters,
+            len(regexp_extract_all(text, '[!?]')) as calls,
+            len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) as n_stutter
+        from w left join covered using (doc_id)
+    ), b as (
+        select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from f
+    )
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        not base_failed and not (10 * n_symbols > 3 * n_words or word_chars < 2 * n_words or word_chars > 15 * n_words
+            or 2 * n_dup_lines > n_lines or 10 * n_stutter > 3 * n_words or 2 * capitals > letters or 2 * calls > n_words
+            or 10 * letters < 6 * word_chars) as kept
+    from b
+    """
+)
+def op5_quality(spark, folder):
+    judged = quality.judge(table(spark, folder, "documents"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *counts, "base_failed", "kept")
+
+
 @query()
 def op6_bpe(spark, folder):
     return bpe.encode_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
