@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, near_duplicates, packing, quality, warc
+from . import bpe, licenses, near_duplicates, packing, quality, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -105,6 +105,52 @@ def op6_bpe(spark, folder):
     return bpe.encode_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def _license_sql() -> str:
+    rows = ", ".join(f"({i}, '{t.text}', '{t.label}', {t.phrase})" for i, t in enumerate(licenses.TEMPLATES))
+    return rf"""
+    with t(tid, text, label, phrase) as (values {rows}), tg as (
+        select tid, label, phrase, len(string_split(text, ' ')) - 1 as grams, unnest(range(1, len(string_split(text, ' ')))) - 1 as place,
+            unnest(list_transform(range(1, len(string_split(text, ' '))), lambda i: string_split(text, ' ')[i] || ' ' || string_split(text, ' ')[i + 1])) as gram
+        from t
+    ), w as (
+        select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as ws
+        from documents
+    ), dg as (
+        select doc_id, unnest(range(1, len(ws))) - 1 as pos, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) as gram from w
+    ), votes as (
+        select doc_id, tid, label, phrase, grams, pos - place as diagonal, count(*) as votes, min(pos) as low, max(pos) as high
+        from dg join tg using (gram) group by all
+    ), steps as (
+        select *, coalesce(not phrase and diagonal - lag(diagonal) over a <= 3 and abs(low - lag(low) over a) <= 1.5 * grams, false) as joins
+        from votes window a as (partition by doc_id, tid order by diagonal)
+    ), runs as (
+        select *, sum(case when joins then 0 else 1 end) over (partition by doc_id, tid order by diagonal) as run from steps
+    ), merged as (
+        select doc_id, tid, label, phrase, grams, run, sum(votes) as votes, min(low) as first, max(high) + 1 as last from runs group by all
+    ), judged as (
+        select *, least(1.0, votes / grams)::double as share, case when phrase then votes = grams
+            else least(1.0, votes / grams) >= 0.8 and last - first + 1 <= 1.5 * (grams + 1) end as good
+        from merged
+    ), found as (
+        select doc_id, count(*) filter (good and phrase) as n_base, min(first) filter (good and phrase) as first_word,
+            max(first) filter (good and phrase) as last_word,
+            array_to_string(list_sort(list_distinct(list(label) filter (good and phrase))), ',') as base_labels,
+            array_to_string(list_sort(list_distinct(list(label) filter (good))), ',') as labels, max(share) as score
+        from judged group by doc_id
+    )
+    select doc_id, len(ws)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigint as first_word,
+        last_word::bigint as last_word, coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels,
+        coalesce(score, 0)::double as score
+    from w left join found using (doc_id)
+    """
+
+
+@query(_license_sql())
+def op8_licenses(spark, folder):
+    return licenses.scan(table(spark, folder, "documents")).drop("places")
+
+
 @query()
 def op7_packing(spark, folder):
     return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
