@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, licenses, near_duplicates, packing, quality, warc
+from . import bpe, html_text, licenses, line_dedup, near_duplicates, packing, quality, top_k, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +29,51 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query(
+    r"""
+    with raw as (
+        select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as place from documents
+    ), l as (
+        select *, len(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) as words,
+            row_number() over (partition by doc_id order by place) as n, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') as bare
+        from raw where regexp_matches(line, '[^\x20\x09-\x0D]')
+    ), d as (
+        select doc_id, list(bare order by n) as ls, count(*) as lines from l group by doc_id
+    ), c as (
+        select *, sum(words) over (partition by doc_id order by n) as upto from l
+    ), w as (
+        select a.doc_id, a.n, min(b.n) as last from c a join c b on a.doc_id = b.doc_id and b.n >= a.n and b.upto - a.upto + a.words >= 50 group by all
+    ), x as (
+        select w.doc_id, w.n, last, ls[w.n:last] as content,
+            ls[last + 1:coalesce(lead(last) over (partition by w.doc_id order by w.n) - 1, lines)] as tail
+        from w join d using (doc_id)
+    ), f as (
+        select *, row_number() over p as nth, first_value(tail) over p as first_tail from x window p as (partition by content order by doc_id, n)
+    ), runs as (
+        select doc_id, n, last + coalesce(list_position(list_transform(range(1, least(len(tail), len(first_tail)) + 1),
+            lambda k: tail[k] = first_tail[k]), false) - 1, least(len(tail), len(first_tail))) as last
+        from f where nth > 1
+    ), gone as (
+        select distinct doc_id, l.place from runs join l using (doc_id) where l.n between runs.n and runs.last
+    ), kept as (
+        select doc_id, string_agg(line, chr(10) order by raw.place) filter (g.place is null) as text, count(g.place) as n_deleted
+        from raw left join (select doc_id as gone_id, place from gone) g on raw.doc_id = g.gone_id and raw.place = g.place group by doc_id
+    )
+    select doc_id, case when documents.text is null then null else coalesce(kept.text, '') end as text,
+        coalesce(d.lines, 0)::bigint as n_lines, coalesce(n_deleted, 0)::bigint as n_deleted
+    from documents left join kept using (doc_id) left join d using (doc_id)
+    """
+)
+def op2_line_dedup(spark, folder):
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.delete_repeats(documents)
+
+
+@query()
+def op3_html_text(spark, folder):
+    return html_text.extract_pages(table(spark, folder, "pages"))
+
+
 @query(
     r"""
     with recursive w as (
@@ -156,6 +202,24 @@ def op7_packing(spark, folder):
     return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query(
+    """
+    with v as (
+        select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v from embeddings
+        where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ), scored as (
+        select q.vec_id as query_id, c.vec_id as vec_id, list_inner_product(q.v::double[], c.v::double[])::bigint as score
+        from v q join v c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id
+    ), ranked as (
+        select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored
+    )
+    select query_id, rank, vec_id, score from ranked where rank <= 20
+    """
+)
+def op9_top_k(spark, folder):
+    return top_k.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query(
     """
     with p as (
