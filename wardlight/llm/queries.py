@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, licenses, line_dedup, near_duplicates, packing, quality, top_k, warc
+from . import bpe, html_text, licenses, line_dedup, near_duplicates, packing, quality, top_k, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +29,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query()
+def op1_toxicity(spark, folder):
+    documents = table(spark, folder, "documents")
+    net = toxicity.fit(documents, table(spark, folder, "labels"))
+    return toxicity.score_documents(documents, net)
+
+
 @query(
     r"""
     with raw as (
@@ -143,7 +150,7 @@ def op4_near_duplicates(spark, folder):
 def op5_quality(spark, folder):
     judged = quality.judge(table(spark, folder, "documents"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return judged.select("doc_id", *counts, "base_failed", "kept")
+    return judged.select("row.doc_id", *counts, "base_failed", "kept")
 
 
 @query()
