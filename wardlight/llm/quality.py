@@ -43,24 +43,26 @@ RULES = (
 )
 
 
-def features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_stutter, n_repeat_words), one row
-    per input row.
+def features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
+    """(row, text, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_stutter, n_repeat_words, place), one
+    row per input row; `row` holds its id, or with `whole` all its columns, and `place` numbers the rows.
 
     Words end at ASCII white space. A null text counts as one without words: every count is 0. Lines
-    without a word do not count. n_stutter counts words equal to the one before. n_repeat_words counts the words inside windows of WINDOW words that
-    occur twice or more in the text, the first included; windows are compared by 64-bit hashes. All
-    of it is evaluated row by row without a shuffle, so hot or null ids do not matter.
+    without a word do not count. n_stutter counts words equal to the one before. n_repeat_words counts
+    the words inside windows of WINDOW words that occur twice or more in the text, the first included;
+    windows are compared by 64-bit hashes. All of it is evaluated row by row without a shuffle, so
+    hot, null or repeated ids do not matter; an empty table gives no rows.
     """
-    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns] if whole else [F.col(f"`{id_col}`")])
+    rows = df.select(row.alias("row"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("bare", F.btrim("text", F.lit(BLANKS)))
     rows = rows.withColumn("words", F.when(F.col("bare") == "", F.expr("cast(array() as array<string>)")).otherwise(F.split("bare", BLANK_RUN)))
     lines = F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
-    rows = rows.select("id", "text", "words", lines.alias("lines"), F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
+    rows = rows.select("row", "text", "words", lines.alias("lines"), F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
     last = F.size("hashes") - WINDOW + 1
     windows = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice("hashes", i, WINDOW)))
     rows = rows.select(
-        "id",
+        "row",
         "text",
         F.size("words").cast("bigint").alias("n_words"),
         F.char_length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
@@ -80,7 +82,8 @@ def features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         f"aggregate(at, named_struct('last', 0, 'n', 0L), "
         f"(a, p) -> named_struct('last', p + {WINDOW}, 'n', a.n + p + {WINDOW} - greatest(a.last, p)), a -> a.n)"
     )
-    return rows.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("bigint"))).drop("at")
+    rows = rows.withColumns({"n_repeat_words": F.coalesce(covered, F.lit(0).cast("bigint")), "place": F.monotonically_increasing_id()})
+    return rows.drop("at")
 
 
 def rank_rules(sample: DataFrame, rules: tuple[Rule, ...]) -> list[Rule]:
@@ -117,13 +120,14 @@ def judge(
     base_rules: tuple[Rule, ...] = BASE_RULES,
     rules: tuple[Rule, ...] = RULES,
     sample_rows: int = SAMPLE_ROWS,
+    whole: bool = False,
 ) -> DataFrame:
     """features() with base_failed, kept and rejected_by (the rule that rejected a row first, or null).
 
     A row is kept when no base rule and no rule of the cascade rejects it; rules of equal rank on the
     sample may swap places, which can change rejected_by but not kept. An empty text fails few_words.
     """
-    found = features(df, id_col, text_col)
+    found = features(df, id_col, text_col, whole)
     sample = found.limit(sample_rows).persist()
     try:
         order = rank_rules(sample, rules)
@@ -133,4 +137,11 @@ def judge(
     judged = found.withColumn("base_failed", base_failed)
     named = F.when(F.col("base_failed"), F.lit("base")).otherwise(cascade(order))
     judged = judged.withColumn("rejected_by", named)
-    return judged.withColumn("kept", F.col("rejected_by").isNull()).withColumnRenamed("id", id_col)
+    return judged.withColumn("kept", F.col("rejected_by").isNull())
+
+
+def drop_rejected(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of df, with all their columns, that judge() keeps."""
+    judged = judge(df, id_col, text_col, whole=True)
+    # A filter on the number stays above the features; pushed below, it would compute them for every use.
+    return judged.filter("kept and place >= 0").select("row.*")
