@@ -13,7 +13,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import WordCache, kind, pick
+from .common import WordCache, kind, pick, ship
 
 #: Words of more bytes are merged with a heap: scanning a rank array costs the square of its length.
 SHORT = 96
@@ -162,6 +162,7 @@ def vocabulary(content: str) -> Vocabulary:
 
 
 def _with_vocabulary(spark: SparkSession, path: str):
+    ship(spark)
     with open(path, encoding="utf-8") as f:
         return spark.sparkContext.broadcast(f.read())  # a vocabulary file: its size does not follow the data
 

@@ -2,13 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+import zipfile
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: ASCII white space between words, as used by the shingle and quality contracts.
 BLANKS = " \t\n\x0b\x0c\r"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package's code to the Python workers of a session, once.
+
+    Workers then import its modules, wherever they run, and what a module keeps, such as a loaded
+    vocabulary, lasts from task to task.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="code-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))  # served by the driver to every executor, also to later ones
+    _shipped.add(context.applicationId)
+
+
 def pick(df: DataFrame, **names: str) -> DataFrame:
     """Only the named columns, under the names the operator uses: pick(df, id="doc_id", text="text").
 

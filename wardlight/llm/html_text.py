@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import kind, pick
+from .common import kind, pick, ship
 
 SIGMA, RADIUS = 1.0, 3
 #: A container that is not marked as the article must hold this share of the content lines' text.
@@ -29,6 +29,7 @@ OUTSIDE = set(
     "optgroup option progress script select style svg template textarea title video".split()
 )
 HEADINGS = set("h1 h2 h3 h4 h5 h6 hgroup".split())
+PARAGRAPHS = HEADINGS | set("blockquote dd dt figcaption li p pre td th".split())
 ARTICLES = set("article main".split())
 CLOSES_P = BLOCKS - set("body caption dd dt html legend li option summary tbody td tfoot th thead tr".split())
 #: A start tag ends the nearest open element of the first set unless one of the second lies between.
@@ -249,7 +250,8 @@ def main_lines(parser: Lines) -> list[Line]:
         if line.outside or not within(line.element):
             continue
         menu = line.linked * 2 > len(line.text) and not dense[n]
-        if marked or (first <= n <= last and not menu) or (line.heading and n < first):
+        # Short paragraphs around the dense region are the article's too; bare text there is not.
+        if marked or (not menu and (first <= n <= last or elements[line.element].tag in PARAGRAPHS)):
             kept.append(line)
     return kept
 
@@ -269,6 +271,7 @@ def extract_pages(df: DataFrame, id_col: str = "page_id", text_col: str = "html"
     one without main text, has an empty text. An unclosed page is read to its end. Other columns are
     not looked at.
     """
+    ship(df.sparkSession)
     rows = pick(df, id=id_col, page=text_col, **{f"k{i}": c for i, c in enumerate(keep)})
     others = [f"k{i}" for i in range(len(keep))]
     schema = ", ".join(f"{c} {kind(rows, c)}" for c in ["id", *others]) + ", text string, n_chars bigint"

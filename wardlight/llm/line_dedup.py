@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import write_stage
-from .common import BLANKS, kind
+from .common import BLANKS, kind, ship
 
 #: Words that a run of lines must hold to count as a repeat.
 LEAST_WORDS = 50
@@ -111,6 +111,7 @@ def delete_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     that repeats in whole becomes empty of such lines, but its row stays. Null and empty texts are left
     as they are. Rows with equal id and text are one place. All columns of df come along.
     """
+    ship(df.sparkSession)
     mine = {"id": F.col(f"`{id_col}`"), "text": F.col(f"`{text_col}`").cast("string")}
     text_hash = F.xxhash64(mine["text"])
     rows = df.select(mine["id"].alias("id"), text_hash.alias("text_hash"), mine["text"].alias("text"))

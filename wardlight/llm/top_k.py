@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import write_stage
-from .common import pick
+from .common import pick, ship
 
 K = 20
 #: Vectors in a shard, queries that a task runs over its shards together, and shards that a task takes in turn.
@@ -157,6 +157,7 @@ def search(
     All vectors lie in shards of bounded size, dealt by a hash of a row number; queries go over all of
     them in blocks, and each task raises the score to reach from shard to shard.
     """
+    ship(df.sparkSession)
     rows = pick(df.withColumn("_query_", is_query), id=id_col, vector=vector_col, asks="_query_")
     rows = rows.filter(F.col("id").isNotNull() & usable(F.col("vector")))
     rows = rows.select(F.col("id").cast("bigint").alias("id"), scaled(F.col("vector"), scale).alias("vector"), "asks")

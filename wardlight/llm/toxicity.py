@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick
+from .common import pick, ship
 
 #: Words in a window, and from the start of one window to the next.
 WINDOW, STRIDE = 32, 16
@@ -377,6 +377,7 @@ _types: dict[str | None, Types | None] = {}
 
 def score_column(spark: SparkSession, net: Net | None, text_col: str = "text") -> Column:
     """The score of a text column; only that column goes to Python, in Arrow batches."""
+    ship(spark)
     model = spark.sparkContext.broadcast(net)  # parameters only: their number is fixed
     key = None if net is None else net.digest()
 

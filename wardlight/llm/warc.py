@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import work_folder, write_stage
-from .common import pick
+from .common import pick, ship
 
 VERSION = b"WARC/1.1"
 #: Payloads shorter than this are always stored in full.
@@ -165,6 +165,7 @@ def write_archives(planned: DataFrame, folder: str, archive_bytes: int = ARCHIVE
             done.append((path, records, size))
         yield pd.DataFrame(done, columns=["archive", "records", "bytes"])
 
+    ship(planned.sparkSession)
     exact = planned.select(
         F.col("page_id").cast("decimal(20,0)"), "url", "payload", "digest", F.col("refers_to").cast("decimal(20,0)")
     )  # as decimals, ids beside nulls don't turn into floats
@@ -213,6 +214,7 @@ def read_archives(manifest: DataFrame, folder: str, with_payload: bool = True) -
                 if seen != count:
                     raise DamagedArchive(f"{path} holds {seen} records, not {count}")
 
+    ship(manifest.sparkSession)
     files = manifest.select("archive", "records")
     spread = files.repartition(max(1, min(4096, manifest.count())))
     return spread.mapInArrow(read, ", ".join(names))
