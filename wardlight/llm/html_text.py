@@ -46,11 +46,15 @@ ROLES = set("alert alertdialog banner complementary contentinfo dialog form menu
 # Words in class names and ids of what surrounds an article.
 COMMENTS = set("comment comments commentlist disqus replies reply respond responses".split())
 AROUND = set(
-    "ad ads adbox advert advertisement advertising adverts banner breadcrumb breadcrumbs consent cookie cookies copyright "
-    "disclaimer footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices notification overlay "
-    "pager pagination paywall popup promo promotion recommended related share sharing sidebar signup skip social sponsor "
-    "sponsored subscribe subscription tags toc toolbar topbar widget widgets".split()
+    "ad ads adbox adv advertising alert alerts aside consent copyright disclaimer flash gdpr hint infobar legal login "
+    "masthead menu menus modal nav notice notices notification notifications overlay pager pagination paywall rail "
+    "recommendations recommended related share sharing side signup skip social tags teaser teasers toast toc toolbar topbar "
+    "tracking warning".split()
 )
+#: Parts of such words that mean the same in any compound.
+STEMS = ("advert", "banner", "breadcrumb", "cookie", "footer", "navbar", "navigation", "newsletter", "popup", "promo", "sidebar", "sponsor", "subscri", "widget")
+#: A header of these is the article's own.
+OWN_HEADERS = set("article content entry heading post section story title".split())
 _name = re.compile(r"[a-z]+")
 _hidden = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
@@ -176,9 +180,13 @@ class Lines(HTMLParser):
         if values.get("role") in ROLES:
             return "around"
         names = set(_name.findall(values.get("class", "") + " " + values.get("id", "")))
-        if names & COMMENTS:
+        if names & COMMENTS or any("comment" in n for n in names):
             return "comments"
-        return "around" if names & AROUND and tag not in HEADINGS else ""
+        if tag in HEADINGS:
+            return ""
+        if "header" in names and not names & OWN_HEADERS and not self.inside(ARTICLES):
+            return "around"
+        return "around" if names & AROUND or any(stem in n for n in names for stem in STEMS) else ""
 
 
 def smooth(values: np.ndarray, sigma: float = SIGMA, radius: int = RADIUS) -> np.ndarray:
