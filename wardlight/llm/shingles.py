@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 
 from .common import BLANKS
 
 WORDS = 5
 #: Bytes of text hashed at once; a longer text is hashed alone.
-SLICE = 1 << 20
+SLICE = 1 << 19
+#: Rows taken out of an Arrow batch at once.
+ROWS = 128
 EMPTY = np.iinfo(np.uint64).max
 
 _blank = np.zeros(256, bool)
@@ -80,16 +83,17 @@ def shingle_sets(texts: Sequence[bytes], words: int = WORDS) -> list[np.ndarray]
     return out
 
 
-def slices(texts: Sequence[str | None]) -> Iterator[tuple[int, list[bytes]]]:
+def slices(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
     """(first row, texts in UTF-8) in slices of bounded size; null counts as empty."""
     held, size, first = [], 0, 0
-    for row, text in enumerate(texts):
-        data = (text or "").encode()
-        if held and size + len(data) > SLICE:
-            yield first, held
-            held, size, first = [], 0, row
-        held.append(data)
-        size += len(data) + 1
+    for start in range(0, len(texts), ROWS):
+        for row, data in enumerate(texts.slice(start, ROWS).cast(pa.binary()).to_pylist(), start):
+            data = data or b""
+            if held and size + len(data) > SLICE:
+                yield first, held
+                held, size, first = [], 0, row
+            held.append(data)
+            size += len(data) + 1
     if held:
         yield first, held
 
