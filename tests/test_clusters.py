@@ -68,6 +68,14 @@ def test_rows_without_coordinates_are_noise(spark):
     assert {r["id"]: r["cluster"] for r in dbscan(df, "id").collect()} == {1: -1, 2: 0}
 
 
+def test_many_rows_without_coordinates_share_no_task(spark):
+    rows = [(i, None, None) for i in range(3000)] + [(5000 + i, 13.0, 100.0 + i) for i in range(4)]
+    out = dbscan(spark.createDataFrame(rows, "id long, latitude double, longitude double").repartition(6), "id", min_rows=100)
+    assert out.filter("cluster = -1").count() == 3000 and out.filter("cluster >= 0").count() == 4
+    sizes = [n for n in out.rdd.glom().map(len).collect() if n]
+    assert max(sizes) < 1500
+
+
 def test_eps_too_large_for_the_lattice(spark):
     df = spark.createDataFrame([(1, 13.0, 100.0)], "id long, latitude double, longitude double")
     with pytest.raises(ValueError):

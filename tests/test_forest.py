@@ -76,6 +76,29 @@ def test_single_label_both_orders(table):
         assert set(got.metrics) == {"accuracy", "precision", "recall", "f1"}
 
 
+def test_a_single_setting_is_scored(table):
+    train = labelled(table, "high")
+    _, setting, scores = R.random_search(train, n_iter=1, space=SPACE)
+    assert len(scores) == 1 and 0 <= scores[0] <= 1 and setting["n_estimators"] >= 1
+
+
+def test_evaluation_returns_report_and_predictions(table):
+    rows = labelled(table, "high")
+    made = R.evaluation(R.train_classifier(rows, n_estimators=4, max_depth=3), rows)
+    assert made["predictions"].count() == rows.count() and made["report"].count() == 2
+    assert all(0 <= v <= 1 for v in made["scores"].first())
+
+
+def test_the_older_rule_resamples_rare_labels_only(table):
+    assert R.train_single_type_model(labelled(table, "rare"), 1, adaptive_resampling=False, space=SPACE).resampling.strategy == "smote_under"
+    assert R.train_single_type_model(labelled(table, "high"), 1, adaptive_resampling=False, space=SPACE).resampling.strategy == "class_weight"
+
+
+def test_no_two_labels_share_a_file_name():
+    names = [R.file_name(x) for x in ("a/b", "a_b", "a b", "a:b", "ถนน")]
+    assert len(set(names)) == 5 and names[1] == "a_b" and names[4] == "ถนน" and "/" not in names[0]
+
+
 def test_several_labels_at_once(table):
     both = labelled(table, "high").withColumnRenamed("label", "y0").join(
         labelled(table, "rare").select("row_id", F.col("label").alias("y1")), "row_id"

@@ -46,9 +46,9 @@ def test_inapplicable_strategies_return_the_input(spark, positives, strategy):
     assert got.count() == 1000 and stats.error and stats.resampled_total == 1000
 
 
-def test_auto_needs_a_ratio(spark):
-    with pytest.raises(ValueError):
-        resample(labelled(spark, 20, 3))
+def test_auto_takes_the_share_of_positives(spark):
+    assert resample(labelled(spark, 20, 3))[1].strategy == "class_weight"
+    assert resample(labelled(spark, 1000, 80))[1].strategy == "undersampling"
 
 
 @pytest.mark.parametrize("options", [{}, {"block_rows": 40, "pivots": 12}])

@@ -38,6 +38,16 @@ def test_parse_time_formats(spark):
     assert got == ["2022-01-01 10:11:12", "2022-01-01 03:11:12", "2022-01-01 00:00:00", "2022-01-02 00:00:00", None, None]
 
 
+def test_parse_time_takes_other_orders_and_names(spark):
+    texts = ["13/02/2022", "01/02/2022 3:04 PM", "Jan 2 2022", "January 2, 2022 05:06", "2 Jan 2022", "2022/1/2", "31/12/2021 23:59:58", "99/99/2022"]
+    df = spark.createDataFrame([(x,) for x in texts], "a string")
+    got = values(df.select(F.date_format(S.parse_time("a"), "yyyy-MM-dd HH:mm:ss").alias("t")), "t")
+    assert got == [
+        "2022-02-13 00:00:00", "2022-01-02 15:04:00", "2022-01-02 00:00:00", "2022-01-02 05:06:00",
+        "2022-01-02 00:00:00", "2022-01-02 00:00:00", "2021-12-31 23:59:58", None,
+    ]
+
+
 def test_parse_date_is_strict(spark):
     df = spark.createDataFrame([("2024-02-29",), ("2023-02-29",), ("2024-1-1",), ("2024-01-01 10:00",)], "a string")
     assert values(df.select(S.parse_date("a").alias("d")), "d") == [date(2024, 2, 29), None, None, None]

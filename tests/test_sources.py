@@ -36,11 +36,13 @@ def test_weather_sites_from_file_names(spark, tmp_path):
     ]
 
 
-def test_weather_files_with_different_headers_are_refused(spark, tmp_path):
+def test_weather_files_with_different_headers_are_put_together_by_name(spark, tmp_path):
     write(tmp_path / "a.csv", HEAD + "2024-01-01T00:00,1,1\n")
-    write(tmp_path / "b.csv", "time,rain (mm)\n2024-01-01T00:00,1\n")
+    write(tmp_path / "b.csv", "time,extra,rain (mm)\n2024-01-01T01:00,7,2\n")
+    got = tables.read_weather(spark, str(tmp_path)).orderBy("time").collect()
+    assert [r["extra"] for r in got] == [None, 7.0] and [r["rain (mm)"] for r in got][1] == 2.0
     with pytest.raises(ValueError):
-        tables.read_weather(spark, str(tmp_path))
+        tables.read_weather(spark, write(tmp_path / "c.csv", "no header\n"))
 
 
 def test_air_quality(spark, tmp_path):

@@ -171,3 +171,34 @@ def test_density_counts_every_row(spark):
     assert sum(r["n"] for r in got) == 1000
     want = Counter(round(round((100 + i % 7 / 100) // 0.05 * 0.05, 5), 5) for i in range(1000))
     assert {x: sum(r["n"] for r in got if r["lon_bin"] == x) for x in want} == want
+
+
+def test_equal_rows_of_a_hot_key_spread(spark):
+    left = spark.range(8000).select(F.lit(1).alias("k"))
+    right = spark.createDataFrame([(1, "a")], "k int, v string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = W.salted_join(left, right, ["k"], "left", min_rows=100, salts=16)
+        sizes = joined.rdd.glom().map(len).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 8000 and max(sizes) < 4500
+
+
+def test_nan_counts_as_unknown(spark):
+    df = spark.createDataFrame([("a", float("nan")), ("b", 1.0), ("b", 3.0), (None, None)], "district string, x double")
+    got = A.metrics(df, "district", ["x"], ["x"], ["x"]).first()
+    assert (got["avg_x"], got["max_x"], got["sum_x_over_rows"]) == (2.0, 3.0, 4.0)
+    assert sum(r["n"] for r in A.equal_width_counts(df, "x", 4).collect()) == 2
+    assert sorted(r["x"] for r in C.fill_zero(df).collect()) == [0.0, 0.0, 1.0, 3.0]
+
+
+def test_no_columns_to_look_at_keep_all_rows(spark):
+    df = spark.createDataFrame([(None,), ("a",)], "x string")
+    assert C.drop_missing_weather(df, []).count() == 2
+
+
+def test_trainable_types_have_no_cap(spark, monkeypatch):
+    monkeypatch.setattr(L, "MAX_COLUMNS", 2)
+    df = spark.createDataFrame([(["a", "b", "c", "d"],)] * 3, "type array<string>")
+    assert L.trainable_types(df, min_samples=3) == ["a", "b", "c", "d"]

@@ -17,7 +17,10 @@ WHITE_SPACE = (
 )
 DAY_NAMES = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 # Tried in this order once the ISO cast has failed.
-TIMESTAMP_FORMATS = ("M/d/yyyy H:m:s", "M/d/yyyy H:m", "M/d/yyyy")
+TIMESTAMP_FORMATS = (
+    "M/d/yyyy[ H:m[:s]]", "M/d/yyyy h:m[:s] a", "d/M/yyyy[ H:m[:s]]", "d/M/yyyy h:m[:s] a", "yyyy/M/d[ H:m[:s]]",
+    "MMM d[,] yyyy[ H:m[:s]]", "MMMM d[,] yyyy[ H:m[:s]]", "d MMM yyyy[ H:m[:s]]", "d MMMM yyyy[ H:m[:s]]",
+)
 
 # Substring rules of the importance report, checked in this order.
 FEATURE_CATEGORIES = (

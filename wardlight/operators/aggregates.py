@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import (
     DAY_NAMES, PM25_EDGES, PM25_LABELS, cut_fixed, equal_bin, equal_bin_mid, grid_floor,
 )
-from .clean import quoted
+from .clean import known, quoted
 
 
 def counts_by(df: DataFrame, key: Column | str, name: str | None = None) -> DataFrame:
@@ -52,13 +52,13 @@ def day_hour_table(df: DataFrame, time_column: str) -> DataFrame:
 
 
 def metrics(df: DataFrame, district: str, averages: Sequence[str], maxima: Sequence[str] = (), sums: Sequence[str] = ()) -> DataFrame:
-    """Row count, distinct districts and the mean, maximum and sum of the given columns, as one row."""
+    """Row count, distinct districts and the mean, maximum and sum of the known values of columns, as one row."""
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct(quoted(district)).alias("n_districts"),
-        *[F.avg(quoted(c)).alias(f"avg_{c}") for c in averages],
-        *[F.max(quoted(c)).alias(f"max_{c}") for c in maxima],
-        *[F.sum(quoted(c)).alias(f"sum_{c}_over_rows") for c in sums],
+        *[F.avg(known(df, c)).alias(f"avg_{c}") for c in averages],
+        *[F.max(known(df, c)).alias(f"max_{c}") for c in maxima],
+        *[F.sum(known(df, c)).alias(f"sum_{c}_over_rows") for c in sums],
     )
 
 
@@ -67,7 +67,7 @@ def equal_width_counts(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
 
     The two bounds are read first, so that the ranges are constants in the counting plan.
     """
-    values = df.select(quoted(column).cast("double").alias("x")).filter("x is not null")
+    values = df.select(quoted(column).cast("double").alias("x")).filter("x is not null and not isnan(x)")
     low, high = (F.lit(v).cast("double") for v in values.agg(F.min("x"), F.max("x")).first())
     counted = values.select(equal_bin("x", low, high, bins).alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     every = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))

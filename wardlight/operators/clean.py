@@ -83,7 +83,7 @@ def drop_incomplete(df: DataFrame, subset: Sequence[str] | None = None) -> DataF
         quoted(c).isNotNull() & (~F.isnan(quoted(c)) if kinds[c] in ("double", "float") else F.lit(True))
         for c in (df.columns if subset is None else subset)
     ]
-    return df.filter(reduce(lambda a, b: a & b, present))
+    return df.filter(reduce(lambda a, b: a & b, present, F.lit(True)))
 
 
 def clean_reports(df: DataFrame, drop: Sequence[str] | None = None, province: str | None = PROVINCE) -> DataFrame:
@@ -158,9 +158,16 @@ def trailing_days(df: DataFrame, date_column: str, days: int = 365) -> DataFrame
     return df.filter(F.col(date_column) >= F.date_sub(latest, days).cast(df.schema[date_column].dataType))
 
 
+def known(df: DataFrame, column: str) -> Column:
+    """The column with NaN as NULL."""
+    floating = isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType))
+    return F.when(~F.isnan(quoted(column)), quoted(column)) if floating else quoted(column)
+
+
 def fill_zero(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """0 for NULL and NaN."""
     names = numeric_columns(df) if columns is None else columns
-    return df.withColumns({c: F.coalesce(quoted(c), F.lit(0)) for c in names})
+    return df.withColumns({c: F.coalesce(known(df, c), F.lit(0)) for c in names})
 
 
 def valid_and_invalid(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:

@@ -117,7 +117,11 @@ def dbscan(df: DataFrame, id_column: str, eps: float = 0.0008, min_samples: int
     touched = borders.join(named, "cell").filter(F.exists("pts", lambda q: _near(F.struct("x", "y"), q, limit)))
     labels = core.unionAll(touched.groupBy("x", "y").agg(F.min("cluster").alias("cluster")))
     labels = write_stage(labels.withColumnsRenamed({"x": "_x", "y": "_y"}), "labels")
-    found = salted_join(rows, labels, ["_x", "_y"], "left", **salting).drop("_x", "_y")
+    # Rows without coordinates are noise and meet no join, where they would all share one key.
+    placed = rows.filter("_x is not null and _y is not null")
+    found = salted_join(placed, labels, ["_x", "_y"], "left", **salting)
+    lost = rows.filter("_x is null or _y is null").withColumn("cluster", F.lit(None).cast("bigint"))
+    found = found.select(lost.columns).unionAll(lost).drop("_x", "_y")
     return found.withColumn("cluster", F.coalesce("cluster", F.lit(NOISE)).cast("bigint"))
 
 

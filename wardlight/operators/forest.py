@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import random
+import re
 import statistics
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -13,7 +15,6 @@ from datetime import UTC, datetime
 from pyspark import StorageLevel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +24,8 @@ from ..functions.scalars import feature_category, is_cyclical_name, is_district_
 from ..session import work_folder
 from .clean import numeric_columns, quoted
 from .labels import class_distribution
-from .metrics import binary_metrics, multilabel_metrics, weighted_metrics
-from .resampling import ResamplingStats, resample
+from .metrics import binary_metrics, class_report, multilabel_metrics, weighted_metrics
+from .resampling import ResamplingStats, determine_resampling_strategy, non_adaptive_strategy, resample
 from .sampling import add_folds, mark_test
 
 MAX_DEPTH = 30  # the deepest tree Spark grows; stands for "unlimited"
@@ -70,7 +71,7 @@ def assemble(df: DataFrame, id_column: str, features: Sequence[str], keep: Seque
     """(row_id, features, kept columns); missing values are 0."""
     plain = df.select(
         quoted(id_column).cast("string").alias("row_id"),
-        *[F.coalesce(quoted(c).cast("double"), F.lit(0.0)).alias(f"_f{i}") for i, c in enumerate(features)],
+        *[F.nanvl(F.coalesce(quoted(c).cast("double"), F.lit(0.0)), F.lit(0.0)).alias(f"_f{i}") for i, c in enumerate(features)],
         *[quoted(c) for c in keep],
     )
     names = [f"_f{i}" for i in range(len(features))]
@@ -78,11 +79,6 @@ def assemble(df: DataFrame, id_column: str, features: Sequence[str], keep: Seque
     return plain.select("row_id", array_to_vector(F.array(*names)).alias("features"), *[quoted(c) for c in keep])
 
 
-def assemble_columns(df: DataFrame, features: Sequence[str], output: str = "features") -> DataFrame:
-    """Add a vector of existing columns; rows must be complete."""
-    return VectorAssembler(inputCols=list(features), outputCol=output).transform(df)
-
-
 def forest(n_estimators: int = 100, max_depth: int | None = None, seed: int = 42, label: str = "label", **params) -> RandomForestClassifier:
     # Cached node ids spare passing the deep trees to every task again.
     return RandomForestClassifier(
@@ -93,6 +89,7 @@ def forest(n_estimators: int = 100, max_depth: int | None = None, seed: int = 42
 
 def train_classifier(df: DataFrame, label: str | Sequence[str] = "label", n_estimators: int = 100, max_depth: int | None = None, seed: int = 42):
     """One forest, or for several labels one forest per label as a dict."""
+    work_folder(df.sparkSession)  # deep trees checkpoint the node of every row there
     if isinstance(label, str):
         return forest(n_estimators, max_depth, seed, label).fit(df)
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -117,6 +114,12 @@ def evaluate_classifier(models, df: DataFrame, label: str | Sequence[str] = "lab
     return weighted_metrics(models.transform(df), label)
 
 
+def evaluation(model: RandomForestClassificationModel, df: DataFrame, label: str = "label") -> dict[str, DataFrame]:
+    """The scores of evaluate_classifier, the report per class, and the predictions themselves."""
+    predictions = model.transform(df)
+    return {"scores": weighted_metrics(predictions, label), "report": class_report(predictions, label), "predictions": predictions}
+
+
 def add_balanced_weight(df: DataFrame, label: str = "label") -> DataFrame:
     """weight = n / (2 x rows of the class)."""
     n = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == 1).alias("p")).first()
@@ -152,7 +155,7 @@ def _with_params(rf: RandomForestClassifier, params: dict[str, int | str]) -> di
 def random_search(train: DataFrame, n_iter: int = 5, seed: int = 42, folds: int = 2, space: dict | None = None, parallelism: int = 2):
     """(model refitted with the best setting, best setting, mean f1 of class 1 of every setting).
 
-    train: row_id, features, label. A single setting needs no scoring and is fitted at once.
+    train: row_id, features, label. A single setting is scored like any other.
     """
     work_folder(train.sparkSession)  # deep trees checkpoint the node of every row there
     settings = draw_params(n_iter, seed, space)
@@ -160,8 +163,6 @@ def random_search(train: DataFrame, n_iter: int = 5, seed: int = 42, folds: int
     weighted = add_balanced_weight(add_folds(train, "label", "row_id", folds, seed)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         grid = [_with_params(rf, s) for s in settings]
-        if len(grid) == 1:
-            return rf.fit(weighted, grid[0]), settings[0], []
         search = CrossValidator(
             estimator=rf, estimatorParamMaps=grid, evaluator=MulticlassClassificationEvaluator(**SCORES["f1"]),
             numFolds=folds, foldCol="fold", parallelism=parallelism,
@@ -175,6 +176,7 @@ def random_search(train: DataFrame, n_iter: int = 5, seed: int = 42, folds: int
 
 def cross_validate(df: DataFrame, estimator: RandomForestClassifier | None = None, cv: int = 5, scoring: str = "accuracy", seed: int = 42) -> tuple[DataFrame, float, float]:
     """(fold, score) per fold, their mean and population standard deviation."""
+    work_folder(df.sparkSession)
     estimator = estimator or forest(seed=seed)
     evaluator = MulticlassClassificationEvaluator(**SCORES[scoring])
     folded = add_folds(df, "label", "row_id", cv, seed).persist(StorageLevel.MEMORY_AND_DISK)
@@ -222,17 +224,18 @@ def train_single_type_model(
     """Resample, search, refit and score one binary label.
 
     data: row_id, features, label. The test rows are set aside first, so that no synthetic row is
-    tested; resample_before_split=True does it the other way round.
+    tested; resample_before_split=True does it the other way round. Without adaptive_resampling only
+    rare labels are resampled.
     """
     counted = data.agg(F.count_if(F.col("label") == 1).alias("p"), F.count(F.lit(1)).alias("n")).first()
     ratio = counted["p"] / counted["n"]
-    stats = None
-    if resample_before_split and adaptive_resampling:
-        data, stats = resample(data, minority_ratio=ratio, seed=seed)
+    strategy = determine_resampling_strategy(ratio) if adaptive_resampling else non_adaptive_strategy(ratio)
+    if resample_before_split:
+        data, stats = resample(data, strategy=strategy, seed=seed)
     marked = mark_test(data, "row_id", test_size, seed, stratify="label")
     train, test = marked.filter(~F.col("is_test")).drop("is_test"), marked.filter("is_test").drop("is_test")
-    if adaptive_resampling and not resample_before_split:
-        train, stats = resample(train, minority_ratio=ratio, seed=seed)
+    if not resample_before_split:
+        train, stats = resample(train, strategy=strategy, seed=seed)
     model, best, _ = random_search(train, n_iter, seed, space=space)
     scores = binary_metrics(model.transform(test)).first()
     metrics = {k: scores[k] for k in ("accuracy", "precision", "recall", "f1")}
@@ -264,7 +267,7 @@ def train_all_types(
         trained = train_single_type_model(data, n_iter, adaptive_resampling, seed, resample_before_split, space)
         trained.importance = feature_importance(trained.model, feature_names, spark)
         if output_dir:
-            trained.path = save_model(spark, trained.model, f"{output_dir}/{label.replace('/', '_')}_model", {"label": label, "features": list(feature_names)})
+            trained.path = save_model(spark, trained.model, f"{output_dir}/{file_name(label)}_model", {"label": label, "features": list(feature_names)})
         return label, trained
 
     try:
@@ -289,6 +292,12 @@ def training_summary(results: dict[str, TrainedModel], spark: SparkSession) -> D
     return spark.createDataFrame(rows, kinds).orderBy(F.desc("f1"), "type")
 
 
+def file_name(label: str) -> str:
+    """A label as part of a path; labels that had to be changed get a digest, so that no two share a name."""
+    plain = re.sub(r"[/\\:?#%*\s]", "_", label)
+    return plain if plain == label else f"{plain}-{hashlib.md5(label.encode()).hexdigest()[:8]}"
+
+
 def save_json(spark: SparkSession, path: str, value) -> str:
     spark.createDataFrame([(json.dumps(value, ensure_ascii=False),)], "value string").coalesce(1).write.mode("overwrite").text(path)
     return path

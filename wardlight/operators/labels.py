@@ -152,4 +152,4 @@ def trainable_flags(df: DataFrame, column: str = "type", min_samples: int = 50)
 def trainable_types(df: DataFrame, column: str = "type", min_samples: int = 50) -> list[str]:
     """Labels with enough positives, most frequent first."""
     kept = trainable_flags(df, column, min_samples).filter("trainable").orderBy(F.desc("positive"), "label")
-    return [r["label"] for r in kept.select("label").limit(MAX_COLUMNS).collect()]
+    return [r["label"] for r in kept.select("label").collect()]

@@ -54,7 +54,8 @@ def salted_join(
     if not hot:
         return left.join(right, on, how)
     is_hot = F.xxhash64(*on).isin(hot)
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    # A row's number, not its content: equal rows of a hot key must spread as well.
+    spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).cast("int")
     repeat = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_left = left.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
     salted_right = right.withColumn("_salt", F.explode(repeat))

@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -876,3 +877,196 @@ def forest_all_types(t):
     kind = t.embeddings.select(F.col("vec_id").cast("string").alias("row_id"), F.array(F.concat(F.lit("g"), F.floor(F.col("label") / 4))).alias("type"))
     results = R.train_all_types(rows.join(kind, "row_id"), [], n_iter=1, space=SMALL_SPACE)
     return R.training_summary(results, t.spark)
+
+
+# --- facts about models and synthetic rows that SQL can derive ---------------------------------------------------------
+
+
+def one_row(*rows: DataFrame) -> DataFrame:
+    """One-row tables side by side."""
+    keyed = [df.withColumn("_one", F.lit(1)) for df in rows]
+    return reduce(lambda a, b: a.join(b, "_one"), keyed).drop("_one")
+
+
+@query("""WITH c AS (SELECT (label < 3)::INT AS y, count(*) AS n, (SELECT count(*) FROM embeddings) AS total FROM embeddings GROUP BY 1),
+f AS (SELECT *, ceil(total * 0.2) AS tests, floor(ceil(total * 0.2) * n / total) AS base, ceil(total * 0.2) * n / total - floor(ceil(total * 0.2) * n / total) AS rest FROM c),
+a AS (SELECT y, tests, base + (row_number() OVER (ORDER BY rest DESC, y) <= tests - sum(base) OVER ())::INT AS cut FROM f)
+SELECT max(tests)::BIGINT AS n_test, max(cut) FILTER (y = 1)::BIGINT AS n_positive, max(tests)::BIGINT AS n_predicted, 2::BIGINT AS n_classes,
+true AS in_range, 1.0::DOUBLE AS importance_sum FROM a""")
+def forest_facts(t):
+    """Sizes of the test split and of the predictions on it, and bounds of all scores."""
+    train, test = P.split_data(vectors(t, F.col("label") < 3), "row_id", stratify="label")
+    model = R.train_classifier(train, n_estimators=20, max_depth=6)
+    made = R.evaluation(model, test)
+    sizes = made["predictions"].agg(
+        F.count(F.lit(1)).alias("n_test"), F.count_if(F.col("label") == 1).alias("n_positive"), F.count("prediction").alias("n_predicted")
+    )
+    scores = made["scores"].first().asDict()
+    report = made["report"].agg(
+        F.count(F.lit(1)).alias("n_classes"), F.coalesce(F.bool_and(F.col("f1").between(0, 1)), F.lit(False)).alias("report_in_range")
+    )
+    total = R.feature_importance(model, None, t.spark).agg(F.round(F.sum("importance"), 6).alias("importance_sum"))
+    fine = all(0 <= v <= 1 for k, v in scores.items() if isinstance(v, float))
+    return one_row(sizes, report, total).select(
+        "n_test", "n_positive", "n_predicted", "n_classes", (F.col("report_in_range") & F.lit(fine)).alias("in_range"), "importance_sum"
+    )
+
+
+@query("""WITH s AS (SELECT (label < 3) AS y, count(*) AS n FROM embeddings GROUP BY 1), k AS (SELECT unnest(range(3)) AS fold)
+SELECT fold::INT AS fold, sum(ceil(n * (fold + 1) / 3) - ceil(n * fold / 3))::BIGINT AS n_rows, true AS in_range FROM s, k GROUP BY 1""")
+def forest_fold_facts(t):
+    rows = vectors(t, F.col("label") < 3)
+    table, mean, spread = R.cross_validate(rows, R.forest(10, 5), cv=3, scoring="f1")
+    sizes = P.add_folds(rows, "label", "row_id", 3).groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows"))
+    fine = F.col("score").between(0, 1) & F.lit(0 <= mean <= 1 and 0 <= spread <= 1)
+    return sizes.join(table, "fold").select(F.col("fold").cast("int").alias("fold"), "n_rows", fine.alias("in_range"))
+
+
+@query("""WITH g AS (SELECT 'g' || (label // 4) AS type, count(*) AS n, (SELECT count(*) FROM embeddings) AS total FROM embeddings GROUP BY 1)
+SELECT type, true AS in_range, n / total AS minority_ratio,
+CASE WHEN n / total >= 0.15 THEN 'class_weight' WHEN n / total >= 0.05 THEN 'undersampling' ELSE 'smote_under' END AS strategy, true AS loads_alike
+FROM g WHERE n >= 50""")
+def training_facts(t):
+    """One model per label: which are trained, with which strategy, and that a stored model predicts what the trained one did."""
+    rows = vectors(t, F.col("label") < 3).drop("label")
+    kind = t.embeddings.select(F.col("vec_id").cast("string").alias("row_id"), F.array(F.concat(F.lit("g"), F.floor(F.col("label") / 4))).alias("type"))
+    folder = f"{work_folder(t.spark)}/models-{uuid.uuid4().hex}"
+    results = R.train_all_types(rows.join(kind, "row_id"), [], n_iter=1, space=SMALL_SPACE, output_dir=folder)
+    stored = R.list_models(t.spark, folder)
+    found = []
+    for name, one in results.items():
+        again, about = R.load_model(t.spark, one.path)
+        both = one.model.transform(rows).select("row_id", F.col("prediction").alias("a")).join(again.transform(rows).select("row_id", F.col("prediction").alias("b")), "row_id")
+        alike = both.filter(F.col("a") != F.col("b")).isEmpty() and about["metadata"]["label"] == name and one.path.rsplit("/", 1)[1] in stored
+        found.append((name, all(0 <= v <= 1 for v in one.metrics.values()), one.minority_ratio, one.resampling.strategy, alike))
+    return t.spark.createDataFrame(found, "type string, in_range boolean, minority_ratio double, strategy string, loads_alike boolean")
+
+
+@query("""SELECT 4 * count(*) AS n_rows, 0::BIGINT AS n_unknown, 0::BIGINT AS n_outside FROM embeddings WHERE label = 0""")
+def smote_facts(t):
+    """Synthetic rows name the row they start from, and lie within the bounds of the rare rows in every dimension."""
+    rare = vectors(t, F.col("label") == 0).filter("label = 1")
+    made = B.smote(rare, 4 * rare.count())
+    values = rare.select("row_id", vector_to_array("features").alias("v"))
+    bounds = values.select(F.posexplode("v").alias("d", "x")).groupBy("d").agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    split = made.select(F.split("row_id", ":")[1].alias("base"), vector_to_array("features").alias("v"))
+    known = split.join(rare.select(F.col("row_id").alias("base")), "base", "left_anti").agg(F.count(F.lit(1)).alias("n_unknown"))
+    cells = split.select(F.posexplode("v").alias("d", "x")).join(F.broadcast(bounds), "d")  # as many bounds as dimensions
+    outside = cells.filter((F.col("x") < F.col("low") - 1e-9) | (F.col("x") > F.col("high") + 1e-9)).agg(F.count(F.lit(1)).alias("n_outside"))
+    return one_row(split.agg(F.count(F.lit(1)).alias("n_rows")), known, outside)
+
+
+@query(LABEL_COUNT_SQL + """SELECT label, round(positive / n::DOUBLE, 9) AS ratio,
+CASE WHEN positive / n::DOUBLE < 0.05 THEN 'smote_under' ELSE 'class_weight' END AS strategy FROM c, n""")
+def older_strategies(t):
+    counted = L.class_distribution(labelled_orders(t)).select("label", "ratio").collect()
+    rows = [(r["label"], round(r["ratio"], 9), B.non_adaptive_strategy(r["ratio"])) for r in counted]
+    return t.spark.createDataFrame(rows, "label string, ratio double, strategy string")
+
+
+# --- files, continued ------------------------------------------------------------------------------------------------
+
+
+def text_files(t: Tables, lines: DataFrame, folder: str, name: str) -> str:
+    """Write lines into files called <name>-<n>.csv."""
+    made = f"{work_folder(t.spark)}/lines-{uuid.uuid4().hex}"
+    lines.write.text(made)
+    path = t.spark._jvm.org.apache.hadoop.fs.Path
+    files = path(made).getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path(folder))
+    parts = sorted(s.getPath().toString() for s in files.listStatus(path(made)) if s.getPath().getName().startswith("part-"))
+    for n, part in enumerate(parts):
+        files.rename(path(part), path(f"{folder}/{name}-{n}.csv"))
+    return folder
+
+
+def event_lines(t: Tables, condition: str, column: str, *before: str) -> DataFrame:
+    head = t.spark.createDataFrame([(x,) for x in (*before, f"time,{column}")], "value string")
+    rows = t.events.filter(condition).select(F.concat_ws(",", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.col("value").cast("string")).alias("value"))
+    return head.coalesce(1).unionAll(rows)
+
+
+@query("""SELECT ts::DATE AS date, count(*) AS n, round(sum(value), 4) AS value FROM events GROUP BY 1""")
+def weather_preamble(t):
+    """Coordinate lines above the header are told apart by their content."""
+    lines = event_lines(t, "true", "rain (mm)", "latitude,longitude,elevation", "13.74,100.5,7.0", "")
+    one = text_files(t, lines.coalesce(1), f"{work_folder(t.spark)}/weather-{uuid.uuid4().hex}", "weather")
+    read = tables.read_weather(t.spark, one)
+    return read.groupBy(F.to_date("time").alias("date")).agg(F.count("rain (mm)").alias("n"), F.round(F.sum("rain (mm)"), 4).alias("value"))
+
+
+@query("""WITH s AS (SELECT CASE WHEN event_type = 'view' THEN 13.74 ELSE 13.8 END::DOUBLE AS latitude, CASE WHEN event_type = 'view' THEN 100.5 ELSE 100.6 END::DOUBLE AS longitude,
+date_trunc('second', ts) AS time, event_type = 'view' AS v FROM events)
+SELECT latitude, longitude, count(DISTINCT time) AS n, CASE WHEN bool_or(v) THEN count(DISTINCT time) ELSE 0 END AS n_rain, CASE WHEN bool_or(v) THEN 0 ELSE count(DISTINCT time) END AS n_wind
+FROM s GROUP BY 1, 2""")
+def weather_sites(t):
+    """Files of two sites with different columns, put together by name; one row for each site and time."""
+    folder = f"{work_folder(t.spark)}/sites-{uuid.uuid4().hex}"
+    text_files(t, event_lines(t, "event_type = 'view'", "rain (mm)").coalesce(1), folder, "open-meteo-13.74N100.5E")
+    text_files(t, event_lines(t, "event_type <> 'view'", "wind_speed_10m (km/h)").coalesce(1), folder, "open-meteo-13.8N100.6E")
+    read = tables.read_weather_sites(t.spark, folder)
+    return read.groupBy("latitude", "longitude").agg(
+        F.count(F.lit(1)).alias("n"), F.count("rain (mm)").alias("n_rain"), F.count("wind_speed_10m (km/h)").alias("n_wind")
+    )
+
+
+@query("""SELECT 'reports' AS source, count(*) AS n_rows FROM customer UNION ALL SELECT 'weather', count(*) FROM events""")
+def extracted(t):
+    weather = t.events.select(F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("time"), F.col("value").alias("rain (mm)"))
+    read = tables.extract(t.spark, as_csv(t, C.strip_names(messy_customers(t))), as_csv(t, weather))
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("source"), "n_rows") for n, df in zip(("reports", "weather"), read, strict=True)]
+    return parts[0].unionAll(parts[1])
+
+
+@query(DAILY_SQL + """SELECT date, round(max(price), 4) AS price, count(*) AS n, count(*) AS n_csv FROM m GROUP BY 1""")
+def merged_again(t):
+    """The merged table as written, in both formats."""
+    paths = sinks.save_merged(daily_merged(t), f"{work_folder(t.spark)}/merged-{uuid.uuid4().hex}")
+    read = tables.read_merged(t.spark, paths["parquet"])
+    csv = t.spark.read.csv(paths["csv"], header=True).groupBy(F.to_date("date").alias("date")).agg(F.count(F.lit(1)).alias("n_csv"))
+    return read.groupBy("date").agg(F.round(F.max("price"), 4).alias("price"), F.count(F.lit(1)).alias("n")).join(csv, "date")
+
+
+@query("""SELECT o_orderdate::DATE AS date, count(*) AS n FROM orders GROUP BY 1""")
+def saved_aggregations(t):
+    folder = f"{work_folder(t.spark)}/summaries-{uuid.uuid4().hex}"
+    path = sinks.save_aggregations({"by_date": A.counts_by(t.orders, F.to_date("o_orderdate"), "date")}, folder)["by_date"]
+    return t.spark.read.csv(path, header=True).select(F.to_date("date").alias("date"), big(F.col("n")).alias("n"))
+
+
+@query("""SELECT count(*) AS n_rows, true AS both_written, true AS shares_agree FROM orders""")
+def saved_sizes(t):
+    folder = f"{work_folder(t.spark)}/all-{uuid.uuid4().hex}"
+    sizes = sinks.save_all(t.orders, {"by_status": A.counts_by(t.orders, "o_orderstatus")}, folder)
+    n = tables.read_merged(t.spark, f"{folder}/merged.parquet").agg(F.count(F.lit(1)).alias("n_rows"))
+    wanted = (1 - F.col("parquet_mb") / F.col("csv_mb")) * 100
+    return one_row(n, sizes).select(
+        "n_rows", ((F.col("csv_mb") > 0) & (F.col("parquet_mb") > 0)).alias("both_written"), (F.abs(F.col("percent_smaller") - wanted) < 1e-6).alias("shares_agree")
+    )
+
+
+@query("""SELECT 0 AS step, 'raw' AS stage, count(*) AS n_rows FROM customer UNION ALL
+SELECT 1, 'clean', count(*) FROM customer WHERE c_nationkey >= 3 AND c_acctbal BETWEEN 0 AND 9000 AND c_mktsegment = 'BUILDING'""")
+def cleaned_file(t):
+    target = f"{work_folder(t.spark)}/clean-{uuid.uuid4().hex}"
+    return batch.clean_file(t.spark, as_csv(t, C.strip_names(messy_customers(t))), target, "BUILDING")
+
+
+@query(ORACLE["prepared_table"])
+def final_table(t):
+    """The feature table as written and read again."""
+    path = sinks.save_parquet(QUERIES["prepared_table"](t.spark, t.folder), f"{work_folder(t.spark)}/final-{uuid.uuid4().hex}")
+    return t.spark.read.parquet(path)
+
+
+@query(f"""SELECT o_orderkey, '{{' || array_to_string(labels, ', ') || '}}' AS type FROM {ORDER_LABELS} WHERE len(labels) > 0""")
+def lists_as_text(t):
+    path = sinks.save_csv(labelled_orders(t).select("o_orderkey", "type"), f"{work_folder(t.spark)}/lists-{uuid.uuid4().hex}")
+    read = tables.read_reports(t.spark, path, multi_line=False)
+    return read.select(big(F.col("o_orderkey")).alias("o_orderkey"), "type")
+
+
+@query("""SELECT 'value' AS column_name, round(avg(value), 6) AS mean FROM events""")
+def named_fallback(t):
+    name = C.first_existing(t.events, "temperature_2m (°C)", "temperature_2m", "value")
+    return t.events.agg(F.round(F.avg(name), 6).alias("mean")).select(F.lit(name).alias("column_name"), "mean")

@@ -13,19 +13,15 @@ from ..operators import aggregates as A
 from ..operators import clean as C
 from ..operators import clusters, dedupe, labels, sampling
 from ..session import write_stage
+from ..sources.tables import WEATHER_COLUMNS
 
 # Numeric columns of the dashboard table.
-NUMERIC = (
-    "temperature_2m (°C)", "dew_point_2m (°C)", "relative_humidity_2m (%)", "rain (mm)", "vapour_pressure_deficit (kPa)",
-    "cloud_cover (%)", "wind_direction_10m (°)", "surface_pressure (hPa)", "wind_speed_10m (km/h)",
-    "pm25", "pm10", "o3", "no2",
-)
+NUMERIC = (*WEATHER_COLUMNS, "pm25", "pm10", "o3", "no2")
 # Columns that the map page leaves out.
 MAP_UNUSED = (
     "timestamp", "o3", "no2", "dew_point_2m (°C)", "vapour_pressure_deficit (kPa)", "cloud_cover (%)",
     "wind_direction_10m (°)", "surface_pressure (hPa)", "wind_speed_10m (km/h)", "province", "rain (mm)", "coords",
 )
-MAP_ROWS = 50_000
 MAP_EPS = 0.0008
 
 
@@ -68,13 +64,13 @@ def map_table(merged: DataFrame) -> DataFrame:
     return C.coerce_numeric(C.drop_columns(df, MAP_UNUSED), ["pm25"])
 
 
-def map_points(df: DataFrame, id_column: str, year: int, types: Sequence[str], max_rows: int = MAP_ROWS, eps: float = MAP_EPS, min_samples: int = 1, seed: int = 42) -> DataFrame:
-    """The clustered points of the map: year and labels, one row per place and day, the last 365 days,
-    at most max_rows sampled points, and their density clusters."""
+def map_points(df: DataFrame, id_column: str, year: int, types: Sequence[str], max_rows: int | None = None, eps: float = MAP_EPS, min_samples: int = 1, seed: int = 42) -> DataFrame:
+    """The clustered points of the map: year and labels, one row per place and day, the last 365 days, and
+    their density clusters. A map that can draw no more may ask for a sample of max_rows points."""
     kept = clusters.round_coordinates(C.any_label(C.in_year(df, "date", year), types))
     single = dedupe.first_per_key(kept, ["latitude", "longitude", "date"], [id_column])
     recent = write_stage(C.trailing_days(write_stage(single, "places"), "date"), "places")
-    shown = sampling.sample_data(recent, id_column, max_rows, seed)
+    shown = recent if max_rows is None else sampling.sample_data(recent, id_column, max_rows, seed)
     return clusters.dbscan(shown, id_column, eps, min_samples)
 
 

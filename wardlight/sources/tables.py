@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import parse_time, to_number
 from ..operators.clean import null_tokens_to_null, strip_names
 from ..operators.dedupe import first_per_key
+from ..operators.skew import lookup_join
 
 TIME_COLUMN = "time"
 # Column names of the hourly weather files.
@@ -38,12 +41,22 @@ def read_reports(spark: SparkSession, path: str | list[str], multi_line: bool =
     return null_tokens_to_null(raw)
 
 
-def _weather_lines(spark: SparkSession, path: str | list[str]) -> tuple[list[str], DataFrame]:
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file_name"))
-    headers = lines.filter(F.ltrim("value").startswith(TIME_COLUMN + ",")).select("value").distinct().limit(2).collect()
-    if len(headers) != 1:
-        raise ValueError("expected one header line starting with 'time,' shared by all weather files")
-    return headers[0]["value"].split(","), lines.filter(F.col("value").rlike(DATA_LINE))
+#: Different header lines that the weather files of one read may have.
+MAX_HEADERS = 1_000
+
+
+def _weather_lines(spark: SparkSession, path: str | list[str]) -> list[tuple[list[str], DataFrame]]:
+    """(column names, data lines with their file name) for every header among the files."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_path").alias("file"))
+    heads = lines.filter(F.ltrim("value").startswith(TIME_COLUMN + ",")).select("file", F.trim("value").alias("head")).distinct()
+    found = sorted(r["head"] for r in heads.select("head").distinct().limit(MAX_HEADERS + 1).collect())
+    if not found or len(found) > MAX_HEADERS:
+        raise ValueError(f"expected header lines starting with 'time,', at most {MAX_HEADERS} different ones")
+    data = lines.filter(F.col("value").rlike(DATA_LINE))
+    if len(found) == 1:
+        return [(found[0].split(","), data)]
+    with_head = lookup_join(data, heads, ["file"], "inner")
+    return [(head.split(","), with_head.filter(F.col("head") == head)) for head in found]
 
 
 def _typed_weather(names: list[str], lines: DataFrame, *extra: str) -> DataFrame:
@@ -56,22 +69,26 @@ def _typed_weather(names: list[str], lines: DataFrame, *extra: str) -> DataFrame
     return row.select(*typed, *extra)
 
 
+def _read_weather(spark: SparkSession, path: str | list[str], *extra: str) -> DataFrame:
+    """Files with different columns are put together by name; what a file lacks is NULL."""
+    parts = [_typed_weather(names, lines, *extra) for names, lines in _weather_lines(spark, path)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def read_weather(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Hourly weather, with or without the coordinate lines that some files carry above the header.
 
     Header and data lines are told apart by their content, so files can be split at will.
     """
-    names, lines = _weather_lines(spark, path)
-    return _typed_weather(names, lines)
+    return _read_weather(spark, path)
 
 
 def read_weather_sites(spark: SparkSession, folder: str) -> DataFrame:
-    """All weather files of a folder in one scan, with the site's coordinates taken from the file name.
+    """All weather files of a folder, with the site's coordinates taken from the file name.
 
     Of several rows for one hour and site, the one from the first file name is kept.
     """
-    names, lines = _weather_lines(spark, f"{folder.rstrip('/')}/*.csv")
-    typed = _typed_weather(names, lines, "file_name")
+    typed = _read_weather(spark, f"{folder.rstrip('/')}/*.csv", "file_name")
     sites = typed.withColumns(
         {
             "latitude": to_number(F.regexp_extract("file_name", SITE_IN_NAME, 1)),
