@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import struct
 import zlib
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import write_stage
-from .common import WordCache, kind, pick
+from .common import WordCache, kind, pick, ship
 
 CAPACITY = 4096
 END_ID = 1
@@ -36,6 +37,7 @@ class TextIds:
     """Ids of whole texts by the tokenizers library; words of plain texts are encoded once and kept."""
 
     def __init__(self, content: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks of a node share its cores already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(content)
@@ -83,6 +85,7 @@ def token_pieces(
     A text's ids are followed by end_id; only longer ones are cut, into pieces of `capacity`. A null or
     empty text is one piece that holds end_id alone. Null and repeated ids give their own pieces.
     """
+    ship(df.sparkSession)
     rows = pick(df, id=id_col, text=text_col)
     with open(path, encoding="utf-8") as f:
         content = df.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary file: its size does not follow the data
@@ -173,6 +176,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, per_group: int = PE
     each group is packed by best-fit decreasing. No rows give no rows. The pieces are written out
     first, so that the number of groups follows their count and a lost executor repeats one group only.
     """
+    ship(pieces.sparkSession)
     kept = write_stage(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     groups = max(1, -(-kept.count() // per_group))
     dealt = kept.withColumn("_group", F.pmod(F.xxhash64("_row"), F.lit(groups)))
