@@ -52,7 +52,7 @@ SCORES = {
 
 @dataclass
 class TrainedModel:
-    model: RandomForestClassificationModel
+    model: RandomForestClassificationModel | None
     metrics: dict[str, float]
     best_params: dict[str, int | str]
     minority_ratio: float
@@ -253,11 +253,13 @@ def train_all_types(
     resample_before_split: bool = False,
     space: dict | None = None,
     parallelism: int = 2,
+    keep_models: bool = True,
 ) -> dict[str, TrainedModel]:
     """One model per label with enough positives, most frequent label first.
 
     table: row_id, features, type ARRAY<STRING>. Labels are counted in one pass; a few labels are
-    trained at a time on the same persisted table.
+    trained at a time on the same persisted table. With keep_models=False a model that has been
+    saved is let go, so the driver holds a few at a time.
     """
     spark = table.sparkSession
     table = table.persist(StorageLevel.MEMORY_AND_DISK)
@@ -268,6 +270,7 @@ def train_all_types(
         trained.importance = feature_importance(trained.model, feature_names, spark)
         if output_dir:
             trained.path = save_model(spark, trained.model, f"{output_dir}/{file_name(label)}_model", {"label": label, "features": list(feature_names)})
+            trained.model = trained.model if keep_models else None
         return label, trained
 
     try:

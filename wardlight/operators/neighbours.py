@@ -18,6 +18,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import write_stage
 from .sampling import sample_data
 
 BLOCK_BYTES = 16 << 20
@@ -47,6 +48,7 @@ def _nearest(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.Data
     a, b = _matrix(queries["features"]), _matrix(candidates["features"])
     qid, cid = queries["id"].to_numpy(), candidates["id"].to_numpy()
     norm = float((b * b).sum(1).max())
+    place = np.unique(cid, return_inverse=True)[1]
     out = []
     for start in range(0, len(a), SLICE):
         part = a[start : start + SLICE]
@@ -54,13 +56,16 @@ def _nearest(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.Data
         kept = min(k + 1, len(b))
         bound = np.partition(rough, kept - 1, axis=1)[:, kept - 1]
         bound = bound + SLACK * (norm + (part * part).sum(1))
-        for i, (row, limit) in enumerate(zip(rough, bound)):
-            near = np.flatnonzero(row <= limit)
-            near = near[cid[near] != qid[start + i]]
-            exact = np.sqrt(((b[near] - part[i]) ** 2).sum(1))
-            best = np.lexsort((cid[near], exact))[:k]
-            out.extend((qid[start + i], cid[near[j]], exact[j]) for j in best)
-    return pd.DataFrame(out, columns=columns)
+        row, near = np.nonzero(rough <= bound[:, None])
+        other = cid[near] != qid[start + row]
+        row, near = row[other], near[other]
+        exact = np.sqrt(((b[near] - part[row]) ** 2).sum(1))
+        best = np.lexsort((place[near], exact, row))
+        row = row[best]
+        first = np.arange(len(row)) - np.searchsorted(row, row) < k
+        row, best = row[first], best[first]
+        out.append(pd.DataFrame({"id": qid[start + row], "nid": cid[near[best]], "dist": exact[best]}))
+    return pd.concat(out, ignore_index=True)
 
 
 def _cell_bounds(near: dict[int, list[float]], radius: np.ndarray, gaps: np.ndarray, k: int) -> np.ndarray:
@@ -94,6 +99,7 @@ def nearest_neighbours(points: DataFrame, k: int, block_rows: int | None = None,
             yield b.assign(cell=cell.astype("int32"), dist=d[np.arange(len(b)), cell])
 
     assigned = points.select("id", "features").mapInPandas(assign, "id string, features array<double>, cell int, dist double")
+    assigned = write_stage(assigned, "cells")  # read three times below
     # Spark prunes this ranking before the shuffle, so a large cell sends k + 1 rows per task.
     ranked = assigned.select("cell", "dist").withColumn("r", F.row_number().over(Window.partitionBy("cell").orderBy("dist")))
     near: dict[int, list[float]] = {}

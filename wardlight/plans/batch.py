@@ -90,7 +90,7 @@ def run(
 
     names = forest.feature_columns(final, prepared.type_columns, ["row_id"])
     assembled = forest.assemble(final, "row_id", names, ["type"])
-    results = forest.train_all_types(assembled, names, n_iter, min_samples, f"{output}/models", space=space)
+    results = forest.train_all_types(assembled, names, n_iter, min_samples, f"{output}/models", space=space, keep_models=False)
     summary = forest.training_summary(results, spark)
     sinks.save_csv(summary, f"{output}/models/training_summary")
     return {**out, "summary": summary}
