@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
+import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import work_folder
+
 #: ASCII white space between words, as used by the shingle and quality contracts.
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -26,11 +29,16 @@ def ship(spark: SparkSession) -> None:
     if context.applicationId in _shipped:
         return
     package = Path(__file__).resolve().parents[1]
-    archive = Path(tempfile.mkdtemp(prefix="code-")) / f"{package.name}.zip"
-    with zipfile.ZipFile(archive, "w") as z:
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w") as z:
         for file in sorted(package.rglob("*.py")):
             z.write(file, file.relative_to(package.parent))
-    context.addPyFile(str(archive))  # served by the driver to every executor, also to later ones
+    archive = f"{work_folder(spark)}/code-{uuid.uuid4().hex}/{package.name}.zip"
+    path = spark._jvm.org.apache.hadoop.fs.Path(archive)
+    out = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path)
+    out.write(content.getvalue())
+    out.close()
+    context.addPyFile(archive)  # fetched from the shared folder by every executor, also by later ones
     _shipped.add(context.applicationId)
 
 
