@@ -58,15 +58,16 @@ def test_stages(spark, tmp_path):
             assert inputs.columns == columns
 
     rows = [[(r["doc_id"], r["text"], r["n_chars"]) for r in df.collect()] for df in (docs, *outputs[:4])]
+    number = lambda i: -1 if i is None else i
     net = toxicity.fit(docs, spark.read.parquet(f"{FOLDER}/labels.parquet"))
     scores = toxicity.score_documents(docs, net).collect()
-    assert sorted(r["doc_id"] or -1 for r in scores if r["score"] < 0.5) == sorted(i or -1 for i, *_ in rows[1])
-    kept = [r["row"]["doc_id"] or -1 for r in quality.judge(outputs[0]).collect() if r["kept"]]
-    assert sorted(kept) == sorted(i or -1 for i, *_ in rows[2]) and -1 in kept
+    assert sorted(number(r["doc_id"]) for r in scores if r["score"] < 0.5) == sorted(number(i) for i, *_ in rows[1])
+    kept = [number(r["row"]["doc_id"]) for r in quality.judge(outputs[0]).collect() if r["kept"]]
+    assert sorted(kept) == sorted(number(i) for i, *_ in rows[2]) and -1 in kept
     expected = without_repeats([r[:2] for r in rows[2]], 50)
     assert {i: t for i, t, _ in rows[3]} == {i: t for i, (t, *_) in expected.items()}
     assert all(n == len(t) for _, t, n in rows[3])
     roots = groups([r[:2] for r in rows[3] if r[0] is not None], corpus_pipeline.SIMILAR)
-    assert sorted(i or -1 for i, *_ in rows[4]) == sorted([i for i, r in roots.items() if i == r] + [-1])
+    assert sorted(number(i) for i, *_ in rows[4]) == sorted([i for i, r in roots.items() if i == r] + [-1])
     pieces = outputs[4].collect()
     assert {r["doc_id"] for r in pieces} == {i for i, *_ in rows[4]} and max(r["offset"] + r["length"] for r in pieces) <= 4096
