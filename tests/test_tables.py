@@ -202,3 +202,27 @@ def test_trainable_types_have_no_cap(spark, monkeypatch):
     monkeypatch.setattr(L, "MAX_COLUMNS", 2)
     df = spark.createDataFrame([(["a", "b", "c", "d"],)] * 3, "type array<string>")
     assert L.trainable_types(df, min_samples=3) == ["a", "b", "c", "d"]
+
+
+def test_too_many_values_become_a_sparse_vector(spark, monkeypatch):
+    import pytest
+    from pyspark.ml.functions import vector_to_array
+
+    from wardlight.operators import forest as R
+    from wardlight.plans import batch
+
+    rows = [("2024-01-01", f"d{i % 9}" if i else None, [f"t{i % 3}"], 1.0) for i in range(40)]
+    df = spark.createDataFrame(rows, "timestamp string, district string, type array<string>, value double")
+    made, places = L.sparse_values(df, "district", "v")
+    want = {p: r for r, p in enumerate(places)}
+    for r in made.withColumn("a", vector_to_array("v")).collect():
+        assert [i for i, x in enumerate(r["a"]) if x] == ([want[r["district"]]] if r["district"] else [])
+    with pytest.raises(L.TooManyValues):
+        L.sparse_values(df, "district", "v", 8)
+    few = L.vocabularies
+    monkeypatch.setattr(L, "vocabularies", lambda df, columns, n=5: few(df, columns, n))
+    ready = batch.prepare(df, id_column="value")
+    assert list(ready.vectors) == ["district_vector"] and ready.type_columns == ["type_t0", "type_t1", "type_t2"]
+    assert not [c for c in ready.table.columns if c.startswith("district_d")]
+    matrix = R.assemble(ready.table, "value", ["value", "hour"], ["type"], ["district_vector"])
+    assert matrix.first()["features"].size == 2 + len(places)

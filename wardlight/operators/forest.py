@@ -15,6 +15,7 @@ from datetime import UTC, datetime
 from pyspark import StorageLevel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
@@ -67,14 +68,18 @@ def feature_columns(df: DataFrame, labels: Sequence[str] = (), exclude: Sequence
     return [c for c in numeric_columns(df) if c not in taken and not c.startswith("type_")]
 
 
-def assemble(df: DataFrame, id_column: str, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """(row_id, features, kept columns); missing values are 0."""
+def assemble(df: DataFrame, id_column: str, features: Sequence[str], keep: Sequence[str] = (), vectors: Sequence[str] = ()) -> DataFrame:
+    """(row_id, features, kept columns); missing values are 0. Vector columns follow the plain ones, and stay sparse."""
     plain = df.select(
         quoted(id_column).cast("string").alias("row_id"),
         *[F.nanvl(F.coalesce(quoted(c).cast("double"), F.lit(0.0)), F.lit(0.0)).alias(f"_f{i}") for i, c in enumerate(features)],
         *[quoted(c) for c in keep],
+        *[quoted(c).alias(f"_v{i}") for i, c in enumerate(vectors)],
     )
     names = [f"_f{i}" for i in range(len(features))]
+    if vectors:
+        parts = [*names, *[f"_v{i}" for i in range(len(vectors))]]
+        return VectorAssembler(inputCols=parts, outputCol="features").transform(plain).select("row_id", "features", *[quoted(c) for c in keep])
     # Dense arrays keep one layout for all rows, whatever the share of zeros.
     return plain.select("row_id", array_to_vector(F.array(*names)).alias("features"), *[quoted(c) for c in keep])
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import functions as vectors
+from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ from .clean import quoted
 # Fixed value: text for reports without a label ("not specified").
 NO_LABEL = "ไม่ระบุ"
 MAX_COLUMNS = 5_000
+#: Values of a column that may become places of a sparse vector; their names fit a driver.
+MAX_SPARSE = 1_000_000
 
 
 def _items(text: Column) -> Column:
@@ -53,6 +57,14 @@ def filter_empty_types(df: DataFrame, column: str = "type") -> DataFrame:
     return df.filter(F.size(c) > 0 if dict(df.dtypes)[column].startswith("array") else has_labels(c))
 
 
+class TooManyValues(ValueError):
+    """A column has more values than there can be columns."""
+
+    def __init__(self, name: str, most: int):
+        super().__init__(f"{name} has more than {most} values; keep it as a list or a sparse vector instead of columns")
+        self.name = name
+
+
 def vocabularies(df: DataFrame, columns: Sequence[str], max_columns: int = MAX_COLUMNS) -> dict[str, list[str]]:
     """Sorted distinct values of several text or list columns in one pass, refused beyond max_columns each."""
     kinds = dict(df.dtypes)
@@ -66,9 +78,10 @@ def vocabularies(df: DataFrame, columns: Sequence[str], max_columns: int = MAX_C
     found: dict[str, list[str]] = {name: [] for name in columns}
     for r in pairs.limit(max_columns * len(columns) + 1).collect():
         found[r["c"]].append(r["v"])
-    for name, values in found.items():
-        if len(values) > max_columns or sum(map(len, found.values())) > max_columns * len(columns):
-            raise ValueError(f"{name} has more than {max_columns} values; keep it as a list instead of columns")
+    # If the read ended at its bound, the column with most values is one that has too many.
+    most = max(found, key=lambda name: len(found[name]))
+    if len(found[most]) > max_columns:
+        raise TooManyValues(most, max_columns)
     return {name: sorted(values) for name, values in found.items()}
 
 
@@ -76,6 +89,24 @@ def vocabulary(df: DataFrame, column: str, max_columns: int = MAX_COLUMNS) -> li
     return vocabularies(df, [column], max_columns)[column]
 
 
+def sparse_values(df: DataFrame, column: str, output: str, max_values: int = MAX_SPARSE) -> tuple[DataFrame, list[str]]:
+    """Add a sparse 0/1 vector of a text or list column, for more values than there can be columns.
+
+    The place of each value is its place in the returned vocabulary, most frequent first. A NULL or
+    empty cell is the empty vector. More than max_values values are refused, never cut.
+    """
+    listed = quoted(column) if dict(df.dtypes)[column].startswith("array") else F.array(quoted(column))
+    known = F.filter(F.coalesce(listed, F.array().cast("array<string>")), lambda v: v.isNotNull())
+    counted = CountVectorizer(inputCol="_values", outputCol=output, binary=True, vocabSize=max_values + 1)
+    listed_rows = df.withColumn("_values", known)
+    if listed_rows.filter(F.size("_values") > 0).isEmpty():
+        return df.withColumn(output, vectors.array_to_vector(F.array(F.lit(0.0)))), [""]
+    model = counted.fit(listed_rows)
+    if len(model.vocabulary) > max_values:
+        raise TooManyValues(column, max_values)
+    return model.transform(listed_rows).drop("_values"), model.vocabulary
+
+
 def create_binary_targets(df: DataFrame, column: str = "type", labels: Sequence[str] | None = None) -> tuple[DataFrame, list[str]]:
     """One 0/1 column type_<label> per label, in one projection."""
     labels = vocabulary(df, column) if labels is None else list(labels)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +15,11 @@ from ..sources import sinks, tables
 
 @dataclass
 class Prepared:
+    """Features and targets; `vectors` names the sparse columns and the values of their places."""
+
     table: DataFrame
     type_columns: list[str]
+    vectors: dict[str, list[str]] = field(default_factory=dict)
 
 
 def merge(reports: DataFrame, weather: DataFrame, air: DataFrame | None = None, zone: str | None = None, province: str | None = clean.PROVINCE) -> DataFrame:
@@ -34,19 +37,28 @@ def add_row_id(df: DataFrame) -> DataFrame:
 def prepare(merged: DataFrame, sample_size: int | None = None, id_column: str = "row_id", seed: int = 42, types: Sequence[str] | None = None, districts: Sequence[str] | None = None) -> Prepared:
     """Label lists, complete weather, optional exact sample, features and 0/1 targets.
 
-    Both vocabularies come from the rows that are left; pass them in to fix the columns across runs.
+    Both vocabularies come from the rows that are left; pass them in to fix the columns across runs. A
+    column with more values than there can be columns becomes a sparse vector, district_vector or
+    type_vector.
     """
     df = labels.parse_type_column(labels.filter_empty_types(clean.strip_names(merged)))
     df = clean.drop_missing_weather(df, [c for c in clean.NEEDED_WEATHER if c in df.columns])
     if sample_size is not None:
         df = sampling.sample_data(df, id_column, sample_size, seed)
     unknown = [c for c, known in (("type", types), ("district", districts)) if known is None and c in df.columns]
-    if unknown:
-        found = labels.vocabularies(df, unknown)
-        types, districts = found.get("type", types), found.get("district", districts)
+    sparse: dict[str, list[str]] = {}
+    while unknown:
+        try:
+            found = labels.vocabularies(df, unknown)
+            types, districts = found.get("type", types), found.get("district", districts)
+            break
+        except labels.TooManyValues as many:
+            unknown.remove(many.name)
+            df, sparse[f"{many.name}_vector"] = labels.sparse_values(df, many.name, f"{many.name}_vector")
+            types, districts = ([] if many.name == "type" else types), ([] if many.name == "district" else districts)
     df = labels.prepare_features(df, districts=districts)
     table, type_columns = labels.create_binary_targets(df, labels=types)
-    return Prepared(table, type_columns)
+    return Prepared(table, type_columns, sparse)
 
 
 def run(
@@ -89,7 +101,9 @@ def run(
         return out
 
     names = forest.feature_columns(final, prepared.type_columns, ["row_id"])
-    assembled = forest.assemble(final, "row_id", names, ["type"])
+    places = prepared.vectors.get("district_vector", [])
+    assembled = forest.assemble(final, "row_id", names, ["type"], ["district_vector"] if places else [])
+    names = [*names, *[f"district_{v}" for v in places]]
     results = forest.train_all_types(assembled, names, n_iter, min_samples, f"{output}/models", space=space, keep_models=False)
     summary = forest.training_summary(results, spark)
     sinks.save_csv(summary, f"{output}/models/training_summary")
