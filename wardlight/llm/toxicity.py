@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -260,39 +259,49 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 5) -> Net | None:
     A text is toxic if one of its windows is. In every round the net first picks the window that looks
     most toxic of each text, two of clean ones, and then learns from the picked windows.
     """
-    words = [words_of(t) for t in texts]
-    kept = [i for i, w in enumerate(words) if w]
-    words, toxic = [words[i] for i in kept], np.asarray(toxic, np.float32)[kept]
+    row: dict[str, int] = {}
+    tokens = [np.fromiter((row.setdefault(w, len(row)) for w in words_of(t)), np.int32) for t in texts]
+    kept = [i for i, x in enumerate(tokens) if len(x)]
+    tokens, toxic = [tokens[i] for i in kept], np.asarray(toxic, np.float32)[kept]
     if not (toxic > 0).any() or not (toxic == 0).any():
         return None
     rng = np.random.default_rng(seed)
-    seen = Counter(w for text in words for w in set(text))
-    types = sorted(seen)
-    row = {w: i for i, w in enumerate(types)}
-    common = sorted(sorted(w for w in types if seen[w] >= LEAST_TEXTS), key=lambda w: -seen[w])[:VOCABULARY]
-    vocabulary = {w: i + 1 for i, w in enumerate(common)}
+    types, distinct = list(row), [np.unique(x) for x in tokens]
+    seen = np.bincount(np.concatenate(distinct), minlength=len(types))
+    common = np.array(sorted(np.flatnonzero(seen >= LEAST_TEXTS).tolist(), key=lambda i: (-seen[i], types[i]))[:VOCABULARY], np.int64)
+    vocabulary = {types[i]: n + 1 for n, i in enumerate(common.tolist())}
     owner, buckets = char_grams(types)
-    gram_of = np.split(buckets, np.flatnonzero(np.diff(owner)) + 1)
+    sizes = np.bincount(owner, minlength=len(types))
+    starts_of = np.cumsum(sizes) - sizes
+
+    def grams_of(some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in `some`, bucket) of the n-grams of some types."""
+        own = np.repeat(np.arange(len(some)), sizes[some])
+        first = np.cumsum(sizes[some]) - sizes[some]
+        return own, buckets[starts_of[some][own] + np.arange(len(own)) - first[own]]
+
+    def gate_table(net: Net) -> dict[str, np.ndarray]:
+        parts = [net.gates(net.inputs(word_ids[some], *grams_of(some))) for some in np.array_split(np.arange(len(types)), 1 + len(types) // 20_000)]
+        return {side: np.concatenate([x[side] for x in parts]) for side in SIDES}
+
     word_hits, gram_hits = np.zeros((2, len(types))), np.zeros((2, BUCKETS))
-    for text, label in zip(words, toxic.astype(int), strict=True):
-        own = [row[w] for w in set(text)]
+    for own, label in zip(distinct, toxic.astype(int), strict=True):
         word_hits[label, own] += 1
-        gram_hits[label, np.unique(np.concatenate([gram_of[i] for i in own]))] += 1
+        gram_hits[label, np.unique(grams_of(own)[1])] += 1
     totals = np.array([[(toxic == 0).sum()], [(toxic > 0).sum()]], float)
-    word_odds = _odds(word_hits, totals)[[row[w] for w in common]]
+    word_odds = _odds(word_hits, totals)[common]
     net = Net.fresh(vocabulary, word_odds, _odds(gram_hits, totals), seed)
 
     word_ids = np.array([vocabulary.get(w, 0) for w in types])
-    rows = np.array([row[w] for text in words for w in text])
-    text, start, end = window_table(np.array([len(w) for w in words]))
+    rows = np.concatenate(tokens).astype(np.int64)
+    text, start, end = window_table(np.array([len(x) for x in tokens]))
     moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.p.items()}
-    starts_of = np.cumsum(np.bincount(owner, minlength=len(types))) - np.bincount(owner, minlength=len(types))
     step = 0
     odds = np.zeros(len(types), np.float32)
-    odds[[row[w] for w in common]] = word_odds
+    odds[common] = word_odds
     for turn in range(ROUNDS):
         if turn:
-            looks = window_logits(net, net.gates(net.inputs(word_ids, owner, buckets)), rows, start, end)
+            looks = window_logits(net, gate_table(net), rows, start, end)
         else:
             sums = np.concatenate([[0], np.cumsum(np.maximum(odds[rows], 0))])
             looks = sums[end] - sums[start]
@@ -303,17 +312,14 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 5) -> Net | None:
             some = rng.choice(picked, min(BATCH, len(picked)), replace=False)
             ids, mask = _windows_at(rows, start[some], end[some])
             used, local = np.unique(ids, return_inverse=True)
-            sizes = np.array([len(gram_of[i]) for i in used])
-            own = np.repeat(np.arange(len(used)), sizes)
-            grams = buckets[np.repeat(starts_of[used], sizes) + np.arange(len(own)) - np.repeat(np.cumsum(sizes) - sizes, sizes)]
-            found = net.gradients(word_ids[used], (own, grams), local.reshape(ids.shape), mask, toxic[text[some]])
+            found = net.gradients(word_ids[used], grams_of(used), local.reshape(ids.shape), mask, toxic[text[some]])
             step += 1
             for k, g in found.items():
                 m, v = moments[k]
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
                 net.p[k] -= (RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-7)).astype(np.float32)
-    looks = window_logits(net, net.gates(net.inputs(word_ids, owner, buckets)), rows, start, end)
+    looks = window_logits(net, gate_table(net), rows, start, end)
     net.p["o"] -= np.float32(_cut(np.maximum.reduceat(looks, np.flatnonzero(np.diff(text, prepend=-1))), toxic > 0))
     return net
 
