@@ -135,8 +135,7 @@ class Vocabulary:
             if piece in self.special:
                 found.append(array("i", [self.special[piece]]).tobytes())
             elif piece:
-                words = self._words(piece)
-                found.append(b"".join(map(self.cache.all(words).__getitem__, words)))
+                found += self.cache.values(self._words(piece))
         ids = array("i")
         ids.frombytes(b"".join(found))
         return ids.tolist()
