@@ -13,7 +13,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import WordCache, kind, pick, ship
+from .common import WordCache, kind, pick, ship, strings
 
 #: Words of more bytes are merged with a heap: scanning a rank array costs the square of its length.
 SHORT = 96
@@ -188,7 +188,7 @@ def encode_documents(
         v = vocabulary(content.value)
         for batch in batches:
             out: dict[str, list] = {f: [] for f in fields}
-            for text in batch.column("text").to_pylist():
+            for text in strings(batch.column("text")):
                 ids = v.encode(text or "")
                 decoded = v.decode(ids)
                 out["n_tokens"].append(len(ids))

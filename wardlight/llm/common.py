@@ -5,8 +5,10 @@ from __future__ import annotations
 import io
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +57,12 @@ def kind(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
 
 
+def strings(column: pa.Array, rows: int = 512) -> Iterator[str | None]:
+    """The texts of an Arrow column, of which Python holds a few rows at a time."""
+    for at in range(0, len(column), rows):
+        yield from column.slice(at, rows).to_pylist()
+
+
 class WordCache:
     """Word -> value for the most recent words, in two generations, so that memory stays bounded.
 

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import kind, pick, ship
+from .common import kind, pick, ship, strings
 
 SIGMA, RADIUS = 1.0, 3
 #: A container that is not marked as the article must hold this share of the content lines' text.
@@ -286,7 +286,7 @@ def extract_pages(df: DataFrame, id_col: str = "page_id", text_col: str = "html"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [extract(page) for page in batch.column("page").to_pylist()]
+            texts = [extract(page) for page in strings(batch.column("page"))]
             columns = [batch.column(c) for c in ["id", *others]]
             columns += [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["id", *others, "text", "n_chars"])

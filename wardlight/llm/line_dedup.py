@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import write_stage
-from .common import BLANKS, kind, ship
+from .common import BLANKS, kind, ship, strings
 
 #: Words that a run of lines must hold to count as a repeat.
 LEAST_WORDS = 50
@@ -56,7 +56,7 @@ def place_table(rows: DataFrame, least_words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             source, columns = [], [[] for _ in names]
-            for row, text in enumerate(batch.column("text").to_pylist()):
+            for row, text in enumerate(strings(batch.column("text"))):
                 for found in windows(text, least_words):
                     source.append(row)
                     for column, value in zip(columns, found, strict=True):
@@ -124,7 +124,7 @@ def delete_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            done = [without_lines(t, r) for t, r in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist(), strict=True)]
+            done = [without_lines(t, r) for t, r in zip(strings(batch.column("text")), batch.column("runs").to_pylist(), strict=True)]
             arrays = [pa.array([x[i] for x in done], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column("row"), *arrays], ["row", "text", "n_lines", "n_deleted"])
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import write_stage
-from .common import WordCache, kind, pick, ship
+from .common import WordCache, kind, pick, ship, strings
 
 CAPACITY = 4096
 END_ID = 1
@@ -113,7 +113,7 @@ def token_pieces(
         coder = text_ids(content.value)
         for batch in batches:
             source, values = array("q"), [array("q") for _ in names]
-            for row, text in enumerate(batch.column("text").to_pylist()):
+            for row, text in enumerate(strings(batch.column("text"))):
                 ids = coder.encode(text or "") + end
                 total = len(ids) // 4
                 for piece, start in enumerate(range(0, total, capacity)):

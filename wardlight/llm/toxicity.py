@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +26,8 @@ TOXIC_ROWS, CLEAN_ROWS, LONGEST = 800, 2400, 8_000
 #: Words with a vector of their own: those in so many texts of the sample, at most so many of them.
 LEAST_TEXTS, VOCABULARY = 3, 20_000
 ROUNDS, STEPS_A_ROUND, BATCH, RATE = 4, 50, 256, 0.02
-#: Word types that a worker keeps, words scored together, and windows run together.
-CACHED, SLICE, TOGETHER = 100_000, 60_000, 1024
+#: Word types that a worker keeps, words scored together, windows run together, and rows taken from an Arrow batch at once.
+CACHED, SLICE, TOGETHER, ROWS = 100_000, 60_000, 1024, 512
 _word = re.compile(r"[^\W\d_]+")
 
 
@@ -387,12 +387,13 @@ def score_column(spark: SparkSession, net: Net | None, text_col: str = "text") -
     model = spark.sparkContext.broadcast(net)  # parameters only: their number is fixed
     key = None if net is None else net.digest()
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
         if key not in _types:
             _types.clear()
             _types[key] = Types(model.value, CACHED) if key else None
-        return pd.Series(score_texts(model.value, _types[key], texts.tolist()))
+        parts = [score_texts(model.value, _types[key], texts.slice(at, ROWS).to_pylist()) for at in range(0, len(texts), ROWS)]
+        return pa.array(np.concatenate(parts) if parts else [], pa.float64())
 
     return score(F.col(f"`{text_col}`").cast("string"))
 
