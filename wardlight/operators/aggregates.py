@@ -125,3 +125,12 @@ def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def filter_funnel(df: DataFrame, steps: dict[str, Column]) -> DataFrame:
+    """(step, stage, n_rows) of filters that follow each other on one table, counted in one scan."""
+    passed, counts = F.lit(True), []
+    for i, (name, condition) in enumerate(steps.items()):
+        passed = passed & F.coalesce(condition, F.lit(False))
+        counts.append(F.struct(F.lit(i).alias("step"), F.lit(name).alias("stage"), F.count_if(passed).alias("n_rows")))
+    return df.agg(F.array(*counts).alias("steps")).select(F.inline("steps"))

@@ -281,9 +281,8 @@ def concat_sources(t):
 UNION ALL SELECT 1, 'labelled', count(*) FROM {ORDER_LABELS} WHERE len(labels) > 0
 UNION ALL SELECT 2, 'in year', count(*) FROM {ORDER_LABELS} WHERE len(labels) > 0 AND year(o_orderdate) = 1998""")
 def stage_funnel(t):
-    raw = order_labels(t)
-    labelled = L.parse_type_column(L.filter_empty_types(raw))
-    return A.stage_counts({"raw": raw, "labelled": labelled, "in year": C.in_year(labelled, "o_orderdate", 1998)})
+    steps = {"raw": F.lit(True), "labelled": L.has_labels(F.col("type")), "in year": F.year("o_orderdate") == 1998}
+    return A.filter_funnel(order_labels(t), steps)
 
 
 # --- files ------------------------------------------------------------------------------------------------
