@@ -112,6 +112,40 @@ def test_main_text(page, text):
     assert text is None or found == text
 
 
+LONG = "This is a long paragraph of the article, with so many words that it counts as dense text by any measure at all."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<nav><a href=x>m</a></nav><article class='post category-legal'>{}</article><footer>z</footer>",
+        "<article class='tag-social'>{}</article>",
+        "<article class=legal>{}</article>",
+        "<div class=commentary>{}</div>",
+        "<div class=response>{}</div>",
+        "<div class=legal>{}</div>",
+        "<div id=all><div class=elementor-widget-text-editor>{}</div></div>",
+        "<article><div class='elementor-widget elementor-widget-text-editor'>{}</div></article>",
+        "<article class=post><div class=widget>{}</div></article>",
+    ],
+)
+def test_no_name_takes_an_article(page):
+    texts = [f"{n}. {LONG}" for n in range(4)]
+    assert H.extract(page.format("".join(f"<p>{x}</p>" for x in texts))) == "\n".join(texts)
+    before, behind = page.split("{}")
+    at, end = before.rindex("<"), behind.index(">") + 1
+    if not before[at:].startswith("<article"):
+        apart = "".join(f"{before[at:]}<p>{x}</p>{behind[:end]}" for x in texts)
+        assert H.extract(before[:at] + apart + behind[end:]) == "\n".join(texts)
+
+
+def test_names_weigh_lines():
+    comments = "".join(f"<li class=comment><p>{n} I beg to differ.</p></li>" for n in range(9))
+    page = f"<div class=ad>Buy this now.</div><div class=text><p>{LONG}</p><p>{LONG}</p></div><ol class=comment-list>{comments}</ol>"
+    assert H.extract(page) == f"{LONG}\n{LONG}"
+    assert H.extract(f"<div class=legal><p>{LONG}</p></div><div class=social><p>{LONG}</p></div>") == f"{LONG}\n{LONG}"
+
+
 def test_pages(spark):
     rows = [(1, "u", PAGE, "a"), (1, "u", PAGE, "b"), (None, None, None, "c"), (3, "v", "<p>" + "long text " * 20000, "d")]
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")

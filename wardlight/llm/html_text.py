@@ -43,16 +43,20 @@ IMPLIED = {
     "option": ({"option"}, {"select", "datalist"}),
 }
 ROLES = set("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
-# Words in class names and ids of what surrounds an article.
+# Whole class names and ids of what surrounds an article. They only weigh the density of lines.
 COMMENTS = set("comment comments commentlist disqus replies reply respond responses".split())
+TEASERS = set("recommendations recommended related teaser teasers".split())
 AROUND = set(
-    "ad ads adbox adv advertising alert alerts aside consent copyright disclaimer flash gdpr hint infobar legal login "
-    "masthead menu menus modal nav notice notices notification notifications overlay pager pagination paywall rail "
-    "recommendations recommended related share sharing side signup skip social tags teaser teasers toast toc toolbar topbar "
-    "tracking warning".split()
+    "ad ads adbox adv advert advertisement advertising alert alerts aside banner breadcrumb breadcrumbs consent cookie cookies "
+    "copyright disclaimer flash footer gdpr header hint infobar legal login masthead menu menus modal nav navbar navigation "
+    "newsletter notice notices notification notifications overlay pager pagination paywall popup promo promotion rail share "
+    "sharing side sidebar signup skip social sponsor sponsored subscribe subscription tags toast toc toolbar topbar tracking "
+    "warning widget widgets".split()
 )
-#: Parts of such words that mean the same in any compound.
-STEMS = ("advert", "banner", "breadcrumb", "cookie", "footer", "navbar", "navigation", "newsletter", "popup", "promo", "sidebar", "sponsor", "subscri", "widget")
+#: Words that may stand beside those in a name ("cookie-banner-inner"); any other word makes it another name.
+BESIDE = set("area bar block box container form inner list section site wrap wrapper".split())
+#: What a name takes from the text-to-tag ratio of the lines below it.
+NAMED = 0.05
 #: A header of these is the article's own.
 OWN_HEADERS = set("article content entry heading post section story title".split())
 _name = re.compile(r"[a-z]+")
@@ -63,7 +67,8 @@ _hidden = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 class Element:
     tag: str
     parent: int
-    reason: str = ""  # why its text is not the article's: "", "around" or "comments"
+    outside: bool = False  # by its tag, role or style, or those of an element around it
+    names: tuple[tuple[str, int], ...] = ()  # its names that speak against it, and how strongly
 
 
 @dataclass
@@ -101,11 +106,8 @@ class Lines(HTMLParser):
                 self.line.parts.append(" ")
         if tag in VOID:
             return
-        above = self.elements[self.open[-1]].reason
-        own = self.reason(tag, attrs)
-        if tag in ARTICLES and not own and above == "around" and not self.inside(OUTSIDE):
-            above = ""  # a wrapper named after its sidebar still holds the article
-        self.elements.append(Element(tag, self.open[-1], own or above))
+        outside = self.elements[self.open[-1]].outside or self.is_outside(tag, attrs)
+        self.elements.append(Element(tag, self.open[-1], outside, self.names(tag, attrs)))
         self.open.append(len(self.elements) - 1)
         self.links += tag == "a"
 
@@ -130,11 +132,11 @@ class Lines(HTMLParser):
             if data.isspace():
                 return
             element = self.open[-1]
-            outside = self.elements[element].reason != "" or (self.in_header() and not self.inside(HEADINGS))
+            outside = self.elements[element].outside or (self.in_header() and not self.inside(HEADINGS))
             self.line = Line(element, outside, self.inside(HEADINGS))
             self.lines.append(self.line)
         here = self.elements[self.open[-1]]
-        if here.reason and not self.line.outside:
+        if here.outside and not self.line.outside:
             return  # a script or button within a paragraph
         self.line.parts.append(data)
         if self.links:
@@ -167,26 +169,64 @@ class Lines(HTMLParser):
     def in_header(self) -> bool:
         return any(self.elements[e].tag == "header" for e in self.open)
 
-    def reason(self, tag, attrs) -> str:
-        if tag in OUTSIDE:
-            return "around"
-        if tag == "header" and not self.inside(ARTICLES):
-            return "around"
+    def is_outside(self, tag, attrs) -> bool:
+        if tag in OUTSIDE or tag == "header" and not self.inside(ARTICLES):
+            return True
         if not attrs or tag in ("html", "body", "main"):
-            return ""
+            return False
         values = {k: (v or "").lower() for k, v in attrs}
         if "hidden" in values or values.get("aria-hidden") == "true" or _hidden.search(values.get("style", "")):
-            return "around"
-        if values.get("role") in ROLES:
-            return "around"
-        names = set(_name.findall(values.get("class", "") + " " + values.get("id", "")))
-        if names & COMMENTS or any("comment" in n for n in names):
-            return "comments"
-        if tag in HEADINGS:
-            return ""
-        if "header" in names and not names & OWN_HEADERS and not self.inside(ARTICLES):
-            return "around"
-        return "around" if names & AROUND or any(stem in n for n in names for stem in STEMS) else ""
+            return True
+        return values.get("role") in ROLES
+
+    def names(self, tag, attrs) -> tuple[tuple[str, int], ...]:
+        """Names that speak against an element: 2 for the text of others, 1 for what surrounds an article."""
+        if not attrs or tag not in BLOCKS or tag in ("html", "body", "main"):
+            return ()
+        values = {k: (v or "").lower() for k, v in attrs}
+        found, words = [], set()
+        for name in (values.get("class", "") + " " + values.get("id", "")).split():
+            parts = set(_name.findall(name))
+            words |= parts
+            telling = parts - BESIDE
+            if telling & (COMMENTS | TEASERS) and telling <= COMMENTS | TEASERS | AROUND:
+                found.append((name, 2))
+            elif telling and telling <= AROUND and tag not in ARTICLES and tag not in HEADINGS:
+                found.append((name, 1))
+        if words & OWN_HEADERS or self.inside(ARTICLES):
+            found = [x for x in found if "header" not in x[0]]
+        return tuple(found)
+
+
+def named(lines: list[Line], elements: list[Element]) -> list[int]:
+    """For each element how strongly names speak against it: its own and those around it.
+
+    A name does not count if what carries it holds most of the page's text; that of comments and
+    teasers still does if an article stands elsewhere. An article outlasts weak names around it.
+    """
+    size = [0] * len(elements)
+    for line in lines:
+        if not line.outside:
+            at = line.element
+            while at >= 0:
+                size[at] += len(line.text)
+                at = elements[at].parent
+    held: dict[str, int] = {}
+    carried: list[set[str]] = [set()]
+    article = False
+    for at, e in enumerate(elements[1:], 1):
+        own = {name for name, _ in e.names}
+        for name in own - carried[e.parent]:
+            held[name] = held.get(name, 0) + size[at]
+        carried.append(carried[e.parent] | own if own else carried[e.parent])
+    strong = {name for e in elements for name, by in e.names if by == 2}
+    article = any(e.tag in ARTICLES and size[at] and not carried[at] & strong for at, e in enumerate(elements))
+    counts = {name for name, n in held.items() if 2 * n <= size[0] or article and name in strong}
+    out = [0]
+    for e in elements[1:]:
+        above = out[e.parent]
+        out.append(max([by for name, by in e.names if name in counts] + [0 if above == 1 and e.tag in ARTICLES else above]))
+    return out
 
 
 def smooth(values: np.ndarray, sigma: float = SIGMA, radius: int = RADIUS) -> np.ndarray:
@@ -211,12 +251,17 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
-def content_lines(lines: list[Line]) -> np.ndarray:
-    """Which lines lie in a dense region: smoothed text-to-tag ratio in the upper of two clusters."""
+def content_lines(lines: list[Line], against: np.ndarray) -> np.ndarray:
+    """Which lines lie in a dense region: smoothed text-to-tag ratio in the upper of two clusters.
+
+    Names weigh the ratio; a line that they speak against must be dense by itself.
+    """
     ratios = np.array([0.0 if x.outside else max(0, len(x.text) - x.linked) / x.tags for x in lines])
-    smoothed = smooth(np.log1p(ratios))
+    values = np.log1p(np.where(against, NAMED, 1) * ratios)
+    smoothed = smooth(values).round(9)  # equal lines stay equal
     inside = np.array([not x.outside for x in lines])
-    return inside & (smoothed >= threshold(smoothed))
+    cut = threshold(smoothed)
+    return inside & (smoothed >= cut) & (~against | (values >= cut))
 
 
 def main_lines(parser: Lines) -> list[Line]:
@@ -224,7 +269,11 @@ def main_lines(parser: Lines) -> list[Line]:
     lines, elements = parser.lines, parser.elements
     if not any(not x.outside for x in lines):
         return []
-    dense = content_lines(lines)
+    weak = named(lines, elements)
+    against = np.array([weak[x.element] > 0 for x in lines])
+    if all(a for x, a in zip(lines, against, strict=True) if not x.outside):
+        weak, against = [0] * len(elements), np.zeros(len(lines), bool)
+    dense = content_lines(lines, against)
     if not dense.any():
         dense = np.array([not x.outside for x in lines])
     weight = [0] * len(elements)
@@ -235,7 +284,7 @@ def main_lines(parser: Lines) -> list[Line]:
                 weight[at] += len(line.text)
                 at = elements[at].parent
     total = weight[0]
-    marked = [i for i, e in enumerate(elements) if e.tag in ARTICLES and not e.reason and weight[i]]
+    marked = [i for i, e in enumerate(elements) if e.tag in ARTICLES and not e.outside and not weak[i] and weight[i]]
     if marked:
         # The innermost of the marked containers that holds what any of them holds.
         most = max(weight[i] for i in marked)
@@ -255,7 +304,7 @@ def main_lines(parser: Lines) -> list[Line]:
 
     kept = []
     for n, line in enumerate(lines):
-        if line.outside or not within(line.element):
+        if line.outside or against[n] and not dense[n] or not within(line.element):
             continue
         menu = line.linked * 2 > len(line.text) and not dense[n]
         # Short paragraphs around the dense region are the article's too; bare text there is not.
