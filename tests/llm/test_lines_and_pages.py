@@ -139,6 +139,18 @@ def test_no_name_takes_an_article(page):
         assert H.extract(before[:at] + apart + behind[end:]) == "\n".join(texts)
 
 
+def test_every_dense_region_stays():
+    text = "".join(f"<p>{n}. {LONG}</p>" for n in range(6))
+    whole = [f"{n}. {LONG}" for n in range(6)]
+    lead = f"Lead: {LONG}"
+    page = f"<body><nav><a href=x>Home</a></nav><h1>Title</h1><div class=intro><p>{lead}</p></div><div class=text>{text}</div><footer>z</footer></body>"
+    assert H.extract(page) == "\n".join(["Title", lead, *whole])
+    parts = f"<body><article><p>{lead}</p><p>Short.</p></article><article>{text}</article></body>"
+    assert H.extract(parts) == "\n".join([lead, "Short.", *whole])
+    mixed = f"<body><div><div><p>{lead}</p></div></div><article>{text}</article><section class=comments><article><p>No!</p></article></section></body>"
+    assert H.extract(mixed) == "\n".join([lead, *whole])
+
+
 def test_names_weigh_lines():
     comments = "".join(f"<li class=comment><p>{n} I beg to differ.</p></li>" for n in range(9))
     page = f"<div class=ad>Buy this now.</div><div class=text><p>{LONG}</p><p>{LONG}</p></div><ol class=comment-list>{comments}</ol>"

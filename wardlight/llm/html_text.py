@@ -14,8 +14,6 @@ from pyspark.sql import DataFrame
 from .common import kind, pick, ship, strings
 
 SIGMA, RADIUS = 1.0, 3
-#: A container that is not marked as the article must hold this share of the content lines' text.
-HOLDS = 0.8
 
 # Element names of the HTML standard, by their part here.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -54,7 +52,7 @@ AROUND = set(
     "warning widget widgets".split()
 )
 #: Words that may stand beside those in a name ("cookie-banner-inner"); any other word makes it another name.
-BESIDE = set("area bar block box container form inner list section site wrap wrapper".split())
+BESIDE = set("area bar block body box container div form inner item list section site wrap wrapper".split())
 #: What a name takes from the text-to-tag ratio of the lines below it.
 NAMED = 0.05
 #: A header of these is the article's own.
@@ -189,10 +187,11 @@ class Lines(HTMLParser):
             parts = set(_name.findall(name))
             words |= parts
             telling = parts - BESIDE
+            key = "-".join(sorted(telling))  # comment-1 and comment-2 are one name
             if telling & (COMMENTS | TEASERS) and telling <= COMMENTS | TEASERS | AROUND:
-                found.append((name, 2))
+                found.append((key, 2))
             elif telling and telling <= AROUND and tag not in ARTICLES and tag not in HEADINGS:
-                found.append((name, 1))
+                found.append((key, 1))
         if words & OWN_HEADERS or self.inside(ARTICLES):
             found = [x for x in found if "header" not in x[0]]
         return tuple(found)
@@ -201,31 +200,27 @@ class Lines(HTMLParser):
 def named(lines: list[Line], elements: list[Element]) -> list[int]:
     """For each element how strongly names speak against it: its own and those around it.
 
-    A name does not count if what carries it holds most of the page's text; that of comments and
-    teasers still does if an article stands elsewhere. An article outlasts weak names around it.
+    A name does not count if what carries it holds most of the text of the page's articles, but for
+    those of comments and teasers, or most of the page's text where there is no such article. An
+    article outlasts weak names around it.
     """
-    size = [0] * len(elements)
-    for line in lines:
-        if not line.outside:
-            at = line.element
-            while at >= 0:
-                size[at] += len(line.text)
-                at = elements[at].parent
-    held: dict[str, int] = {}
-    carried: list[set[str]] = [set()]
-    article = False
-    for at, e in enumerate(elements[1:], 1):
-        own = {name for name, _ in e.names}
-        for name in own - carried[e.parent]:
-            held[name] = held.get(name, 0) + size[at]
-        carried.append(carried[e.parent] | own if own else carried[e.parent])
     strong = {name for e in elements for name, by in e.names if by == 2}
-    article = any(e.tag in ARTICLES and size[at] and not carried[at] & strong for at, e in enumerate(elements))
-    counts = {name for name, n in held.items() if 2 * n <= size[0] or article and name in strong}
+    carried: list[set[str]] = [set()]
+    article = [False]
+    for e in elements[1:]:
+        carried.append(carried[e.parent].union(name for name, _ in e.names) if e.names else carried[e.parent])
+        article.append((e.tag in ARTICLES or article[e.parent]) and not carried[-1] & strong)
+    texts = [x for x in lines if not x.outside]
+    texts = [x for x in texts if article[x.element]] or texts
+    most, held = sum(len(x.text) for x in texts) / 2, {}
+    for line in texts:
+        for name in carried[line.element]:
+            held[name] = held.get(name, 0) + len(line.text)
+    ignored = {name for name, n in held.items() if n > most}
     out = [0]
     for e in elements[1:]:
         above = out[e.parent]
-        out.append(max([by for name, by in e.names if name in counts] + [0 if above == 1 and e.tag in ARTICLES else above]))
+        out.append(max([by for name, by in e.names if name not in ignored] + [0 if above == 1 and e.tag in ARTICLES else above]))
     return out
 
 
@@ -261,11 +256,11 @@ def content_lines(lines: list[Line], against: np.ndarray) -> np.ndarray:
     smoothed = smooth(values).round(9)  # equal lines stay equal
     inside = np.array([not x.outside for x in lines])
     cut = threshold(smoothed)
-    return inside & (smoothed >= cut) & (~against | (values >= cut))
+    return inside & (smoothed >= cut) & (~against | (values >= threshold(values[inside])))
 
 
 def main_lines(parser: Lines) -> list[Line]:
-    """The lines of the article: those of the container that the content lines point to."""
+    """The lines of the dense regions and of marked articles, and short paragraphs in the container of them all."""
     lines, elements = parser.lines, parser.elements
     if not any(not x.outside for x in lines):
         return []
@@ -276,26 +271,21 @@ def main_lines(parser: Lines) -> list[Line]:
     dense = content_lines(lines, against)
     if not dense.any():
         dense = np.array([not x.outside for x in lines])
-    weight = [0] * len(elements)
+    article = [False] * len(elements)
+    for at, e in enumerate(elements[1:], 1):
+        article[at] = not e.outside and not weak[at] and (e.tag in ARTICLES or article[e.parent])
+    # The lowest common ancestor; a parent's number is below that of its children.
+    home = -1
     for line, good in zip(lines, dense, strict=True):
-        if good:
+        if good or article[line.element] and not line.outside:
             at = line.element
-            while at >= 0:
-                weight[at] += len(line.text)
-                at = elements[at].parent
-    total = weight[0]
-    marked = [i for i, e in enumerate(elements) if e.tag in ARTICLES and not e.outside and not weak[i] and weight[i]]
-    if marked:
-        # The innermost of the marked containers that holds what any of them holds.
-        most = max(weight[i] for i in marked)
-        home = max(i for i in marked if weight[i] >= HOLDS * most)
-        first, last = 0, len(lines) - 1
-    else:
-        home = max(i for i in range(len(elements)) if weight[i] >= HOLDS * total)
-        while elements[home].tag and elements[home].tag not in BLOCKS or elements[home].tag in HEADINGS or elements[home].tag in ("p", "pre"):
-            home = elements[home].parent
-        held = np.flatnonzero(dense)
-        first, last = int(held[0]), int(held[-1])
+            home = at if home < 0 else home
+            while at != home:
+                at, home = (elements[at].parent, home) if at > home else (at, elements[home].parent)
+    while elements[home].tag and elements[home].tag not in BLOCKS or elements[home].tag in HEADINGS or elements[home].tag in ("p", "pre"):
+        home = elements[home].parent
+    held = np.flatnonzero(dense)
+    first, last = int(held[0]), int(held[-1])
 
     def within(at: int) -> bool:
         while at > home:
@@ -304,11 +294,12 @@ def main_lines(parser: Lines) -> list[Line]:
 
     kept = []
     for n, line in enumerate(lines):
-        if line.outside or against[n] and not dense[n] or not within(line.element):
+        if line.outside or against[n] and not dense[n]:
             continue
-        menu = line.linked * 2 > len(line.text) and not dense[n]
-        # Short paragraphs around the dense region are the article's too; bare text there is not.
-        if marked or (not menu and (first <= n <= last or elements[line.element].tag in PARAGRAPHS)):
+        menu = line.linked * 2 > len(line.text)
+        # Short paragraphs around the dense regions are the article's too; bare text there is not.
+        around = not menu and (first <= n <= last or elements[line.element].tag in PARAGRAPHS)
+        if dense[n] or article[line.element] or around and within(line.element):
             kept.append(line)
     return kept
 
