@@ -66,6 +66,44 @@ def test_repeated_runs_are_those_of_brute_force(spark):
     assert L.delete_repeats(df.limit(0)).collect() == []
 
 
+def by_definition(rows, least):
+    """doc -> text without the lines of any run of that many words that stands at an earlier place too."""
+    places, bare, full, counts = {}, {}, {}, {}
+    for doc, text in sorted(rows):
+        full[doc] = [n for n, x in enumerate(text.split("\n")) if x.strip()]
+        bare[doc] = [text.split("\n")[n].strip() for n in full[doc]]
+        counts[doc] = [len(x.split()) for x in bare[doc]]
+        for s in range(len(bare[doc])):
+            for e in range(s + 1, len(bare[doc]) + 1):
+                if sum(counts[doc][s:e]) >= least:
+                    places.setdefault(tuple(bare[doc][s:e]), []).append((doc, s))
+    gone = {doc: set() for doc in bare}
+    for run, found in places.items():
+        for doc, s in found:
+            if (doc, s) > min(found):
+                gone[doc].update(full[doc][s : s + len(run)])
+    return {doc: "\n".join(x for n, x in enumerate(text.split("\n")) if n not in gone[doc]) for doc, text in rows}
+
+
+def test_runs_are_followed_along_every_earlier_place(spark):
+    words = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    shared, short = words("w", 12), "a short line"
+    rows = [
+        (1, "\n".join([shared, words("z", 15)])),
+        (2, "\n".join([shared, short, words("b", 15)])),
+        (3, "\n".join([shared, short, words("c", 15)])),
+        (4, "\n".join([shared, short, "another", words("d", 15)])),
+        (5, "\n".join([words("e", 15), shared, short, "another"])),
+    ]
+    rnd = random.Random(9)
+    parts = [shared, short, "another", "one more", words("x", 5), words("y", 11), words("v", 30)]
+    rows += [(i, "\n".join(rnd.choice(parts) for _ in range(rnd.randrange(9)))) for i in range(6, 90)]
+    out = L.delete_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), least_words=10)
+    found = {r["doc_id"]: r["text"] for r in out.collect()}
+    assert found == by_definition(rows, 10)
+    assert found[3] == words("c", 15) and found[5] == words("e", 15)
+
+
 def test_equal_rows_are_one_place_and_null_ids_come_last(spark):
     text = "one two three four five six seven eight nine ten"
     rows = [(None, text), (5, text), (5, text), (7, text)]

@@ -22,13 +22,14 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def windows(text: str | None, least_words: int) -> Iterator[tuple[int, int, int, int, list[int]]]:
-    """(fingerprint, window hash, first line, number of lines, tail) of the windows of a text.
+def windows(text: str | None, least_words: int) -> Iterator[tuple[int, int, int, int]]:
+    """(fingerprint, hash, first line, number of lines) of the windows of a text and of their extensions.
 
     Lines without a word are passed over. The window at a line is the shortest run from there on that
-    holds least_words words; its fingerprint is the smallest line hash in it, so two texts that share
-    a run of that length have a window and its fingerprint in common. The tail holds the hashes of the
-    lines behind the window that the next window does not reach past.
+    holds least_words words; its extensions are the longer runs from there that the next window does
+    not reach past, so that all of them together are fewer than the lines. Two texts that share a run
+    share the windows in it, and the extensions by which they cover it to its end. The fingerprint is
+    the smallest line hash of the run, the hash that of all of them.
     """
     lines = [x for x in ((text or "").encode().split(b"\n")) if x.strip(_strip)]
     counts = [len(x.split()) for x in lines]
@@ -43,15 +44,19 @@ def windows(text: str | None, least_words: int) -> Iterator[tuple[int, int, int,
         ends.append(end)
         held -= count
     for start, end in enumerate(ends):
-        inside = hashes[start:end]
         reach = ends[start + 1] - 1 if start + 1 < len(ends) else len(lines)
-        yield min(inside), _signed(xxhash.xxh3_64_intdigest(pack(f"{len(inside)}q", *inside))), start, len(inside), hashes[end:reach]
+        least, whole = min(hashes[start:end]), xxhash.xxh3_64(pack(f"{end - start}q", *hashes[start:end]))
+        yield least, _signed(whole.intdigest()), start, end - start
+        for upto in range(end, reach):
+            least = min(least, hashes[upto])
+            whole.update(pack("q", hashes[upto]))
+            yield least, _signed(whole.intdigest()), start, upto + 1 - start
 
 
 def place_table(rows: DataFrame, least_words: int) -> DataFrame:
-    """(fingerprint, window, id, text_hash, start, n, tail): a row for every window of rows (id, text_hash, text)."""
-    names = ["fingerprint", "window", "start", "n", "tail"]
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
+    """(fingerprint, window, id, text_hash, start, n): a row for every window and extension of rows (id, text_hash, text)."""
+    names = ["fingerprint", "window", "start", "n"]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -67,26 +72,24 @@ def place_table(rows: DataFrame, least_words: int) -> DataFrame:
                 ["id", "text_hash", *names],
             )
 
-    schema = f"id {kind(rows, 'id')}, text_hash bigint, fingerprint bigint, window bigint, start int, n int, tail array<bigint>"
+    schema = f"id {kind(rows, 'id')}, text_hash bigint, fingerprint bigint, window bigint, start int, n int"
     return rows.select("id", "text_hash", "text").mapInArrow(run, schema)
 
 
 def repeated_runs(places: DataFrame) -> DataFrame:
     """(id, text_hash, start, end): runs of lines that stand at an earlier place too.
 
-    Every window that has an earlier place is matched with its first one. To the left a match is
-    covered by the windows that start there; to the right it is extended over the tails as far as
-    their lines agree. The first places are combined before the shuffle, and only windows with
-    several places come out of it; the join back on them is one that adaptive execution can split.
+    Every window and extension is matched with the first place of its own content, so a run is followed
+    as far as any earlier place agrees. To the left a match is covered by the windows that start there.
+    The first places are combined before the shuffle, and only runs with several places come out of
+    it; the join back on them is one that adaptive execution can split.
     """
     at = F.struct(F.col("id").isNull().alias("unnamed"), "id", "text_hash", "start").alias("at")
     key = ["fingerprint", "window"]
-    placed = places.select(*key, at, "n", "tail")
-    firsts = placed.groupBy(*key).agg(F.min(F.struct("at", "tail")).alias("first"), F.count(F.lit(1)).alias("seen")).filter("seen > 1")
-    later = placed.join(firsts.drop("seen"), key).filter(F.col("at") > F.col("first.at"))
-    agree = F.expr("zip_with(tail, first.tail, (a, b) -> coalesce(a = b, false))")
-    more = F.when(F.size(agree) == 0, 0).otherwise(F.coalesce(F.nullif(F.array_position(agree, False), F.lit(0)) - 1, F.size(agree)))
-    end = (F.col("at.start") + F.col("n") + more).cast("int").alias("end")
+    placed = places.select(*key, at, "n")
+    firsts = placed.groupBy(*key).agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("seen")).filter("seen > 1")
+    later = placed.join(firsts.drop("seen"), key).filter(F.col("at") > F.col("first"))
+    end = (F.col("at.start") + F.col("n")).cast("int").alias("end")
     return later.select("at.id", "at.text_hash", "at.start", end)
 
 
