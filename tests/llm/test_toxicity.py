@@ -92,6 +92,19 @@ def test_held_out_texts_and_edge_rows(spark):
     assert nothing is None and {r["score"] for r in X.score_documents(df, nothing).collect()} == {0.0}
 
 
+def test_long_texts_and_all_labelled_documents_enter_the_sample(spark, monkeypatch):
+    docs = [(i, ("clean words here " if i % 2 else "you idiot moron ") * (700 if i < 40 else 2)) for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(2000)], "doc_id bigint, toxic int")
+    usual = (df, labels, "doc_id", "text", "toxic")
+    used = X.training_rows(*usual, 100, 100).collect()
+    assert {r["id"]: r["text"] for r in used} == {i: t for i, t in docs if zlib.crc32(str(i).encode()) % 5}
+    assert len(X.training_rows(*usual, 7, 9).collect()) == 16  # labels without a document take no one's place
+    monkeypatch.setattr(X, "CHARACTERS", 1)
+    assert len(X.training_rows(*usual, 7, 9).collect()) == 2
+    assert X.fit(df.limit(40), labels) is not None
+
+
 def test_slices_do_not_change_scores(monkeypatch):
     rows = labelled(120, 2)
     net = X.train([t for _, t, _ in rows], np.array([y for *_, y in rows]))

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, ship
+from .common import kind, pick, ship
 
 #: Words in a window, and from the start of one window to the next.
 WINDOW, STRIDE = 32, 16
@@ -21,8 +21,9 @@ HIDDEN, WORD_DIM, CHAR_DIM = 8, 8, 8
 SIDES = {"f": 0, "b": HIDDEN}
 #: Buckets of character n-grams, and the lengths of n-grams in bytes of "<word>".
 BUCKETS, GRAMS = 1 << 14, (3, 4, 5)
-#: The bounded sample a model is fitted on: labelled texts of each label, and characters of each text.
-TOXIC_ROWS, CLEAN_ROWS, LONGEST = 800, 2400, 8_000
+#: The bounded sample a model is fitted on: labelled texts of each label, and characters of all texts of one label,
+#: behind which no further text is taken. Long and short texts enter alike, whole.
+TOXIC_ROWS, CLEAN_ROWS, CHARACTERS = 800, 2400, 20_000_000
 #: Words with a vector of their own: those in so many texts of the sample, at most so many of them.
 LEAST_TEXTS, VOCABULARY = 3, 20_000
 ROUNDS, STEPS_A_ROUND, BATCH, RATE = 4, 50, 256, 0.02
@@ -343,23 +344,30 @@ def held_out(id_col: str):
 
 
 def training_rows(
-    df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, toxic_rows: int, clean_rows: int, longest: int
+    df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, toxic_rows: int, clean_rows: int, longest: int | None = None
 ) -> DataFrame:
-    """(id, text, toxic) of the sample: per label the texts of at most `longest` characters whose ids hash lowest.
+    """(place, id, text, toxic) of the sample: per label the texts whose ids hash lowest, in the order of place.
 
-    Rows whose id is held out, null labels and texts without a label never enter. An id that is
-    labelled both ways counts as toxic.
+    Only as many are taken as hold CHARACTERS characters, the last one whole. Rows whose id is held
+    out, null labels and texts without a label never enter. An id that is labelled both ways counts as
+    toxic; equal texts of an id are one. With `longest`, longer texts are left out.
     """
     marked = pick(labels, id=id_col, toxic=label_col).filter(F.col("toxic").isNotNull() & ~held_out("id"))
     marked = marked.groupBy("id").agg(F.max("toxic").alias("toxic"))
-    # Of two times as many labels some have long texts or none; the rows come down to the bound after the join.
-    chosen = [marked.filter(c).orderBy(F.xxhash64("id"), "id").limit(2 * n) for c, n in (("toxic > 0", toxic_rows), ("toxic <= 0", clean_rows))]
-    ids = chosen[0].unionAll(chosen[1])
-    texts = pick(df, id=id_col, text=text_col).filter(F.length("text") <= longest)
-    met = texts.join(F.broadcast(ids), "id")
-    order = [F.xxhash64("id"), "id", F.xxhash64("text")]
-    parts = [met.filter(c).orderBy(*order).limit(n) for c, n in (("toxic > 0", toxic_rows), ("toxic <= 0", clean_rows))]
-    return parts[0].unionAll(parts[1])
+    texts = pick(df, id=id_col, text=text_col).filter(F.col("text").isNotNull()).withColumn("hash", F.xxhash64("text"))
+    sizes = texts.select("id", "hash", F.length("text").alias("chars"))
+    sizes = sizes if longest is None else sizes.filter(F.col("chars") <= longest)
+    met = sizes.join(marked, "id").groupBy("id", "hash").agg(F.max("toxic").alias("toxic"), F.max("chars").alias("chars"))
+    chosen = []
+    for condition, n in (("toxic > 0", toxic_rows), ("toxic <= 0", clean_rows)):
+        held = 0
+        for row in met.filter(condition).orderBy(F.xxhash64("id"), "id", "hash").limit(n).collect():
+            if held >= CHARACTERS:
+                break
+            chosen.append((len(chosen), row["id"], row["hash"], row["toxic"]))
+            held += row["chars"]
+    rows = df.sparkSession.createDataFrame(chosen, f"place int, id {kind(met, 'id')}, hash bigint, toxic {kind(met, 'toxic')}")
+    return texts.join(F.broadcast(rows), ["id", "hash"]).dropDuplicates(["place"]).select("place", "id", "text", "toxic")
 
 
 def fit(
@@ -370,10 +378,11 @@ def fit(
     label_col: str = "toxic",
     toxic_rows: int = TOXIC_ROWS,
     clean_rows: int = CLEAN_ROWS,
-    longest: int = LONGEST,
+    longest: int | None = None,
 ) -> Net | None:
     """Train on the driver over the bounded sample of training_rows()."""
     rows = training_rows(df, labels, id_col, text_col, label_col, toxic_rows, clean_rows, longest).collect()
+    rows.sort(key=lambda r: r["place"])
     return train([r["text"] for r in rows], np.array([float(r["toxic"] > 0) for r in rows]))
 
 
