@@ -1,4 +1,4 @@
-"""Runs of lines that repeat in a corpus: winnowed line hashes, joined places, extended matches, later copies deleted."""
+"""Runs of lines that repeat in a corpus: hashes of all windows and their extensions, joined places, later copies deleted."""
 
 from __future__ import annotations
 
