@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, licenses, line_dedup, near_duplicates, packing, quality, top_k, toxicity, warc
+from . import bpe, html_text, licenses, line_dedup, near_duplicates, packing, personal_data, quality, top_k, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -244,3 +244,70 @@ def op9_top_k(spark, folder):
 def op10_warc(spark, folder):
     records = warc.archive_round_trip(table(spark, folder, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _personal_sql() -> str:
+    """Positions come from the pieces between matches; the plain patterns stand for the linear ones."""
+    plain = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+        "iban": r"[A-Z]{2}[0-9]{2}( ?[A-Z0-9]{4}){2,7}( ?[A-Z0-9]{1,3})?",
+        "ssn": "[0-9]{3}-[0-9]{2}-[0-9]{4}",
+        "local_phone": r"\(?[0-9]{2,4}\)?[ .-][0-9]{3,4}[ .-][0-9]{3,4}",
+    }
+    kinds = ", ".join(
+        f"({i}, '{k.name}', '(^|[^a-z])({k.words})([^a-z]|$)', {k.prior}, {k.boost}, {k.base})" for i, k in enumerate(personal_data.KINDS)
+    )
+    # DuckDB wants constant patterns, so each kind is a part of its own.
+    parts = " union all ".join(
+        f"select doc_id, text, '{name}' as kind, regexp_extract_all(text, '{p}') as ms, string_split_regex(text, '{p}') as ps from t"
+        for name, p in plain.items()
+    )
+    near = " or ".join(
+        f"(kind = '{k.name}' and regexp_matches(lower(text[greatest(1, a + 1 - {personal_data.BEFORE}):a] || ' ' || text[b + 1:b + {personal_data.AFTER}]), "
+        f"'(^|[^a-z])({k.words})([^a-z]|$)'))"
+        for k in personal_data.KINDS
+    )
+    return rf"""
+    with t as (select doc_id, coalesce(text, '') as text from documents),
+    k(place, kind, words, prior, boost, base) as (values {kinds}),
+    p as ({parts}), u as (
+        select *, unnest(range(1, len(ms) + 1)) as i from p
+    ), s as (
+        select doc_id, text, kind, ms[i] as s, coalesce(list_sum(list_transform(ps[1:i], lambda x: length(x))), 0)
+            + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) as a, regexp_replace(ms[i], '[^0-9]', '', 'g') as d,
+            replace(ms[i], ' ', '') as bare
+        from u
+    ), v as (
+        select *, (a + length(s))::bigint as b from s where case kind
+            when 'ip' then len(list_filter(string_split(s, '.'), lambda x: length(ltrim(x, '0')) > 3 or coalesce(try_cast(ltrim(x, '0') as int), 0) > 255)) = 0
+            when 'card' then length(d) between 13 and 19 and list_sum(list_transform(range(1, length(d) + 1),
+                lambda j: case when j % 2 = 1 then d[length(d) + 1 - j]::int else (2 * d[length(d) + 1 - j]::int) // 10 + (2 * d[length(d) + 1 - j]::int) % 10 end)) % 10 = 0
+            when 'phone' then length(d) between 9 and 15
+            when 'local_phone' then length(d) between 9 and 11
+            when 'ssn' then s[1:3] not in ('000', '666') and s[1] <> '9' and s[5:6] <> '00' and s[8:11] <> '0000'
+            when 'iban' then length(bare) between 15 and 34 and list_reduce(list_transform(string_split(bare[5:] || bare[1:4], ''),
+                lambda c: case when c between '0' and '9' then c::int else ascii(c) - 55 end), lambda r, x: (case when x > 9 then r * 100 + x else r * 10 + x end) % 97, 0) = 1
+            else true end
+    ), g as (
+        select v.*, place, base, prior + case when {near} then boost else 0 end as score from v join k using (kind)
+    ), kept as (
+        select * from g where base or (score >= {personal_data.LEAST} - 1e-9 and not regexp_matches(text[a:a], '^[A-Za-z0-9]$') and not regexp_matches(text[b + 1:b + 1], '^[A-Za-z0-9]$')
+            and not exists (select 1 from g o where o.base and o.doc_id = g.doc_id and o.a < g.b and g.a < o.b))
+    ), found as (
+        select doc_id, count(*) filter (kind = 'email') as n_email, count(*) filter (kind = 'ip') as n_ip, count(*) filter (kind = 'card') as n_card,
+            count(*) filter (kind = 'phone') as n_phone, string_agg(kind || ':' || a || ':' || b, ',' order by place, a) filter (base) as base_spans,
+            string_agg(kind || ':' || a || ':' || b, ',' order by place, a) as spans
+        from kept group by doc_id
+    )
+    select doc_id, coalesce(n_email, 0) as n_email, coalesce(n_ip, 0) as n_ip, coalesce(n_card, 0) as n_card, coalesce(n_phone, 0) as n_phone,
+        sha256(coalesce(base_spans, '')) as base_sha256, coalesce(spans, '') as spans
+    from documents left join found using (doc_id)
+    """
+
+
+@query(_personal_sql())
+def op13_personal_data(spark, folder):
+    return personal_data.span_digest(personal_data.find_personal_data(table(spark, folder, "documents")))
