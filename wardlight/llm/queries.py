@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, licenses, line_dedup, near_duplicates, packing, personal_data, quality, top_k, toxicity, warc
+from . import bpe, hard_negatives, html_text, licenses, line_dedup, near_duplicates, packing, personal_data, quality, top_k, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -311,3 +311,27 @@ def _personal_sql() -> str:
 @query(_personal_sql())
 def op13_personal_data(spark, folder):
     return personal_data.span_digest(personal_data.find_personal_data(table(spark, folder, "documents")))
+
+
+@query(
+    """
+    with v as (
+        select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+            list_transform(embedding, lambda x: floor(256 * x::double)) as v
+        from embeddings where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ), s as (
+        select a.vec_id as anchor_id, c.vec_id, a.label = c.label as alike, list_inner_product(a.v, c.v)::bigint as score
+        from v a join v c on a.vec_id % 100 = 0 and c.vec_id <> a.vec_id
+    ), p as (
+        select anchor_id, vec_id as positive_id, score as positive_score from s where alike
+        qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+    )
+    select anchor_id, positive_id, row_number() over w::int as rank, vec_id as negative_id, positive_score, score as negative_score
+    from p join s using (anchor_id) where not alike and 80 * positive_score <= 100 * score and score <= positive_score
+    window w as (partition by anchor_id, positive_id order by score desc, vec_id) qualify row_number() over w <= 5
+    """
+)
+def op12_hard_negatives(spark, folder):
+    rows = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
