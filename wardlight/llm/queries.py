@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hard_negatives, html_text, licenses, line_dedup, near_duplicates, packing, personal_data, quality, top_k, toxicity, warc
+from . import bpe, collocations, hard_negatives, html_text, licenses, line_dedup, near_duplicates, packing, personal_data, quality, top_k, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -335,3 +335,43 @@ def op12_hard_negatives(spark, folder):
     rows = table(spark, folder, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+@query(
+    r"""
+    with pieces as (
+        select coalesce(lang, 'und') as lang, doc_id, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+        from documents
+    ), w as (
+        select lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') as ws from pieces
+    ), n as (
+        select lang, sum(len(ws))::bigint as n from w group by lang
+    ), grams as (
+        select lang, size, unnest(list_transform(range(1, len(ws) - size + 2), lambda i: ws[i:i + size - 1])) as ws
+        from w, (select unnest(range(1, 5)) as size)
+    ), f as materialized (
+        select lang, ws, count(*) as f from grams group by all having count(*) >= 30
+    ), c as (
+        select lang, ws, f as a from f where len(ws) > 1
+    ), cuts as (
+        select c.lang, c.ws, a, k, l.f as l, r.f as r, (2000000::hugeint * a // (l.f + r.f))::bigint as score
+        from (select *, unnest(range(1, len(ws))) as k from c) c
+        join f l on l.lang = c.lang and l.ws = c.ws[1:k] join f r on r.lang = c.lang and r.ws = c.ws[k + 1:]
+    ), best as (
+        select * from cuts qualify row_number() over (partition by lang, ws order by score, k) = 1
+    ), parts as (
+        select lang, a, unnest(list_filter(flatten(list_transform(range(1, len(ws)),
+            lambda i: list_transform(range(i + 1, len(ws) + 1), lambda j: ws[i:j]))), lambda x: len(x) < len(ws))) as ws
+        from c where len(ws) > 2
+    ), gone as (
+        select c.lang, c.ws from c join parts p on p.lang = c.lang and p.ws = c.ws group by c.lang, c.ws, c.a having 100 * max(p.a) >= 80 * c.a
+    ), ranked as (
+        select lang, array_to_string(ws, ' ') as phrase, a, l, r, score from best anti join gone using (lang, ws)
+    )
+    select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+    from ranked join n using (lang) qualify rank <= 2000
+    """
+)
+def op11_collocations(spark, folder):
+    return collocations.collocations(table(spark, folder, "documents"))
