@@ -28,7 +28,7 @@ TOXIC_ROWS, CLEAN_ROWS, CHARACTERS = 800, 2400, 20_000_000
 LEAST_TEXTS, VOCABULARY = 3, 20_000
 ROUNDS, STEPS_A_ROUND, BATCH, RATE = 4, 50, 256, 0.02
 #: Word types that a worker keeps, words scored together, windows run together, and rows taken from an Arrow batch at once.
-CACHED, SLICE, TOGETHER, ROWS = 100_000, 60_000, 1024, 512
+CACHED, SLICE, TOGETHER, ROWS = 100_000, 30_000, 1024, 32
 _word = re.compile(r"[^\W\d_]+")
 
 
@@ -271,8 +271,13 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 5) -> Net | None:
     seen = np.bincount(np.concatenate(distinct), minlength=len(types))
     common = np.array(sorted(np.flatnonzero(seen >= LEAST_TEXTS).tolist(), key=lambda i: (-seen[i], types[i]))[:VOCABULARY], np.int64)
     vocabulary = {types[i]: n + 1 for n, i in enumerate(common.tolist())}
-    owner, buckets = char_grams(types)
-    sizes = np.bincount(owner, minlength=len(types))
+    sizes, buckets = [], []
+    for at in range(0, len(types), SLICE):
+        some = types[at : at + SLICE]
+        owner, found = char_grams(some)
+        sizes.append(np.bincount(owner, minlength=len(some)))
+        buckets.append(found.astype(np.uint16))  # BUCKETS fit; the n-grams of all types are the largest array here
+    sizes, buckets = np.concatenate(sizes), np.concatenate(buckets)
     starts_of = np.cumsum(sizes) - sizes
 
     def grams_of(some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
