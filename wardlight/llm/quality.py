@@ -128,7 +128,10 @@ def judge(
     sample may swap places, which can change rejected_by but not kept. An empty text fails few_words.
     """
     found = features(df, id_col, text_col, whole)
-    sample = found.limit(sample_rows).persist()
+    # Raw rows are drawn before any feature is computed, and only what the rules read is kept.
+    raw = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([id_col, text_col])])
+    raw = raw.sample(min(1.0, 4 * sample_rows / max(1, df.count())), seed=1).limit(sample_rows)
+    sample = features(raw, id_col, text_col).drop("row").persist()
     try:
         order = rank_rules(sample, rules)
     finally:
