@@ -77,6 +77,8 @@ class WordCache:
     def values(self, words: list) -> list:
         """The value of every word, in order; what is not known is made for all of them at once."""
         found = [*map(self.young.get, words)]
+        if None not in found:
+            return found
         gaps = [i for i, value in enumerate(found) if value is None]
         if gaps:
             missing = {words[i] for i in gaps}
