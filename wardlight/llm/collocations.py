@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.indexing import add_dense_index
-from ..operators.skew import salted_join
+from ..operators.skew import lookup_join, salted_join
 from ..session import write_stage
 from .common import pick, ship, strings
 
@@ -120,7 +120,7 @@ def read_shards(rows: Iterator[tuple[str, bytes]], shard_words: int, size: int)
 def _shards(df: DataFrame) -> DataFrame:
     """(shard, lang, words, counts, seq, context): names of shards are random, so the table is written once and kept."""
     shard_words, size = SHARD_WORDS, SLICE
-    fields = [("shard", pa.string()), ("lang", pa.string()), ("words", pa.list_(pa.binary())), ("counts", pa.list_(pa.int64())), ("seq", pa.binary()), ("context", pa.int32())]
+    fields = [("shard", pa.int64()), ("lang", pa.string()), ("words", pa.list_(pa.binary())), ("counts", pa.list_(pa.int64())), ("seq", pa.binary()), ("context", pa.int32())]
     schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,10 +128,10 @@ def _shards(df: DataFrame) -> DataFrame:
         for lang, shard in read_shards(rows, shard_words, size):
             if len(shard.seq) > shard.context:
                 seq = np.array(shard.seq, "<u4").tobytes()
-                row = [uuid.uuid4().hex], [lang], [list(shard.numbers)], [shard.counts()], [seq], [shard.context]
+                row = [uuid.uuid4().int >> 65], [lang], [list(shard.numbers)], [shard.counts()], [seq], [shard.context]
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
-    kinds = "shard string, lang string, words array<binary>, counts array<bigint>, seq binary, context int"
+    kinds = "shard bigint, lang string, words array<binary>, counts array<bigint>, seq binary, context int"
     return df.mapInArrow(run, kinds)
 
 
@@ -223,16 +223,30 @@ class Transducer:
             out.append(np.where(met, counts.weight[level][place], 0) if len(counts.key[level]) else np.zeros(len(wanted), np.int64))
         return out
 
-    def dump(self) -> tuple[list[int], bytes, bytes]:
-        return [len(k) for k in self.key], np.concatenate(self.key).tobytes(), np.concatenate(self.weight).tobytes()
+    def dump(self) -> tuple[list[int], bytes, str, bytes, str, bytes]:
+        """Sizes of the levels, words, and in narrow types the arcs of each state and the weights."""
+        above = [1, *(len(k) for k in self.key[:-1])]
+        words = np.concatenate(self.key) & WORD
+        arcs = [np.bincount(k >> WORD_BITS, minlength=n) for k, n in zip(self.key, above, strict=True)]
+        return [len(k) for k in self.key], words.astype("<u4").tobytes(), *_narrow(np.concatenate(arcs)), *_narrow(np.concatenate(self.weight))
 
     @classmethod
-    def load(cls, sizes, keys: bytes, weights: bytes) -> Transducer:
-        cuts = np.cumsum(sizes)[:-1]
-        return cls(np.split(np.frombuffer(keys, np.int64), cuts), np.split(np.frombuffer(weights, np.int64), cuts))
+    def load(cls, sizes, words: bytes, arcs_kind: str, arcs: bytes, weights_kind: str, weights: bytes) -> Transducer:
+        cuts, above = np.cumsum(sizes)[:-1], np.array([1, *sizes[:-1]])
+        words = np.split(np.frombuffer(words, "<u4").astype(np.int64), cuts)
+        arcs = np.split(np.frombuffer(arcs, arcs_kind).astype(np.int64), np.cumsum(above)[:-1])
+        keys = [np.repeat(np.arange(len(a)), a) << WORD_BITS | w for a, w in zip(arcs, words, strict=True)]
+        return cls(keys, np.split(np.frombuffer(weights, weights_kind).astype(np.int64), cuts))
 
 
-STORED = "sizes array<int>, keys binary, weights binary"
+def _narrow(values: np.ndarray) -> tuple[str, bytes]:
+    """The smallest type that holds whole numbers from 0 on, and the numbers in it."""
+    kind = np.min_scalar_type(int(values.max(initial=0))).str
+    return kind, values.astype(kind).tobytes()
+
+
+_COLUMNS = ["sizes", "words", "arcs_kind", "arcs", "weights_kind", "weights"]
+STORED = "sizes array<int>, words binary, arcs_kind string, arcs binary, weights_kind string, weights binary"
 
 
 def range_of(paths: np.ndarray, spread: np.ndarray, n_ranges: int, n_words: int) -> np.ndarray:
@@ -257,11 +271,11 @@ def cut_shard(seq: np.ndarray, context: int, ids: np.ndarray, spread: np.ndarray
 
 def _stored(parts: list[tuple]) -> pd.DataFrame:
     rows = [(n, *made.dump()) for n, made in parts]
-    return pd.DataFrame(rows, columns=["range", "sizes", "keys", "weights"])
+    return pd.DataFrame(rows, columns=["range", *_COLUMNS])
 
 
 def _loaded(rows: pd.DataFrame) -> list[Transducer]:
-    return [Transducer.load(*row) for row in rows[["sizes", "keys", "weights"]].itertuples(index=False)]
+    return [Transducer.load(*row) for row in rows[_COLUMNS].itertuples(index=False)]
 
 
 # --- counts and parts -----------------------------------------------------------------------------------------------
@@ -294,9 +308,9 @@ def _vocabulary(shards: DataFrame, least: int) -> tuple[DataFrame, Layout]:
 
 
 def _automata(shards: DataFrame, vocabulary: DataFrame, layout: Layout, least: int) -> DataFrame:
-    """(range, sizes, keys, weights): one transducer for each prefix range, of all sequences with at least `least` counts."""
+    """(range and a stored transducer): one for each prefix range, of all sequences with at least `least` counts."""
     words = shards.select("shard", "lang", F.posexplode("words").alias("place", "word"))
-    named = words.join(vocabulary, ["lang", "word"]).select("shard", (F.col("place") + 1).alias("place"), "id", "spread")
+    named = lookup_join(words, vocabulary, ["lang", "word"], "inner").select("shard", (F.col("place") + 1).alias("place"), "id", "spread")
     n_ranges, n_words = layout.n_ranges, layout.n_words
 
     def cut(shard: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
