@@ -56,12 +56,6 @@ def test_feature_columns_and_assembly(spark):
     assert R.assemble(df, "id", names).first()["features"].toArray().tolist() == [2.0, 0.0, 5.0]
 
 
-def test_balanced_weights(spark):
-    df = spark.createDataFrame([(1.0,)] + [(0.0,)] * 3, "label double")
-    got = {r["label"]: r["weight"] for r in R.add_balanced_weight(df).collect()}
-    assert got == {1.0: 2.0, 0.0: pytest.approx(2 / 3)}
-
-
 def test_cross_validation(table):
     scores, mean, std = R.cross_validate(labelled(table, "high"), R.forest(4, 3), cv=3, scoring="f1")
     values = [r["score"] for r in scores.collect()]
@@ -124,5 +118,23 @@ def test_all_types_storage_and_summary(spark, table, tmp_path):
     assert top["feature"] == "a"
     assert R.feature_importance(model, ["x"], spark).first()["feature"] == "feature_0"
     plain = str(tmp_path / "plain_model")
-    model.write().overwrite().save(plain)
+    R.train_classifier(labelled(table, "high"), n_estimators=2, max_depth=2).write().overwrite().save(plain)
     assert R.load_model(spark, plain)[1] == {}
+    assert all(set(r.best_params) == set(R.SEARCH_SPACE) for r in results.values())
+
+
+def test_labels_together_are_as_each_alone(spark, table):
+    """Every label's forest is what training that label alone gives, whatever else grows in the same scans."""
+    results = R.train_all_types(table, list("abcd"), n_iter=2, min_samples=100, space=SPACE)
+    alone = R.train_single_type_model(labelled(table, "any"), n_iter=2, space=SPACE)
+    assert alone.metrics == results["any"].metrics and alone.best_params == results["any"].best_params
+    assert R.train_all_types(table, list("abcd"), min_samples=10**6) == {}
+
+
+def test_large_forests_score_like_small_ones(table, monkeypatch):
+    rows = labelled(table, "high")
+    model, _, _ = R.random_search(rows, n_iter=1, space=SPACE)
+    small = {r["row_id"]: r["probability"] for r in model.transform(rows).collect()}
+    monkeypatch.setattr(R, "SENT_BYTES", 0)
+    large = {r["row_id"]: r["probability"] for r in model.transform(rows).collect()}
+    assert small.keys() == large.keys() and all(small[k] == pytest.approx(large[k]) for k in small)

@@ -11,25 +11,32 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
+from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.tuning import CrossValidator
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import feature_category, is_cyclical_name, is_district_name
-from ..session import work_folder
+from ..session import drop_stage, work_folder, write_stage
 from .clean import numeric_columns, quoted
 from .labels import class_distribution
-from .metrics import binary_metrics, class_report, multilabel_metrics, weighted_metrics
+from .metrics import class_report, multilabel_metrics, weighted_metrics
 from .resampling import ResamplingStats, determine_resampling_strategy, non_adaptive_strategy, resample
 from .sampling import add_folds, mark_test
+from .trees import TEST, Binning, Forest, Tree, bin_features, confusion, grow, importance, pack_rows, votes
 
 MAX_DEPTH = 30  # the deepest tree Spark grows; stands for "unlimited"
+#: What ids of rows that were not made up begin with, and the bytes of a forest that are sent to all tasks.
+REAL = "row:"
+SENT_BYTES = 32 << 20
 
 # Ranges (ends included) and choices of the random search.
 SEARCH_SPACE = {
@@ -51,9 +58,12 @@ SCORES = {
 }
 
 
+
+
+
 @dataclass
 class TrainedModel:
-    model: RandomForestClassificationModel | None
+    model: RandomForestClassificationModel | VotingForest | None
     metrics: dict[str, float]
     best_params: dict[str, int | str]
     minority_ratio: float
@@ -125,19 +135,6 @@ def evaluation(model: RandomForestClassificationModel, df: DataFrame, label: str
     return {"scores": weighted_metrics(predictions, label), "report": class_report(predictions, label), "predictions": predictions}
 
 
-def add_balanced_weight(df: DataFrame, label: str = "label") -> DataFrame:
-    """weight = n / (2 x rows of the class)."""
-    n = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == 1).alias("p")).first()
-    total, positive = n["n"], n["p"]
-    negative = total - positive
-    return df.withColumn(
-        "weight",
-        F.when(F.col(label) == 1, F.lit(total / (2 * positive) if positive else 1.0)).otherwise(
-            F.lit(total / (2 * negative) if negative else 1.0)
-        ),
-    )
-
-
 def draw_params(n_iter: int, seed: int = 42, space: dict | None = None) -> list[dict[str, int | str]]:
     """n_iter random settings; ranges are drawn uniformly with both ends."""
     rng = random.Random(seed)
@@ -147,36 +144,131 @@ def draw_params(n_iter: int, seed: int = 42, space: dict | None = None) -> list[
     ]
 
 
-def _with_params(rf: RandomForestClassifier, params: dict[str, int | str]) -> dict:
-    """Spark's names; it has no minimum size of a split, and one weight per row for all trees."""
-    return {
-        rf.numTrees: params["n_estimators"],
-        rf.maxDepth: min(params["max_depth"], MAX_DEPTH),
-        rf.minInstancesPerNode: params["min_samples_leaf"],
-        rf.featureSubsetStrategy: params["max_features"],
-    }
+class VotingForest:
+    """A grown forest: the mean share of class 1 over its trees, class 1 from above one half."""
+
+    def __init__(self, trees: DataFrame, binning: Binning):
+        self.trees, self.binning = trees, binning
+
+    @property
+    def featureImportances(self) -> DenseVector:
+        found = importance(self.trees).collect()
+        shares = {r["feature"]: r["importance"] for r in found}
+        total = sum(shares.values()) or 1.0
+        return DenseVector([shares.get(i, 0.0) / total for i in range(len(self.binning.bounds))])
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add probability and prediction. A forest is sent to the tasks only if it has been measured to be small."""
+        size = sum(F.octet_length(c) for c in Tree.KINDS)
+        if (self.trees.agg(F.sum(size)).first()[0] or 0) <= SENT_BYTES:
+            chance = self._small()(vector_to_array("features"))
+            found = df.withColumn("probability", chance)
+        else:
+            rows = write_stage(df.withColumn("_row", F.monotonically_increasing_id()), "scored")
+            asked = rows.select(F.col("_row").alias("row_id"), "features", F.expr("cast(array() as array<struct<label:int,y:int,fold:int>>)").alias("entries"))
+            share = votes(self.trees, pack_rows(asked, self.binning, 1)).select(F.col("row").alias("_key"), F.col("p").alias("probability"))
+            found = rows.withColumn("_key", F.xxhash64(F.col("_row").cast("string"))).join(share, "_key").drop("_key", "_row")
+        return found.withColumn("prediction", (F.col("probability") > 0.5).cast("double"))
+
+    def _small(self):
+        spark, binning = self.trees.sparkSession, self.binning
+        sent = spark.sparkContext.broadcast([tuple(r) for r in self.trees.select("w0", "w1", *Tree.KINDS).collect()])
+
+        @F.pandas_udf("double")
+        def share(values: pd.Series) -> pd.Series:
+            if not len(values):
+                return pd.Series([], dtype=float)
+            bins, total = binning.bins(np.stack(values.to_numpy()).astype(float)), np.zeros(len(values))
+            for w0, w1, *parts in sent.value:
+                tree = Tree(*[np.frombuffer(p, k) for p, k in zip(parts, Tree.KINDS.values(), strict=True)])
+                total += tree.probability((w0, w1))[tree.end_of(bins)]
+            return pd.Series(total / max(1, len(sent.value)))
+
+        return share
+
+    def save(self, path: str) -> None:
+        self.trees.write.mode("overwrite").parquet(f"{path}/trees")
+        save_json(self.trees.sparkSession, f"{path}/bounds", [b.tolist() for b in self.binning.bounds])
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> VotingForest:
+        return VotingForest(spark.read.parquet(f"{path}/trees"), Binning([np.array(b, float) for b in load_json(spark, f"{path}/bounds")]))
+
+
+def _rows_of_labels(base: DataFrame, sets: Sequence[tuple[DataFrame, DataFrame | None]], folds: int, seed: int) -> DataFrame:
+    """(row_id, features, entries): every row once, with all labels that it belongs to; made-up rows belong to one.
+
+    Rows of base have ids that begin with REAL; only their ids move until all labels are known.
+    """
+    real, made = [], []
+    for i, (train, test) in enumerate(sets):
+        parts = [add_folds(train, "label", "row_id", folds, seed)]
+        if test is not None:
+            parts.append(test.withColumn("fold", F.lit(TEST)))
+        for part in parts:
+            entry = F.struct(F.lit(i).alias("label"), F.col("label").cast("int").alias("y"), F.col("fold").cast("int").alias("fold"))
+            is_real = F.startswith(F.col("row_id"), F.lit(REAL))
+            real.append(part.filter(is_real).select("row_id", entry.alias("entry")))
+            made.append(part.filter(~is_real).select(F.concat(F.lit(f"{i}:"), "row_id").alias("row_id"), "features", F.array(entry).alias("entries")))
+    entries = reduce(DataFrame.unionAll, real).groupBy("row_id").agg(F.collect_list("entry").alias("entries"))  # at most one a label
+    known = base.select("row_id", "features").join(entries, "row_id")
+    return write_stage(reduce(DataFrame.unionAll, made, known), "rows")
+
+
+def _setting(label: int, params: dict[str, int | str], seed: int, without_fold: int | None = None) -> Forest:
+    return Forest(
+        label, params["n_estimators"], min(params["max_depth"] or MAX_DEPTH, MAX_DEPTH), params["min_samples_split"], params["min_samples_leaf"],
+        params["max_features"], params["class_weight"], without_fold, seed,
+    )
+
+
+def _positive_scores(tp: int = 0, fp: int = 0, fn: int = 0, tn: int = 0) -> dict[str, float]:
+    """Scores of class 1; 0 where there is nothing to divide by."""
+
+    def share(a: int, b: int) -> float:
+        return a / b if b else 0.0
 
+    return {"accuracy": share(tp + tn, tp + fp + fn + tn), "precision": share(tp, tp + fp), "recall": share(tp, tp + fn), "f1": share(2 * tp, 2 * tp + fp + fn)}
 
-def random_search(train: DataFrame, n_iter: int = 5, seed: int = 42, folds: int = 2, space: dict | None = None, parallelism: int = 2):
+
+def search_together(
+    base: DataFrame, sets: Sequence[tuple[DataFrame, DataFrame | None]], n_iter: int = 5, seed: int = 42, folds: int = 2, space: dict | None = None
+) -> list[tuple[VotingForest, dict[str, int | str], list[float], dict[str, float]]]:
+    """For each label: the forest of the best setting, that setting, the mean f1 of class 1 of every setting, test scores.
+
+    base: row_id (beginning with REAL), features. sets: for each label its training rows (row_id, features,
+    label), made-up ones among them, and its test rows or None. Features are binned once; the forests of all
+    labels, settings and folds grow in the same scans, and then the forests of the best settings.
+    """
+    settings = draw_params(n_iter, seed, space)
+    rows = _rows_of_labels(base, sets, folds, seed)
+    binning = bin_features(rows)
+    blocks = pack_rows(rows, binning, len(sets))
+    tried = [_setting(i, s, seed, fold) for i in range(len(sets)) for s in settings for fold in range(folds)]
+    trees = grow(blocks, tried, binning)
+    sums = confusion(trees, blocks, tried)
+    drop_stage(trees)
+    f1 = np.array([_positive_scores(**sums.get(n, {}))["f1"] for n in range(len(tried))]).reshape(len(sets), n_iter, folds).mean(axis=2)
+    best = [int(x.argmax()) for x in f1]
+    final = [_setting(i, settings[n], seed) for i, n in enumerate(best)]
+    trees = grow(blocks, final, binning)
+    tested = confusion(trees, blocks, final)
+    out = []
+    for i, n in enumerate(best):
+        model = VotingForest(trees.filter(F.col("forest") == i), binning)
+        out.append((model, settings[n], f1[i].tolist(), _positive_scores(**tested.get(i, {}))))
+    drop_stage(blocks)
+    drop_stage(rows)
+    return out
+
+
+def random_search(train: DataFrame, n_iter: int = 5, seed: int = 42, folds: int = 2, space: dict | None = None):
     """(model refitted with the best setting, best setting, mean f1 of class 1 of every setting).
 
     train: row_id, features, label. A single setting is scored like any other.
     """
-    work_folder(train.sparkSession)  # deep trees checkpoint the node of every row there
-    settings = draw_params(n_iter, seed, space)
-    rf = forest(seed=seed, weightCol="weight")
-    weighted = add_balanced_weight(add_folds(train, "label", "row_id", folds, seed)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        grid = [_with_params(rf, s) for s in settings]
-        search = CrossValidator(
-            estimator=rf, estimatorParamMaps=grid, evaluator=MulticlassClassificationEvaluator(**SCORES["f1"]),
-            numFolds=folds, foldCol="fold", parallelism=parallelism,
-        )
-        found = search.fit(weighted)
-        best = max(range(len(grid)), key=lambda i: found.avgMetrics[i])
-        return found.bestModel, settings[best], list(found.avgMetrics)
-    finally:
-        weighted.unpersist()
+    named = write_stage(train.withColumn("row_id", F.concat(F.lit(REAL), F.col("row_id").cast("string"))), "train")
+    return search_together(named, [(named, None)], n_iter, seed, folds, space)[0][:3]
 
 
 def cross_validate(df: DataFrame, estimator: RandomForestClassifier | None = None, cv: int = 5, scoring: str = "accuracy", seed: int = 42) -> tuple[DataFrame, float, float]:
@@ -217,6 +309,22 @@ def importance_report(importance: DataFrame, cyclical: bool = False, districts:
     return kept if top is None else kept.limit(top)
 
 
+def _prepared(
+    data: DataFrame, adaptive_resampling: bool, seed: int, resample_before_split: bool, test_size: float
+) -> tuple[DataFrame, DataFrame, float, ResamplingStats]:
+    """(training rows, test rows, share of positives, what resampling did) of one binary label."""
+    counted = data.agg(F.count_if(F.col("label") == 1).alias("p"), F.count(F.lit(1)).alias("n")).first()
+    ratio = counted["p"] / counted["n"]
+    strategy = determine_resampling_strategy(ratio) if adaptive_resampling else non_adaptive_strategy(ratio)
+    if resample_before_split:
+        data, stats = resample(data, strategy=strategy, seed=seed)
+    marked = mark_test(data, "row_id", test_size, seed, stratify="label")
+    train, test = marked.filter(~F.col("is_test")).drop("is_test"), marked.filter("is_test").drop("is_test")
+    if not resample_before_split:
+        train, stats = resample(train, strategy=strategy, seed=seed)
+    return train, test, ratio, stats
+
+
 def train_single_type_model(
     data: DataFrame,
     n_iter: int = 5,
@@ -232,18 +340,9 @@ def train_single_type_model(
     tested; resample_before_split=True does it the other way round. Without adaptive_resampling only
     rare labels are resampled.
     """
-    counted = data.agg(F.count_if(F.col("label") == 1).alias("p"), F.count(F.lit(1)).alias("n")).first()
-    ratio = counted["p"] / counted["n"]
-    strategy = determine_resampling_strategy(ratio) if adaptive_resampling else non_adaptive_strategy(ratio)
-    if resample_before_split:
-        data, stats = resample(data, strategy=strategy, seed=seed)
-    marked = mark_test(data, "row_id", test_size, seed, stratify="label")
-    train, test = marked.filter(~F.col("is_test")).drop("is_test"), marked.filter("is_test").drop("is_test")
-    if not resample_before_split:
-        train, stats = resample(train, strategy=strategy, seed=seed)
-    model, best, _ = random_search(train, n_iter, seed, space=space)
-    scores = binary_metrics(model.transform(test)).first()
-    metrics = {k: scores[k] for k in ("accuracy", "precision", "recall", "f1")}
+    named = write_stage(data.withColumn("row_id", F.concat(F.lit(REAL), F.col("row_id").cast("string"))), "label")
+    train, test, ratio, stats = _prepared(named, adaptive_resampling, seed, resample_before_split, test_size)
+    model, best, _, metrics = search_together(named, [(train, test)], n_iter, seed, space=space)[0]
     return TrainedModel(model, metrics, best, ratio, stats)
 
 
@@ -259,32 +358,35 @@ def train_all_types(
     space: dict | None = None,
     parallelism: int = 2,
     keep_models: bool = True,
+    test_size: float = 0.2,
 ) -> dict[str, TrainedModel]:
     """One model per label with enough positives, most frequent label first.
 
-    table: row_id, features, type ARRAY<STRING>. Labels are counted in one pass; a few labels are
-    trained at a time on the same persisted table. With keep_models=False a model that has been
-    saved is let go, so the driver holds a few at a time.
+    table: row_id, features, type ARRAY<STRING>. Labels are counted in one pass; a few at a time are split and
+    resampled, and then the forests of all labels grow in the same scans. With keep_models=False a model that
+    has been saved is let go.
     """
     spark = table.sparkSession
-    table = table.persist(StorageLevel.MEMORY_AND_DISK)
-
-    def one(label: str) -> tuple[str, TrainedModel]:
-        data = table.select("row_id", "features", F.array_contains("type", label).cast("double").alias("label"))
-        trained = train_single_type_model(data, n_iter, adaptive_resampling, seed, resample_before_split, space)
-        trained.importance = feature_importance(trained.model, feature_names, spark)
+    named = write_stage(table.select(F.concat(F.lit(REAL), F.col("row_id").cast("string")).alias("row_id"), "features", "type"), "table")
+
+    def one(label: str) -> tuple[DataFrame, DataFrame, float, ResamplingStats]:
+        data = named.select("row_id", "features", F.array_contains("type", label).cast("double").alias("label"))
+        return _prepared(data, adaptive_resampling, seed, resample_before_split, test_size)
+
+    enough = class_distribution(named).filter(F.col("positive") >= min_samples)
+    labels = [r["label"] for r in enough.select("label").collect()]
+    if not labels:
+        return {}
+    with ThreadPoolExecutor(parallelism) as pool:
+        sets = list(pool.map(one, labels))
+    found = search_together(named, [(train, test) for train, test, *_ in sets], n_iter, seed, space=space)
+    results = {}
+    for label, (_, _, ratio, stats), (model, best, _, metrics) in zip(labels, sets, found, strict=True):
+        trained = TrainedModel(model, metrics, best, ratio, stats, importance=feature_importance(model, feature_names, spark))
         if output_dir:
-            trained.path = save_model(spark, trained.model, f"{output_dir}/{file_name(label)}_model", {"label": label, "features": list(feature_names)})
-            trained.model = trained.model if keep_models else None
-        return label, trained
-
-    try:
-        enough = class_distribution(table).filter(F.col("positive") >= min_samples)
-        labels = [r["label"] for r in enough.select("label").collect()]
-        with ThreadPoolExecutor(parallelism) as pool:
-            results = dict(pool.map(one, labels))
-    finally:
-        table.unpersist()
+            trained.path = save_model(spark, model, f"{output_dir}/{file_name(label)}_model", {"label": label, "features": list(feature_names)})
+            trained.model = VotingForest.load(spark, trained.path) if keep_models else None
+        results[label] = trained
     if output_dir:
         save_json(spark, f"{output_dir}/feature_names", list(feature_names))
     return results
@@ -315,8 +417,11 @@ def load_json(spark: SparkSession, path: str):
     return json.loads(spark.read.text(path).first()["value"])
 
 
-def save_model(spark: SparkSession, model: RandomForestClassificationModel, path: str, metadata: dict | None = None) -> str:
-    model.write().overwrite().save(path)
+def save_model(spark: SparkSession, model: RandomForestClassificationModel | VotingForest, path: str, metadata: dict | None = None) -> str:
+    if isinstance(model, VotingForest):
+        model.save(path)
+    else:
+        model.write().overwrite().save(path)
     save_json(spark, f"{path}/_about", {"saved_at": datetime.now(UTC).isoformat(), "metadata": metadata or {}})
     return path
 
@@ -326,9 +431,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
-def load_model(spark: SparkSession, path: str) -> tuple[RandomForestClassificationModel, dict]:
+def load_model(spark: SparkSession, path: str) -> tuple[RandomForestClassificationModel | VotingForest, dict]:
     """(model, {saved_at, metadata}); the second part is empty for a model saved without it."""
     about = load_json(spark, f"{path}/_about") if _exists(spark, f"{path}/_about") else {}
+    if _exists(spark, f"{path}/bounds"):
+        return VotingForest.load(spark, path), about
     return RandomForestClassificationModel.load(path), about
 
 

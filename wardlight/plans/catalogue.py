@@ -27,6 +27,7 @@ from ..operators import metrics as M
 from ..operators import neighbours as N
 from ..operators import resampling as B
 from ..operators import sampling as P
+from ..operators import trees as G
 from ..session import work_folder
 from ..sources import sinks, tables
 from . import batch
@@ -820,9 +821,6 @@ def smote_rows(t):
 
 # --- forests --------------------------------------------------------------------------------------------------------
 
-SMALL_SPACE = {**R.SEARCH_SPACE, "n_estimators": (10, 20), "max_depth": (4, 8)}
-
-
 @query("""SELECT event_id, hour(ts)::DOUBLE AS hour, (isodow(ts) - 1)::DOUBLE AS day_of_week, month(ts)::DOUBLE AS month, value,
 (event_type = 'click')::INT::DOUBLE AS district_click, (event_type = 'error')::INT::DOUBLE AS district_error, (event_type = 'purchase')::INT::DOUBLE AS district_purchase,
 (event_type = 'signup')::INT::DOUBLE AS district_signup, (event_type = 'view')::INT::DOUBLE AS district_view FROM events""")
@@ -839,7 +837,7 @@ def feature_matrix(t):
 @query()
 def forest_metrics(t):
     train, test = P.split_data(vectors(t, F.col("label") < 3), "row_id", stratify="label")
-    model = R.train_classifier(train, n_estimators=20, max_depth=6)
+    model = R.train_classifier(train)
     return R.evaluate_classifier(model, test)
 
 
@@ -848,25 +846,25 @@ def forest_multi_output(t):
     rows = vectors(t, F.col("label") < 3).withColumnRenamed("label", "y0")
     both = rows.join(vectors(t, F.col("label") > 5).select("row_id", F.col("label").alias("y1")), "row_id")
     train, test = P.split_data(both, "row_id")
-    models = R.train_classifier(train, ["y0", "y1"], n_estimators=10, max_depth=5)
+    models = R.train_classifier(train, ["y0", "y1"])
     return R.evaluate_classifier(models, test, ["y0", "y1"])
 
 
 @query()
 def forest_importance(t):
-    model = R.train_classifier(vectors(t, F.col("label") == 0), n_estimators=20, max_depth=6)
+    model = R.train_classifier(vectors(t, F.col("label") == 0))
     names = ["hour", "pm25", "temperature_2m (°C)", "latitude", *[f"district_{i}" for i in range(60)]]
     return R.importance_report(R.feature_importance(model, names, t.spark))
 
 
 @query()
 def forest_cross_validation(t):
-    return R.cross_validate(vectors(t, F.col("label") < 3), R.forest(10, 5), cv=3, scoring="f1")[0]
+    return R.cross_validate(vectors(t, F.col("label") < 3), R.forest(), cv=3, scoring="f1")[0]
 
 
 @query()
 def forest_search(t):
-    trained = R.train_single_type_model(vectors(t, F.col("label") < 3), n_iter=2, space=SMALL_SPACE)
+    trained = R.train_single_type_model(vectors(t, F.col("label") < 3))
     return t.spark.createDataFrame([(k, v) for k, v in trained.metrics.items()], "metric string, value double")
 
 
@@ -874,7 +872,7 @@ def forest_search(t):
 def forest_all_types(t):
     rows = vectors(t, F.col("label") < 3).drop("label")
     kind = t.embeddings.select(F.col("vec_id").cast("string").alias("row_id"), F.array(F.concat(F.lit("g"), F.floor(F.col("label") / 4))).alias("type"))
-    results = R.train_all_types(rows.join(kind, "row_id"), [], n_iter=1, space=SMALL_SPACE)
+    results = R.train_all_types(rows.join(kind, "row_id"), [])
     return R.training_summary(results, t.spark)
 
 
@@ -895,7 +893,7 @@ true AS in_range, 1.0::DOUBLE AS importance_sum FROM a""")
 def forest_facts(t):
     """Sizes of the test split and of the predictions on it, and bounds of all scores."""
     train, test = P.split_data(vectors(t, F.col("label") < 3), "row_id", stratify="label")
-    model = R.train_classifier(train, n_estimators=20, max_depth=6)
+    model = R.train_classifier(train)
     made = R.evaluation(model, test)
     sizes = made["predictions"].agg(
         F.count(F.lit(1)).alias("n_test"), F.count_if(F.col("label") == 1).alias("n_positive"), F.count("prediction").alias("n_predicted")
@@ -915,30 +913,101 @@ def forest_facts(t):
 SELECT fold::INT AS fold, sum(ceil(n * (fold + 1) / 3) - ceil(n * fold / 3))::BIGINT AS n_rows, true AS in_range FROM s, k GROUP BY 1""")
 def forest_fold_facts(t):
     rows = vectors(t, F.col("label") < 3)
-    table, mean, spread = R.cross_validate(rows, R.forest(10, 5), cv=3, scoring="f1")
+    table, mean, spread = R.cross_validate(rows, R.forest(), cv=3, scoring="f1")
     sizes = P.add_folds(rows, "label", "row_id", 3).groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows"))
     fine = F.col("score").between(0, 1) & F.lit(0 <= mean <= 1 and 0 <= spread <= 1)
     return sizes.join(table, "fold").select(F.col("fold").cast("int").alias("fold"), "n_rows", fine.alias("in_range"))
 
 
 @query("""WITH g AS (SELECT 'g' || (label // 4) AS type, count(*) AS n, (SELECT count(*) FROM embeddings) AS total FROM embeddings GROUP BY 1)
-SELECT type, true AS in_range, n / total AS minority_ratio,
-CASE WHEN n / total >= 0.15 THEN 'class_weight' WHEN n / total >= 0.05 THEN 'undersampling' ELSE 'smote_under' END AS strategy, true AS loads_alike
+SELECT type, n / total AS minority_ratio,
+CASE WHEN n / total >= 0.15 THEN 'class_weight' WHEN n / total >= 0.05 THEN 'undersampling' ELSE 'smote_under' END AS strategy,
+ceil(total * 0.2)::BIGINT AS n_test, true AS scores_agree, true AS stored, true AS in_space, true AS in_summary
 FROM g WHERE n >= 50""")
 def training_facts(t):
-    """One model per label: which are trained, with which strategy, and that a stored model predicts what the trained one did."""
+    """One model per label: which are trained, with which strategy, and that the stored model, set on the test rows
+    again, has the scores that training and the summary (sorted by f1) report."""
     rows = vectors(t, F.col("label") < 3).drop("label")
     kind = t.embeddings.select(F.col("vec_id").cast("string").alias("row_id"), F.array(F.concat(F.lit("g"), F.floor(F.col("label") / 4))).alias("type"))
     folder = f"{work_folder(t.spark)}/models-{uuid.uuid4().hex}"
-    results = R.train_all_types(rows.join(kind, "row_id"), [], n_iter=1, space=SMALL_SPACE, output_dir=folder)
+    table = rows.join(kind, "row_id")
+    results = R.train_all_types(table, [], output_dir=folder)
     stored = R.list_models(t.spark, folder)
+    summary = [r.asDict() for r in R.training_summary(results, t.spark).collect()]
+    ranked = [r["f1"] for r in summary] == sorted((r["f1"] for r in summary), reverse=True) and len(summary) == len(results)
     found = []
     for name, one in results.items():
-        again, about = R.load_model(t.spark, one.path)
-        both = one.model.transform(rows).select("row_id", F.col("prediction").alias("a")).join(again.transform(rows).select("row_id", F.col("prediction").alias("b")), "row_id")
-        alike = both.filter(F.col("a") != F.col("b")).isEmpty() and about["metadata"]["label"] == name and one.path.rsplit("/", 1)[1] in stored
-        found.append((name, all(0 <= v <= 1 for v in one.metrics.values()), one.minority_ratio, one.resampling.strategy, alike))
-    return t.spark.createDataFrame(found, "type string, in_range boolean, minority_ratio double, strategy string, loads_alike boolean")
+        model, about = R.load_model(t.spark, one.path)
+        data = table.select(F.concat(F.lit("row:"), "row_id").alias("row_id"), "features", F.array_contains("type", name).cast("double").alias("label"))
+        test = P.mark_test(data, "row_id", stratify="label").filter("is_test")
+        scores = model.transform(test)
+        again = {**M.binary_metrics(scores).first().asDict(), "n": test.count()}
+        agree = all(abs(again[k] - v) < 1e-9 for k, v in one.metrics.items())
+        kept = about["metadata"]["label"] == name and one.path.rsplit("/", 1)[1] in stored
+        space = all(v[0] <= one.best_params[k] <= v[1] if isinstance(v, tuple) else one.best_params[k] in v for k, v in R.SEARCH_SPACE.items())
+        line = next(r for r in summary if r["type"] == name)
+        listed = ranked and all(line[k] == v for k, v in one.metrics.items()) and line["n_estimators"] == one.best_params["n_estimators"]
+        found.append((name, one.minority_ratio, one.resampling.strategy, again["n"], agree, kept, space, listed))
+    return t.spark.createDataFrame(
+        found, "type string, minority_ratio double, strategy string, n_test bigint, scores_agree boolean, stored boolean, in_space boolean, in_summary boolean"
+    )
+
+
+def _split_sql(number: int) -> str:
+    """The best split of every node of the rows in level `number`, and the rows of the next level."""
+    return f"""c{number} AS (SELECT node, f, v, sum(n0) OVER w AS l0, sum(n1) OVER w AS l1, sum(n0) OVER a AS t0, sum(n1) OVER a AS t1
+  FROM (SELECT node, f, v, sum(1 - y) AS n0, sum(y) AS n1 FROM r{number}, (SELECT unnest(range(3)) AS f), LATERAL (SELECT x[f + 1] AS v) GROUP BY ALL)
+  WINDOW w AS (PARTITION BY node, f ORDER BY v), a AS (PARTITION BY node, f)),
+g{number} AS (SELECT node, f, v, l0, l1, t0, t1, w0 * t0 * w1 * t1 / (w0 * t0 + w1 * t1) - w0 * l0 * w1 * l1 / (w0 * l0 + w1 * l1)
+  - w0 * (t0 - l0) * w1 * (t1 - l1) / (w0 * (t0 - l0) + w1 * (t1 - l1)) AS gain FROM c{number}, k
+  WHERE l0 + l1 >= 2 AND t0 + t1 - l0 - l1 >= 2),
+s{number} AS (SELECT * FROM g{number} QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 6) DESC, f, v) = 1),
+r{number + 1} AS (SELECT 2 * node + (x[f + 1] > v)::INT AS node, x, y FROM r{number} JOIN s{number} USING (node))"""
+
+
+@query(f"""WITH r1 AS MATERIALIZED (SELECT 1 AS node, [l_quantity::DOUBLE, l_discount::DOUBLE, l_tax::DOUBLE] AS x, (l_returnflag = 'R')::INT AS y FROM lineitem),
+k AS (SELECT count(*) / (2.0 * sum(1 - y)) AS w0, count(*) / (2.0 * sum(y)) AS w1 FROM r1), {_split_sql(1)}, {_split_sql(2)}
+SELECT node, f::INT AS feature, v AS threshold, t0::BIGINT AS n0, t1::BIGINT AS n1 FROM (FROM s1 UNION ALL FROM s2)
+UNION ALL SELECT node, -1, NULL, sum(1 - y)::BIGINT, sum(y)::BIGINT FROM r3 GROUP BY node""")
+def forest_first_splits(t):
+    """The two first levels of a tree over all rows: the splits that lower the weighted Gini impurity most."""
+    rows = t.lineitem.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("row_id"),
+        array_to_vector(F.array(*[F.col(c).cast("double") for c in ("l_quantity", "l_discount", "l_tax")])).alias("features"),
+        F.array(F.struct(F.lit(0).alias("label"), (F.col("l_returnflag") == "R").cast("int").alias("y"), F.lit(0).alias("fold"))).alias("entries"),
+    )
+    binning = G.bin_features(rows)
+    blocks = G.pack_rows(rows, binning, 1)
+    made = G.grow(blocks, [G.Forest(0, 1, 2, 2, 2, "all", "balanced", bootstrap=False)], binning)
+    return G.node_table(made, binning).select(F.col("node").cast("int").alias("node"), "feature", "threshold", "n0", "n1")
+
+
+@query("""WITH s AS (SELECT * FROM (VALUES ('balanced_subsample', 30, 2, 1), ('balanced', 30, 5, 3), ('balanced', 3, 2, 1), (NULL, 30, 12, 1)) v(class_weight, max_depth, min_split, min_leaf)),
+n AS (SELECT count(*) FILTER (label < 3) AS positive, count(*) AS n FROM embeddings)
+SELECT class_weight, max_depth, min_split, min_leaf, 20::BIGINT AS n_trees, CASE class_weight WHEN 'balanced_subsample' THEN 20 ELSE 1 END::BIGINT AS n_weights,
+0::BIGINT AS n_broken, true AS near_all_rows,
+CASE class_weight WHEN 'balanced' THEN round(n / (2.0 * positive), 9) WHEN 'balanced_subsample' THEN NULL ELSE 1.0 END AS w1 FROM s, n""")
+def forest_settings(t):
+    """What trees keep to under each setting: depth, rows to split, rows of leaves, and weights of all or of drawn rows."""
+    rows = vectors(t, F.col("label") < 3).select("row_id", "features", F.array(F.struct(F.lit(0).alias("label"), F.col("label").cast("int").alias("y"), F.lit(0).alias("fold"))).alias("entries"))
+    binning = G.bin_features(rows)
+    blocks = G.pack_rows(rows, binning, 1)
+    settings = [("balanced_subsample", 30, 2, 1), ("balanced", 30, 5, 3), ("balanced", 3, 2, 1), (None, 30, 12, 1)]
+    trees = G.grow(blocks, [G.Forest(0, 20, depth, split, leaf, "sqrt", weight) for weight, depth, split, leaf in settings], binning)
+    asked = t.spark.createDataFrame([(i, *s) for i, s in enumerate(settings)], "forest int, class_weight string, max_depth int, min_split int, min_leaf int")
+    nodes = G.node_table(trees, binning).join(asked, "forest").withColumn("drawn", F.col("n0") + F.col("n1"))
+    leaf, root = F.col("feature") == G.LEAF, F.col("node") == 1
+    uneven = (F.col("class_weight") == "balanced_subsample") & root & (F.abs(F.col("w0") * F.col("n0") - F.col("w1") * F.col("n1")) > 1e-6 * F.col("drawn"))
+    broken = (~leaf & (F.col("drawn") < F.col("min_split"))) | (leaf & (F.col("drawn") < F.col("min_leaf"))) | (F.col("node") >= 2 * F.pow(F.lit(2), "max_depth")) | uneven
+    each = nodes.groupBy("forest", "tree", "w1").agg(
+        F.count_if(F.coalesce(broken, F.lit(False))).alias("broken"), F.sum(F.when(root, F.col("drawn"))).alias("drawn"), F.sum(F.when(leaf, F.col("drawn"))).alias("parted")
+    )
+    found = each.groupBy("forest").agg(
+        F.count(F.lit(1)).alias("n_trees"), F.count_distinct("w1").alias("n_weights"), F.sum(F.col("broken") + (F.col("drawn") != F.col("parted")).cast("int")).alias("n_broken"),
+        (F.avg("drawn") / rows.count()).between(0.9, 1.1).alias("near_all_rows"), F.round(F.max("w1"), 9).alias("w1"),
+    )
+    drawn_weights = F.coalesce(F.col("class_weight") == "balanced_subsample", F.lit(False))
+    return found.join(asked, "forest").drop("forest").withColumn("w1", F.when(~drawn_weights, F.col("w1")))
 
 
 @query("""SELECT 4 * count(*) AS n_rows, 0::BIGINT AS n_unknown, 0::BIGINT AS n_outside FROM embeddings WHERE label = 0""")
