@@ -64,6 +64,32 @@ def test_neighbours_are_exact(spark, options):
     assert got == {f"p{i:03d}": [f"p{j:03d}" for j in np.argsort(d[i])[:5]] for i in range(len(x))}
 
 
+@pytest.mark.parametrize("options", [{}, {"block_rows": 20, "pivots": 9}])
+def test_only_asking_points_get_neighbours(spark, options):
+    rng = np.random.default_rng(9)
+    x = np.vstack([rng.normal(0, 1, (120, 3)), rng.normal(50, 1, (120, 3))])
+    df = spark.createDataFrame([(f"p{i:03d}", [float(v) for v in r]) for i, r in enumerate(x)], "id string, features array<double>")
+    some = df.filter("id in ('p003', 'p077', 'p200')")
+    want = {tuple(r) for r in nearest_neighbours(df, 4, **options).filter("id in ('p003', 'p077', 'p200')").select("id", "nid", "rank").collect()}
+    got = [tuple(r) for r in nearest_neighbours(df, 4, queries=some, **options).select("id", "nid", "rank").collect()]
+    assert len(got) == 12 and set(got) == want
+    assert nearest_neighbours(df, 4, queries=some.limit(0), **options).count() == 0
+
+
+def test_smote_searches_for_drawn_vectors_only(spark, monkeypatch):
+    from wardlight.operators import resampling
+
+    asked = []
+
+    def watched(points, k, queries=None, **search):
+        asked.append(queries.count())
+        return nearest_neighbours(points, k, queries=queries, **search)
+
+    monkeypatch.setattr(resampling, "nearest_neighbours", watched)
+    made = smote(labelled(spark, 300, 300).select("row_id", "features"), 20).collect()
+    assert len(made) == 20 and asked == [len({r["row_id"].split(":")[1] for r in made})]
+
+
 def test_fewer_points_than_neighbours(spark):
     df = spark.createDataFrame([("a", [0.0]), ("b", [1.0])], "id string, features array<double>")
     assert nearest_neighbours(df, 5).count() == 2

@@ -80,10 +80,14 @@ def _cell_bounds(near: dict[int, list[float]], radius: np.ndarray, gaps: np.ndar
     return reach * (1 + SLACK) + SLACK
 
 
-def nearest_neighbours(points: DataFrame, k: int, block_rows: int | None = None, pivots: int | None = None) -> DataFrame:
+def nearest_neighbours(
+    points: DataFrame, k: int, block_rows: int | None = None, pivots: int | None = None, queries: DataFrame | None = None
+) -> DataFrame:
     """(id, nid, dist, rank) with rank 1..k.
 
-    points: id STRING, features ARRAY<DOUBLE>, no two equal vectors; a table, since it is read often.
+    points: id STRING, features ARRAY<DOUBLE>, no two equal vectors; a table, since it is read often. With
+    queries (id) only those points ask for their neighbours, among all points, and cells reach no further
+    than the asking points need.
     """
     n = points.count()
     width = len(points.select("features").first()[0])
@@ -105,7 +109,8 @@ def nearest_neighbours(points: DataFrame, k: int, block_rows: int | None = None,
     near: dict[int, list[float]] = {}
     for r in ranked.filter(F.col("r") <= k + 1).select("cell", "dist").collect():
         near.setdefault(r["cell"], []).append(r["dist"])
-    sizes = assigned.groupBy("cell").agg(F.max("dist").alias("radius"), F.count(F.lit(1)).alias("n")).collect()
+    asking = assigned if queries is None else write_stage(assigned.join(queries.select("id").distinct(), "id", "left_semi"), "queries")
+    sizes = asking.groupBy("cell").agg(F.max("dist").alias("radius"), F.count(F.lit(1)).alias("n")).collect()
     radius, queries_in = np.zeros(len(centres)), np.zeros(len(centres), dtype=int)
     for r in sizes:
         radius[r["cell"]], queries_in[r["cell"]] = r["radius"], r["n"]
@@ -139,7 +144,7 @@ def nearest_neighbours(points: DataFrame, k: int, block_rows: int | None = None,
     def every(count: Column) -> Column:
         return F.explode(F.sequence(F.lit(0), count - 1))
 
-    left = assigned.select("id", "features", "cell", F.pmod(place, query_blocks).cast("int").alias("qb"), every(candidate_blocks).alias("cb"))
+    left = asking.select("id", "features", "cell", F.pmod(place, query_blocks).cast("int").alias("qb"), every(candidate_blocks).alias("cb"))
     copies = points.select("id", "features").mapInPandas(copy, "id string, features array<double>, cell int")
     right = copies.select("id", "features", "cell", F.pmod(place, candidate_blocks).cast("int").alias("cb"), every(query_blocks).alias("qb"))
     keys = ["cell", "qb", "cb"]

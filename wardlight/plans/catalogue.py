@@ -28,7 +28,7 @@ from ..operators import neighbours as N
 from ..operators import resampling as B
 from ..operators import sampling as P
 from ..operators import trees as G
-from ..session import work_folder
+from ..session import work_folder, write_stage
 from ..sources import sinks, tables
 from . import batch
 from . import dashboard as V
@@ -1010,26 +1010,34 @@ def forest_settings(t):
     return found.join(asked, "forest").drop("forest").withColumn("w1", F.when(~drawn_weights, F.col("w1")))
 
 
-@query("""SELECT 4 * count(*) AS n_rows, 0::BIGINT AS n_unknown, 0::BIGINT AS n_outside FROM embeddings WHERE label = 0""")
+@query("""SELECT 4 * count(*) AS n_rows, 4 * count(*) AS n_known, 4 * count(*) AS n_between, 0::BIGINT AS n_outside FROM embeddings WHERE label = 0""")
 def smote_facts(t):
-    """Synthetic rows name the row they start from, and lie within the bounds of the rare rows in every dimension."""
+    """Synthetic rows name the row they start from, and lie on the way from it to one of its five nearest rare rows."""
     rare = vectors(t, F.col("label") == 0).filter("label = 1")
     made = B.smote(rare, 4 * rare.count())
-    values = rare.select("row_id", vector_to_array("features").alias("v"))
-    bounds = values.select(F.posexplode("v").alias("d", "x")).groupBy("d").agg(F.min("x").alias("low"), F.max("x").alias("high"))
-    split = made.select(F.split("row_id", ":")[1].alias("base"), vector_to_array("features").alias("v"))
-    known = split.join(rare.select(F.col("row_id").alias("base")), "base", "left_anti").agg(F.count(F.lit(1)).alias("n_unknown"))
-    cells = split.select(F.posexplode("v").alias("d", "x")).join(F.broadcast(bounds), "d")  # as many bounds as dimensions
-    outside = cells.filter((F.col("x") < F.col("low") - 1e-9) | (F.col("x") > F.col("high") + 1e-9)).agg(F.count(F.lit(1)).alias("n_outside"))
-    return one_row(split.agg(F.count(F.lit(1)).alias("n_rows")), known, outside)
+    points = write_stage(rare.select(F.col("row_id").alias("id"), vector_to_array("features").alias("features")), "points")
+    near = N.nearest_neighbours(points, 5).select("id", "nid")
+    base, other = points.withColumnRenamed("features", "base"), points.select(F.col("id").alias("nid"), F.col("features").alias("other"))
+    split = made.select("row_id", F.split("row_id", ":")[1].alias("id"), vector_to_array("features").alias("made"))
+
+    def way(a: str, b: str) -> Column:
+        return F.sqrt(F.aggregate(F.arrays_zip(a, b), F.lit(0.0), lambda total, p: total + (p[a] - p[b]) * (p[a] - p[b])))
+
+    met = split.join(base, "id").join(near, "id").join(other, "nid")
+    detour = way("base", "made") + way("made", "other") - way("base", "other")
+    each = met.groupBy("row_id").agg((F.min(detour) < 1e-6).alias("between"))
+    facts = split.join(each, "row_id", "left").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("between").alias("n_known"), F.count_if("between").alias("n_between"),
+        F.count_if(~F.coalesce("between", F.lit(False))).alias("n_outside"),
+    )
+    return facts
 
 
 @query(LABEL_COUNT_SQL + """SELECT label, round(positive / n::DOUBLE, 9) AS ratio,
 CASE WHEN positive / n::DOUBLE < 0.05 THEN 'smote_under' ELSE 'class_weight' END AS strategy FROM c, n""")
 def older_strategies(t):
-    counted = L.class_distribution(labelled_orders(t)).select("label", "ratio").collect()
-    rows = [(r["label"], round(r["ratio"], 9), B.non_adaptive_strategy(r["ratio"])) for r in counted]
-    return t.spark.createDataFrame(rows, "label string, ratio double, strategy string")
+    counted = L.class_distribution(labelled_orders(t))
+    return counted.select("label", F.round("ratio", 9).alias("ratio"), B.non_adaptive_column("ratio").alias("strategy"))
 
 
 # --- files, continued ------------------------------------------------------------------------------------------------
