@@ -301,6 +301,14 @@ def report_csv(t):
     return back.select(big(F.col("doc_id")).alias("doc_id"), F.md5(F.col("text").cast("binary")).alias("text_md5"), big(F.col("n_chars")).alias("n_chars"), "lang")
 
 
+@query(ORACLE["report_csv"])
+def report_csv_by_ranges(t):
+    """The same files, each read by many tasks."""
+    messy = t.documents.select("doc_id", "text", "n_chars", F.when(F.col("lang") == "de", "NULL").otherwise(F.col("lang")).alias("lang"))
+    back = tables.read_reports(t.spark, as_csv(t, messy), range_bytes=1 << 20)
+    return back.select(big(F.col("doc_id")).alias("doc_id"), F.md5(F.col("text").cast("binary")).alias("text_md5"), big(F.col("n_chars")).alias("n_chars"), "lang")
+
+
 @query("""SELECT ts::DATE AS date, round(avg(value), 6) AS "rain (mm)", count(*) AS n_rows, count(*) FILTER (event_type <> 'view') AS n_wind FROM events GROUP BY 1""")
 def weather_csv(t):
     wind = F.when(F.col("event_type") == "view", "NaN").otherwise("1.5")

@@ -11,6 +11,7 @@ from ..functions.scalars import parse_time, to_number
 from ..operators.clean import null_tokens_to_null, strip_names
 from ..operators.dedupe import first_per_key
 from ..operators.skew import lookup_join
+from .quoted import read_quoted_csv
 
 TIME_COLUMN = "time"
 # Column names of the hourly weather files.
@@ -31,12 +32,15 @@ SITE_IN_NAME = r"open-meteo-([0-9.]+)N([0-9.]+)E"
 DATA_LINE = r'^\s*"?\d{4}-\d{2}-\d{2}'
 
 
-def read_reports(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
+def read_reports(spark: SparkSession, path: str | list[str], multi_line: bool = True, range_bytes: int | None = None) -> DataFrame:
     """Report CSV with quoted line breaks, all columns as text.
 
-    A file with quoted line breaks cannot be split, so large inputs should come as many files; pass
-    multi_line=False when the free text is known to hold no line breaks, which makes files splittable.
+    Spark reads a file with quoted line breaks in one task. With range_bytes each file is read by many
+    tasks, one for so many bytes (read_quoted_csv); pass multi_line=False when the free text is known to
+    hold no line breaks.
     """
+    if range_bytes:
+        return null_tokens_to_null(read_quoted_csv(spark, path, range_bytes))
     raw = spark.read.csv(path, header=True, multiLine=multi_line, escape='"', quote='"')
     return null_tokens_to_null(raw)
 
