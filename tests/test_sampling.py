@@ -65,3 +65,23 @@ def test_dense_index_follows_the_key(spark, size):
     df = spark.range(100).select((F.col("id") * 37 % 101 - 50).alias("k"))
     got = add_dense_index(df, "k", "i", rows_per_bucket=size).orderBy("k").collect()
     assert [r["i"] for r in got] == list(range(100))
+
+
+@pytest.mark.parametrize("most", [1, 100])
+def test_splits_and_folds_of_many_classes_are_those_of_few(spark, bucket, monkeypatch, most):
+    """The table of cut-offs and the cut-offs in the driver choose the same rows."""
+    rows = spark.range(4000).select("id", F.when(F.col("id") % 3 == 0, "big").when(F.col("id") % 50 == 1, None).otherwise((F.col("id") % 7).cast("string")).alias("y"), F.lit(1).alias("cls"))
+    want_split = {(r["id"], r["is_test"]) for r in P.mark_test(rows, "id", 0.2, stratify="y").collect()}
+    want_fold = {(r["id"], r["fold"]) for r in P.add_folds(rows, "y", "id", 3).collect()}
+    monkeypatch.setattr(P, "MAX_CLASSES", most)
+    split, folds = P.mark_test(rows, "id", 0.2, stratify="y"), P.add_folds(rows, "y", "id", 3)
+    assert split.columns == ["id", "y", "cls", "is_test"] and folds.columns == ["id", "y", "cls", "fold"]
+    assert {(r["id"], r["is_test"]) for r in split.collect()} == want_split
+    assert {(r["id"], r["fold"]) for r in folds.collect()} == want_fold
+
+
+def test_hundreds_of_classes(spark):
+    rows = spark.range(3000).select("id", (F.col("id") % 700).alias("y"))
+    marked = P.mark_test(rows, "id", 0.25, stratify="y").groupBy("y").agg(F.count_if("is_test").alias("k")).collect()
+    assert len(marked) == 700 and sum(r["k"] for r in marked) == 750 and {r["k"] for r in marked} <= {1, 2}
+    assert P.mark_test(rows.limit(0), "id", stratify="y").count() == 0

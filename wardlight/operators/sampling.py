@@ -13,14 +13,17 @@ from collections import defaultdict
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import write_stage
 from .clean import quoted
+from .indexing import add_dense_index
+from .skew import lookup_join
 
 BUCKET_ROWS = 5_000
 PREFIX_STEP = 3  # hex digits per descent: 4096 buckets
-MAX_CLASSES = 100
+MAX_CLASSES = 100  # beyond these the cut-offs of the classes are a table
 NOTHING, EVERYTHING = "", "g"  # below and above every hex digit
 
 
@@ -92,9 +95,60 @@ def hash_cutoffs(keyed: DataFrame, ranks: Callable[[dict[str, int]], dict[str, l
     }
 
 
+def cutoff_table(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(cls, k, cut): the hash at each wanted rank, for any number of classes; only counts of levels reach the driver.
+
+    keyed has the columns cls and h; wanted has cls, k, rank and size, the rows of the class. All classes
+    descend together: each level counts the rows per longer prefix below the one found so far, at most 4096
+    for each wanted rank, and stops for a rank once its prefix holds no more than BUCKET_ROWS rows.
+    """
+    inside = (F.col("rank") > 0) & (F.col("rank") < F.col("size"))
+    edge = F.when(F.col("rank") <= 0, NOTHING).otherwise(EVERYTHING)
+    done = [wanted.filter(~inside).select("cls", "k", edge.alias("cut"))]
+    state = write_stage(wanted.filter(inside).select("cls", "k", "rank", "size", F.lit("").alias("prefix")), "ranks")
+    width = 0
+    while True:
+        below = lookup_join(keyed.withColumn("prefix", F.substring("h", 1, width)), state, ["cls", "prefix"], "inner")
+        small = below.filter(F.col("size") <= BUCKET_ROWS)
+        order = Window.partitionBy("cls", "k").orderBy("h")
+        picked = small.withColumn("n", F.row_number().over(order)).filter(F.col("n") == F.col("rank"))
+        done.append(picked.select("cls", "k", F.col("h").alias("cut")))
+        if state.filter(F.col("size") > BUCKET_ROWS).isEmpty():
+            return write_stage(reduce(DataFrame.unionAll, done), "cuts")
+        width += PREFIX_STEP
+        if width > 32:
+            raise ValueError("row ids are not unique")
+        large = below.filter(F.col("size") > BUCKET_ROWS).groupBy("cls", "k", "rank", F.substring("h", 1, width).alias("prefix")).count()
+        running = F.sum("count").over(Window.partitionBy("cls", "k").orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0))
+        found = large.withColumn("upto", running).filter((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("count") < F.col("rank")))
+        state = write_stage(found.select("cls", "k", (F.col("rank") - F.col("upto") + F.col("count")).alias("rank"), F.col("count").alias("size"), "prefix"), "ranks")
+
+
+def share_out_table(sizes: DataFrame, test_size: float) -> DataFrame:
+    """share_out for a table (cls, size): adds rank, the test rows of each class."""
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    tests = math.ceil(total * test_size)
+    exact = F.lit(float(tests)) * F.col("size") / F.lit(float(max(1, total)))
+    floors = write_stage(sizes.withColumn("rank", F.floor(exact)).withColumn("_less", F.col("rank") - exact), "shares")
+    extra = tests - (floors.agg(F.sum("rank")).first()[0] or 0)
+    ordered = add_dense_index(floors, "_less", "_place", ("cls",))
+    return ordered.withColumn("rank", F.col("rank") + (F.col("_place") < extra).cast("int")).drop("_less", "_place")
+
+
+def _many_classes(df: DataFrame, label: Column) -> bool:
+    return df.select(_class_text(label)).distinct().limit(MAX_CLASSES + 1).count() > MAX_CLASSES
+
+
+def _with_cutoffs(df: DataFrame, id_column: str, seed: int | str, label: Column, wanted: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """df with _h, the hash of each row, and _cuts, the ascending cut-offs of its class, for any number of classes."""
+    keyed = _keyed(df, id_column, seed, label)
+    sizes = write_stage(keyed.groupBy("cls").agg(F.count(F.lit(1)).alias("size")), "classes")
+    cuts = cutoff_table(keyed, wanted(sizes)).groupBy(F.col("cls").alias("_cls")).agg(F.sort_array(F.collect_list("cut")).alias("_cuts"))
+    marked = df.withColumn("_cls", _class_text(label)).withColumn("_h", row_hash(id_column, seed))
+    return lookup_join(marked, cuts, ["_cls"]).drop("_cls")
+
+
 def _keyed(df: DataFrame, id_column: str, seed: int | str, label: Column | None = None) -> DataFrame:
-    if label is not None and df.select(_class_text(label)).distinct().limit(MAX_CLASSES + 1).count() > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
     return df.select(_class_text(label).alias("cls"), row_hash(id_column, seed).alias("h"))
 
 
@@ -136,9 +190,12 @@ def share_out(sizes: dict[str, int], test_size: float) -> dict[str, int]:
 
 
 def mark_test(df: DataFrame, id_column: str, test_size: float = 0.2, seed: int | str = 42, stratify: str | None = None) -> DataFrame:
-    """Add is_test; with `stratify` every class has the same share of test rows."""
+    """Add is_test; with `stratify` every class has the same share of test rows, however many classes there are."""
     label = None if stratify is None else quoted(stratify)
     seed = f"{seed}:split"
+    if label is not None and _many_classes(df, label):
+        found = _with_cutoffs(df, id_column, seed, label, lambda sizes: share_out_table(sizes, test_size).withColumn("k", F.lit(0)))
+        return found.withColumn("is_test", F.col("_h") <= F.get("_cuts", F.lit(0))).drop("_h", "_cuts")
     cuts = hash_cutoffs(
         _keyed(df, id_column, seed, label), lambda size: {c: [k] for c, k in share_out(size, test_size).items()}
     )
@@ -152,9 +209,14 @@ def split_data(df: DataFrame, id_column: str, test_size: float = 0.2, seed: int
 
 
 def add_folds(df: DataFrame, label: str, id_column: str, folds: int = 5, seed: int | str = 42) -> DataFrame:
-    """Add fold (0..folds-1); within each class the fold sizes differ by at most one."""
+    """Add fold (0..folds-1); within each class, of any number, the fold sizes differ by at most one."""
     cls = quoted(label)
     seed = f"{seed}:fold"
+    if _many_classes(df, cls):
+        ranks = F.transform(F.sequence(F.lit(1), F.lit(folds - 1)), lambda i: F.ceil(F.col("size") * i / folds)) if folds > 1 else F.array()
+        found = _with_cutoffs(df, id_column, seed, cls, lambda sizes: sizes.select("cls", "size", F.posexplode(ranks).alias("k", "rank")))
+        above = F.filter(F.coalesce("_cuts", F.array().cast("array<string>")), lambda c: c < F.col("_h"))
+        return found.withColumn("fold", F.size(above)).drop("_h", "_cuts")
     cuts = hash_cutoffs(
         _keyed(df, id_column, seed, cls),
         lambda size: {c: [math.ceil(k * i / folds) for i in range(1, folds)] for c, k in size.items()},

@@ -687,6 +687,23 @@ def stratified_folds(t):
     return P.add_folds(t.labels.select("doc_id", "toxic"), "toxic", "doc_id")
 
 
+@query("""WITH s AS (SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY md5('42:split:' || o_orderkey)) AS r FROM orders),
+k AS (SELECT o_custkey, count(*) AS n, ceil((SELECT count(*) FROM orders) * 0.2) AS tests, (SELECT count(*) FROM orders) AS total FROM orders GROUP BY 1),
+f AS (SELECT *, floor(tests * n / total) AS base, floor(tests * n / total) - tests * n / total AS less FROM k),
+a AS (SELECT o_custkey, base + (row_number() OVER (ORDER BY less, o_custkey::VARCHAR) <= tests - sum(base) OVER ())::INT AS cut FROM f)
+SELECT o_orderkey, o_custkey, r <= cut AS is_test FROM s JOIN a USING (o_custkey)""")
+def stratified_split_many(t):
+    """As many classes as there are customers with orders."""
+    return P.mark_test(t.orders.select("o_orderkey", "o_custkey"), "o_orderkey", stratify="o_custkey")
+
+
+@query("""WITH s AS (SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY md5('42:fold:' || o_orderkey)) AS r,
+count(*) OVER (PARTITION BY o_custkey) AS n FROM orders)
+SELECT o_orderkey, o_custkey, list_sum([(r > ceil(n * i / 5))::INT FOR i IN range(1, 5)])::INT AS fold FROM s""")
+def stratified_folds_many(t):
+    return P.add_folds(t.orders.select("o_orderkey", "o_custkey"), "o_custkey", "o_orderkey")
+
+
 PREDICTED_SQL = "WITH p AS (SELECT quality AS label, 1 - toxic AS prediction FROM labels) "
 
 
