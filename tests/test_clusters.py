@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from wardlight.operators import clusters
 from wardlight.operators.clusters import dbscan
 from wardlight.operators.components import connected_components
 
@@ -76,10 +77,27 @@ def test_many_rows_without_coordinates_share_no_task(spark):
     assert max(sizes) < 1500
 
 
-def test_eps_too_large_for_the_lattice(spark):
-    df = spark.createDataFrame([(1, 13.0, 100.0)], "id long, latitude double, longitude double")
-    with pytest.raises(ValueError):
-        dbscan(df, "id", eps=0.5)
+@pytest.mark.parametrize("min_samples", [1, 5, 40])
+def test_wide_eps(spark, min_samples):
+    """Cells of 141 lattice steps, some of them with many points, searched by quadtrees."""
+    rng = random.Random(min_samples)
+    rows = [(i, -0.05 + rng.randint(0, 1500) / 1e4, 100.4 + rng.randint(0, 12000) / 1e4) for i in range(350)]
+    rows += [(400 + i, 0.05 + rng.gauss(0, 0.004), 100.9 + rng.gauss(0, 0.004)) for i in range(250)]
+    rows = [(i, round(a, 4), round(b, 4)) for i, a, b in rows] + [(900, None, 1.0)]
+    df = spark.createDataFrame(rows, "id long, latitude double, longitude double")
+    got = {r["id"]: r["cluster"] for r in dbscan(df, "id", eps=0.02, min_samples=min_samples).collect()}
+    assert got.pop(900) == -1 and got == brute_force(rows[:-1], 200**2, min_samples)
+
+
+def test_quadtrees_give_what_lists_give(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = [(i, 13.5 + rng.randint(0, 300) / 1e4, 100.4 + rng.randint(0, 100) / 1e4) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, latitude double, longitude double")
+    want = {r["id"]: r["cluster"] for r in dbscan(df, "id", eps=0.002, min_samples=5).collect()}
+    monkeypatch.setattr(clusters, "MAX_CELL_SIDE", 1)
+    assert {r["id"]: r["cluster"] for r in dbscan(df, "id", eps=0.002, min_samples=5).collect()} == want
+    assert {r["cluster"] for r in dbscan(df, "id", eps=5.0).collect()} == {0}
+    assert dbscan(df.limit(0), "id", eps=5.0).count() == 0
 
 
 @pytest.mark.parametrize("salting", [{}, {"share": 0.01, "min_rows": 1, "salts": 4}])

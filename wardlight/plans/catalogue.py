@@ -785,10 +785,26 @@ def dbscan_dense_cores(t):
     return K.dbscan(order_sites(t), "o_orderkey", min_samples=4).select("o_orderkey", "cluster")
 
 
+WIDE_SITES = f"(SELECT o_orderkey, longitude * 10 - 900 AS longitude, latitude * 10 - 100 AS latitude FROM {ORDER_SITES})"
+WIDE_SQL = cluster_sql(WIDE_SITES, 4).replace(
+    "range(-8, 9) a(i), range(-8, 9) b(j) WHERE i * i + j * j <= 64", "range(-1, 2) a(i), range(-1, 2) b(j)"
+).replace(
+    "WHERE b.x = a.x + o.dx AND b.y = a.y + o.dy",
+    "WHERE b.x // 100 = a.x // 100 + o.dx AND b.y // 100 = a.y // 100 + o.dy AND (a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= 10000",
+)
+
+
+@query(WIDE_SQL)
+def dbscan_wide(t):
+    """Cells wider than lists of points allow for."""
+    sites = order_sites(t).select("o_orderkey", (F.col("longitude") * 10 - 900).alias("longitude"), (F.col("latitude") * 10 - 100).alias("latitude"))
+    return K.dbscan(sites, "o_orderkey", eps=0.01, min_samples=4).select("o_orderkey", "cluster")
+
+
 MAP_SQL = f"""(WITH q AS (SELECT o.o_orderkey, o.o_orderdate::DATE AS date, longitude, latitude FROM {ORDER_SITES} o JOIN {ORDER_LABELS} l USING (o_orderkey)
 WHERE year(o.o_orderdate) = 1998 AND list_has_any(labels, ['1-URGENT', 'P'])),
 u AS (SELECT min(o_orderkey) AS o_orderkey, date, longitude, latitude FROM q GROUP BY ALL)
-SELECT * FROM u WHERE date >= (SELECT max(date) FROM u) - 365 ORDER BY md5('42:' || o_orderkey) LIMIT 50000)"""
+SELECT * FROM u WHERE date >= (SELECT max(date) FROM u) - 365)"""
 
 
 @query(cluster_sql(MAP_SQL, 1, "date, latitude, longitude,"))
