@@ -41,7 +41,13 @@ def test_batch_run_from_files_to_summary(spark, files, tmp_path):
     assert {r["type"] for r in out["summary"].collect()} == {"a", "b", "c"}
     assert spark.read.csv(str(tmp_path / "models/training_summary"), header=True).count() == 3
 
+    funnel = {r["stage"]: r["n_rows"] for r in out["funnel"].orderBy("step").collect()}
+    assert list(funnel) == ["raw", "clean", "merged", "labelled", "with weather"]
+    assert funnel == {"raw": 240, "clean": 220, "merged": 220, "labelled": merged.filter("type <> '{}'").count(), "with weather": final.count()}
+    assert spark.read.csv(str(tmp_path / "processed/funnel_summary"), header=True).count() == 5
+
     again = batch.run(spark, *paths, str(tmp_path), skip_etl=True, skip_training=True, sample_size=50)
+    assert [r["stage"] for r in again["funnel"].orderBy("step").collect()] == ["merged", "labelled", "with weather", "sampled"]
     assert again["final"].count() == 50 and "summary" not in again
 
 
@@ -72,3 +78,26 @@ def test_dashboard_and_map(spark, files, tmp_path):
     assert {p["cluster"] for p in points} == set(range(len({(p["latitude"], p["longitude"]) for p in points})))
     assert [r["type"] for r in shown["types"].collect()] == ["a", "b", "c"]
     assert [r["year"] for r in shown["years"].collect()] == [2024]
+
+
+def test_districts_beyond_a_driver_keep_their_names_in_a_table(spark, monkeypatch):
+    monkeypatch.setattr(batch.labels, "vocabularies", _refuse_districts(batch.labels.vocabularies))
+    monkeypatch.setattr(batch.labels, "sparse_values", _refuse)
+    rows = [(i, "{a}", f"d{i % 7}" if i % 5 else None, "2024-01-01 10:00:00", 1.0, 1.0, 1.0) for i in range(60)]
+    df = spark.createDataFrame(rows, "row_id bigint, type string, district string, timestamp string, `temperature_2m (°C)` double, `rain (mm)` double, `wind_speed_10m (km/h)` double")
+    made = batch.prepare(df)
+    names = {r["place"]: r["value"] for r in made.vectors["district_vector"].collect()}
+    assert sorted(names) == list(range(7)) and not [c for c in made.table.columns if c.startswith("district_d")]
+    for r in made.table.collect():
+        assert [names[i] for i in r["district_vector"].indices] == ([r["district"]] if r["district"] else []) and r["district_vector"].size == 7
+
+
+def _refuse(df, column, *rest):
+    raise batch.labels.TooManyValues(column, 1)
+
+
+def _refuse_districts(find):
+    def found(df, columns, *rest):
+        return _refuse(df, "district") if "district" in columns else find(df, columns, *rest)
+
+    return found

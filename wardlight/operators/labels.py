@@ -6,11 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.ml import functions as vectors
 from pyspark.ml.feature import CountVectorizer
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..functions.scalars import cyclical, parse_time, strip, time_parts
+from ..session import write_stage
 from .clean import quoted
+from .indexing import add_dense_index
+from .skew import salted_join
 
 # Fixed value: text for reports without a label ("not specified").
 NO_LABEL = "ไม่ระบุ"
@@ -93,7 +98,8 @@ def sparse_values(df: DataFrame, column: str, output: str, max_values: int = MAX
     """Add a sparse 0/1 vector of a text or list column, for more values than there can be columns.
 
     The place of each value is its place in the returned vocabulary, most frequent first. A NULL or
-    empty cell is the empty vector. More than max_values values are refused, never cut.
+    empty cell is the empty vector. More than max_values values are refused, never cut; encode_by_table
+    takes any number of them.
     """
     listed = quoted(column) if dict(df.dtypes)[column].startswith("array") else F.array(quoted(column))
     known = F.filter(F.coalesce(listed, F.array().cast("array<string>")), lambda v: v.isNotNull())
@@ -107,6 +113,43 @@ def sparse_values(df: DataFrame, column: str, output: str, max_values: int = MAX
     return model.transform(listed_rows).drop("_values"), model.vocabulary
 
 
+def value_table(df: DataFrame, column: str) -> DataFrame:
+    """(value, place): the distinct values of a text or list column, numbered from 0 in the order of their md5.
+
+    The values stay a table, however many there are.
+    """
+    listed = quoted(column) if dict(df.dtypes)[column].startswith("array") else F.array(quoted(column))
+    values = df.select(F.explode(listed).alias("value")).filter("value is not null").distinct()
+    key = F.conv(F.substring(F.md5(F.col("value").cast("binary")), 1, 15), 16, 10).cast("bigint")
+    keyed = write_stage(values.withColumn("key", key), "values")
+    return write_stage(add_dense_index(keyed, "key", "place", ("value",)).select("value", "place"), "vocabulary")
+
+
+def encode_by_table(df: DataFrame, column: str, output: str, id_column: str) -> tuple[DataFrame, DataFrame]:
+    """(df with `output`, a sparse 0/1 vector of a text or list column, and `output`_places; the value_table).
+
+    For any number of values below 2^31: rows meet the vocabulary in a join, in which frequent values are
+    salted. A NULL or empty cell is the empty vector. Row ids must be unique.
+    """
+    table = value_table(df, column)
+    size = table.count()
+    listed = quoted(column) if dict(df.dtypes)[column].startswith("array") else F.array(quoted(column))
+    each = df.select(quoted(id_column).alias("_id"), F.explode(F.array_distinct(listed)).alias("value")).filter("value is not null")
+    met = salted_join(each, table, ["value"], "inner").groupBy("_id").agg(F.sort_array(F.collect_list(F.col("place").cast("int"))).alias("_places"))
+    joined = df.join(met, quoted(id_column) == F.col("_id"), "left").drop("_id")
+    places = F.coalesce("_places", F.array().cast("array<int>"))
+    joined = joined.withColumn(f"{output}_places", places).drop("_places")
+    return joined.withColumn(output, _sparse_vector(size, F.col(f"`{output}_places`"))), table
+
+
+def _sparse_vector(size: int, places: Column) -> Column:
+    """A sparse vector with ones; Spark reads the parts of the vector type from JSON without leaving the JVM."""
+    kind = StructType([StructField("v", VectorUDT())])
+    ones = F.transform(places, lambda _: F.lit(1.0))
+    parts = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(max(1, size)).alias("size"), places.alias("indices"), ones.alias("values"))
+    return F.from_json(F.to_json(F.struct(parts.alias("v"))), kind)["v"]
+
+
 def create_binary_targets(df: DataFrame, column: str = "type", labels: Sequence[str] | None = None) -> tuple[DataFrame, list[str]]:
     """One 0/1 column type_<label> per label, in one projection."""
     labels = vocabulary(df, column) if labels is None else list(labels)
@@ -184,3 +227,18 @@ def trainable_types(df: DataFrame, column: str = "type", min_samples: int = 50)
     """Labels with enough positives, most frequent first."""
     kept = trainable_flags(df, column, min_samples).filter("trainable").orderBy(F.desc("positive"), "label")
     return [r["label"] for r in kept.select("label").collect()]
+
+
+def top_labels_by(df: DataFrame, key: str, column: str = "type", k: int = 10, salts: int = 32) -> DataFrame:
+    """(key, label, n, rank): the k most frequent labels of every value of key, ties in order of the label.
+
+    Labels of one value compete in `salts` groups first, so that a value with very many labels is ranked by
+    many tasks; NULL keys are left out.
+    """
+    each = df.select(quoted(key).alias(key), F.explode(F.array_distinct(column)).alias("label")).filter(quoted(key).isNotNull() & F.col("label").isNotNull())
+    counted = each.groupBy(quoted(key), "label").agg(F.count(F.lit(1)).alias("n"))
+    order = [F.desc("n"), F.col("label")]
+    salted = counted.withColumn("_salt", F.pmod(F.xxhash64("label"), F.lit(salts)))
+    first = salted.withColumn("_r", F.row_number().over(Window.partitionBy(key, "_salt").orderBy(*order))).filter(F.col("_r") <= k)
+    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter(F.col("rank") <= k)
+    return ranked.select(key, "label", "n", "rank")

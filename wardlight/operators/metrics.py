@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import write_stage
 from .clean import quoted
 
 
@@ -97,3 +98,53 @@ def multilabel_metrics(df: DataFrame, labels: Sequence[str], predictions: Sequen
         _over(add(tp) * 2, add(pp) + add(ap)).alias("f1_micro"),
         macro([_over(a * 2, b + c) for a, b, c in zip(tp, pp, ap)]).alias("f1_macro"),
     )
+
+
+def multilabel_report(df: DataFrame, labels: Sequence[str], predictions: Sequence[str]) -> DataFrame:
+    """(target, support, predicted, hit, precision, recall, f1) of class 1 of every label; all labels in one pass."""
+    zero = F.lit(0).cast("bigint")
+    counts = [
+        F.struct(
+            F.lit(y).alias("target"), F.coalesce(F.count_if(quoted(y) == 1), zero).alias("support"),
+            F.coalesce(F.count_if(quoted(p) == 1), zero).alias("predicted"), F.coalesce(F.count_if((quoted(y) == 1) & (quoted(p) == 1)), zero).alias("hit"),
+        )
+        for y, p in zip(labels, predictions, strict=True)
+    ]
+    each = df.agg(F.array(*counts).alias("rows")).select(F.inline("rows"))
+    precision, recall = _over(F.col("hit"), F.col("predicted")), _over(F.col("hit"), F.col("support"))
+    return each.select("*", precision.alias("precision"), recall.alias("recall"), _f1(precision, recall).alias("f1"))
+
+
+#: Distinct scores that one task ranks, and the most ranges of scores.
+RANKED_ROWS, MAX_RANGES = 200_000, 10_000
+
+
+def roc_auc(df: DataFrame, label: str = "label", score: str = "probability", ranked_rows: int = RANKED_ROWS) -> DataFrame:
+    """(positive, negative, auc): the exact area under the ROC curve, ties counting one half; one row.
+
+    Equal scores are counted before anything is ordered. Quantiles cut the scores into ranges, whose totals add up
+    to what lies below each range; within a range the counts run on by themselves. Rows with a null or NaN
+    score or a null label take no part; auc is null unless both classes occur.
+    """
+    pairs = df.select((quoted(label) == 1).alias("y"), quoted(score).cast("double").alias("s")).filter("y is not null and s is not null and not isnan(s)")
+    counted = pairs.groupBy("s").agg(F.count_if("y").alias("p"), F.count_if(~F.col("y")).alias("n"))
+    counted = write_stage(counted, "scores")
+    ranges = min(MAX_RANGES, -(-counted.count() // ranked_rows))
+    if ranges > 1:
+        cuts = sorted(set(counted.approxQuantile("s", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges))))
+        place = F.aggregate(F.array(*map(F.lit, cuts)), F.lit(0), lambda k, c: k + (c < F.col("s")).cast("int"))
+    else:
+        place = F.lit(0)
+    placed = counted.withColumn("r", place)
+    below, start = 0, {}
+    for r in placed.groupBy("r").agg(F.sum("n").alias("n")).orderBy("r").collect():
+        start[r["r"]], below = below, below + r["n"]
+    before = F.get(F.array(*[F.lit(start.get(i, 0)).cast("bigint") for i in range(max(start, default=0) + 1)]), F.col("r"))
+    inside = F.sum("n").over(Window.partitionBy("r").orderBy("s").rowsBetween(Window.unboundedPreceding, -1))
+    # Twice the pairs in which the positive scores higher, a tie counting once: whole numbers, exact.
+    twice = F.col("p").cast("decimal(20, 0)") * (2 * (before + F.coalesce(inside, F.lit(0))) + F.col("n")).cast("decimal(18, 0)")
+    total = placed.withColumn("twice", twice).agg(F.sum("p").alias("positive"), F.sum("n").alias("negative"), F.sum("twice").alias("twice"))
+    both = (F.col("positive") > 0) & (F.col("negative") > 0)
+    auc = F.col("twice").cast("double") / (2.0 * F.col("positive") * F.col("negative"))
+    zero = F.lit(0).cast("bigint")
+    return total.select(F.coalesce("positive", zero).alias("positive"), F.coalesce("negative", zero).alias("negative"), F.when(both, auc).alias("auc"))

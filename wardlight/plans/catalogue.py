@@ -286,6 +286,27 @@ def stage_funnel(t):
     return A.filter_funnel(order_labels(t), steps)
 
 
+@query(f"""WITH e AS (SELECT DISTINCT o_orderkey, o_custkey % 25 AS district, unnest(labels) AS label FROM {ORDER_LABELS}),
+c AS (SELECT district, label, count(*) AS n FROM e GROUP BY ALL)
+SELECT district, label, n, row_number() OVER (PARTITION BY district ORDER BY n DESC, label)::INT AS rank FROM c QUALIFY rank <= 3""")
+def top_types_by_district(t):
+    table = L.parse_type_column(order_labels(t)).withColumn("district", F.col("o_custkey") % 25)
+    return L.top_labels_by(table, "district", "type", 3)
+
+
+@query("""WITH c AS (SELECT DISTINCT o_custkey::VARCHAR AS v FROM orders), p AS (SELECT v, row_number() OVER (ORDER BY ('0x' || substr(md5(v), 1, 15))::BIGINT, v) - 1 AS place FROM c)
+SELECT o_orderkey, place::VARCHAR AS places, 1::BIGINT AS n_set, (SELECT count(*) FROM c) AS size FROM orders JOIN p ON v = o_custkey::VARCHAR""")
+def encoded_by_table(t):
+    """A column with as many values as there are customers with orders, as sparse vectors; the vocabulary stays a table."""
+    rows = t.orders.select("o_orderkey", F.col("o_custkey").cast("string").alias("district"))
+    made, values = L.encode_by_table(rows, "district", "district_vector", "o_orderkey")
+    n_set = F.aggregate(vector_to_array("district_vector"), F.lit(0.0), lambda a, x: a + x).cast("bigint")
+    return made.select(
+        "o_orderkey", F.array_join(F.transform("district_vector_places", lambda x: x.cast("string")), ",").alias("places"),
+        n_set.alias("n_set"), F.size(vector_to_array("district_vector")).cast("bigint").alias("size"),
+    )
+
+
 # --- files ------------------------------------------------------------------------------------------------
 
 
@@ -757,6 +778,26 @@ def multilabel_metrics(t):
     return rounded(M.multilabel_metrics(flags, ["y0", "y1"], ["p0", "p1"]))
 
 
+@query("""WITH p AS (SELECT (l_returnflag = 'R')::INT AS y0, (l_linestatus = 'O')::INT AS y1, (l_discount > 0.05)::INT AS p0, (l_tax > 0.04)::INT AS p1 FROM lineitem),
+c AS (SELECT 'y0' AS target, sum(y0) AS support, sum(p0) AS predicted, sum(y0 * p0) AS hit FROM p UNION ALL SELECT 'y1', sum(y1), sum(p1), sum(y1 * p1) FROM p)
+SELECT target, support::BIGINT AS support, predicted::BIGINT AS predicted, hit::BIGINT AS hit, round(hit / predicted, 9) AS precision, round(hit / support, 9) AS recall,
+round(2 * hit / (predicted + support), 9) AS f1 FROM c""")
+def multilabel_report(t):
+    flags = t.lineitem.select(
+        (F.col("l_returnflag") == "R").cast("int").alias("y0"), (F.col("l_linestatus") == "O").cast("int").alias("y1"),
+        (F.col("l_discount") > 0.05).cast("int").alias("p0"), (F.col("l_tax") > 0.04).cast("int").alias("p1"),
+    )
+    return rounded(M.multilabel_report(flags, ["y0", "y1"], ["p0", "p1"]))
+
+
+@query("""WITH s AS (SELECT l_extendedprice AS s, count(*) FILTER (l_returnflag = 'R') AS p, count(*) FILTER (l_returnflag <> 'R') AS n FROM lineitem GROUP BY 1),
+w AS (SELECT *, coalesce(sum(n) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM s)
+SELECT sum(p)::BIGINT AS positive, sum(n)::BIGINT AS negative, round(sum(p::HUGEINT * (2 * below + n)) / (2.0::DOUBLE * sum(p) * sum(n)), 9) AS auc FROM w""")
+def roc_auc(t):
+    scored = t.lineitem.select((F.col("l_returnflag") == "R").cast("int").alias("label"), F.col("l_extendedprice").alias("probability"))
+    return rounded(M.roc_auc(scored, ranked_rows=5_000))
+
+
 # --- clusters ----------------------------------------------------------------------------------------------------
 
 def cluster_sql(rows: str, min_samples: int, columns: str = "") -> str:
@@ -1169,6 +1210,22 @@ def cleaned_file(t):
     return batch.clean_file(t.spark, as_csv(t, C.strip_names(messy_customers(t))), target, "BUILDING")
 
 
+@query(f"""WITH r AS (SELECT *, o_orderkey % 11 <> 0 AND o_orderkey % 7 <> 0 AS clean, len(labels) > 0 AS labelled, year(o_orderdate) <> 1998 AS weather FROM {ORDER_LABELS})
+SELECT 0 AS step, 'raw' AS stage, count(*) AS n_rows FROM r UNION ALL SELECT 1, 'clean', count(*) FROM r WHERE clean UNION ALL SELECT 2, 'merged', count(*) FROM r WHERE clean
+UNION ALL SELECT 3, 'labelled', count(*) FROM r WHERE clean AND labelled UNION ALL SELECT 4, 'with weather', count(*) FROM r WHERE clean AND labelled AND weather""")
+def batch_funnel(t):
+    """The whole batch job from files to the feature table, and the rows that each of its stages let through."""
+    reports = order_labels(t).select(
+        F.col("o_orderkey").alias("ticket_id"), "type", F.lit("100.5,13.7").alias("coords"),
+        F.when(F.col("o_orderkey") % 11 == 0, "NULL").otherwise(F.concat(F.lit("d"), F.col("o_custkey") % 25)).alias("district"),
+        F.when(F.col("o_orderkey") % 7 == 0, "elsewhere").otherwise(C.PROVINCE).alias("province"), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+    )
+    days = t.orders.filter(F.year("o_orderdate") != 1998).select(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm").alias("time")).distinct()
+    weather = days.select("time", F.lit("20").alias("temperature_2m (°C)"), F.lit("1").alias("rain (mm)"), F.lit("2").alias("wind_speed_10m (km/h)"))
+    folder = f"{work_folder(t.spark)}/batch-{uuid.uuid4().hex}"
+    return batch.run(t.spark, as_csv(t, reports), as_csv(t, weather), None, folder, skip_training=True)["funnel"]
+
+
 @query(ORACLE["prepared_table"])
 def final_table(t):
     """The feature table as written and read again."""
