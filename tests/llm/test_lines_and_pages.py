@@ -251,3 +251,22 @@ def test_archives_round_trip(spark, tmp_path):
         assert r["payload_digest"] == hashlib.sha256(html.encode()).hexdigest()
         assert bytes(r["payload"]) == html.encode() if r["record_type"] == "response" else r["payload"] is None
     assert W.archive_round_trip(df.limit(0)).collect() == []
+
+
+LONG = ["alpha ", "beta1 ", "gamma ", "delta ", "epsil "]
+
+
+@pytest.mark.parametrize("lead", ["", "<div class=intro><p>" + "a lead of some words " * 5 + "</p></div>"])
+def test_title_and_lead_before_the_container_of_the_text_stay(lead):
+    body = "".join(f"<p>{w * 100}</p>" for w in LONG)
+    out = H.extract(f"<body><nav><a>menu</a></nav><h1>TITLE</h1>{lead}<div class=text>{body}</div></body>").split("\n")
+    assert out[0] == "TITLE" and len(out) == 6 + bool(lead) and "menu" not in out
+
+
+@pytest.mark.parametrize("menu", ["", '<div class="menu"><a>Home</a> <a>About</a></div>'])
+@pytest.mark.parametrize("named", ['<section class="comments"><p>{}</p></section>', '<div class="sidebar"><p>{}</p></div>', '<div class="ad">{}</div>'])
+def test_long_comments_and_adverts_go_whatever_menus_the_page_has(menu, named):
+    body, other = "".join(f"<p>{w * 50}</p>" for w in LONG[:3]), named.format("other words here " * 25)
+    for page in (f"<body>{menu}<div class=text>{body}</div>{other}</body>", f"<body>{menu}<article>{body}</article>{other}</body>", f"<body>{menu}<div>{body}{other}</div></body>"):
+        out = H.extract(page)
+        assert len(out.split("\n")) == 3 and "other" not in out and "Home" not in out

@@ -249,18 +249,30 @@ def threshold(values: np.ndarray) -> float:
 def content_lines(lines: list[Line], against: np.ndarray) -> np.ndarray:
     """Which lines lie in a dense region: smoothed text-to-tag ratio in the upper of two clusters.
 
-    Names weigh the ratio; a line that they speak against must be dense by itself.
+    Names weigh the ratio; a line that they speak against must be as dense as the denser of the other lines are
+    on average, whatever menus and other linked or empty lines the page has.
     """
     ratios = np.array([0.0 if x.outside else max(0, len(x.text) - x.linked) / x.tags for x in lines])
     values = np.log1p(np.where(against, NAMED, 1) * ratios)
     smoothed = smooth(values).round(9)  # equal lines stay equal
     inside = np.array([not x.outside for x in lines])
     cut = threshold(smoothed)
-    return inside & (smoothed >= cut) & (~against | (values >= threshold(values[inside])))
+    own = values[inside & ~against & (ratios > 0)]
+    own = own[own >= threshold(own)] if len(own) else values[inside]
+    return inside & (smoothed >= cut) & (~against | (values >= own.mean()))
+
+
+def is_menu(line: Line) -> bool:
+    return line.linked * 2 > len(line.text)
+
+
+def is_paragraph(line: Line, elements: list[Element]) -> bool:
+    return not is_menu(line) and elements[line.element].tag in PARAGRAPHS
 
 
 def main_lines(parser: Lines) -> list[Line]:
-    """The lines of the dense regions and of marked articles, and short paragraphs in the container of them all."""
+    """The lines of the dense regions, with title and lead, and of marked articles, and short paragraphs in the
+    container of them all."""
     lines, elements = parser.lines, parser.elements
     if not any(not x.outside for x in lines):
         return []
@@ -274,10 +286,14 @@ def main_lines(parser: Lines) -> list[Line]:
     article = [False] * len(elements)
     for at, e in enumerate(elements[1:], 1):
         article[at] = not e.outside and not weak[at] and (e.tag in ARTICLES or article[e.parent])
+    # Title and lead: the headings and paragraphs that stand right before the first dense line.
+    lead, before = np.zeros(len(lines), bool), int(np.argmax(dense)) - 1
+    while before >= 0 and not lines[before].outside and not against[before] and is_paragraph(lines[before], elements):
+        lead[before], before = True, before - 1
     # The lowest common ancestor; a parent's number is below that of its children.
     home = -1
-    for line, good in zip(lines, dense, strict=True):
-        if good or article[line.element] and not line.outside:
+    for n, (line, good) in enumerate(zip(lines, dense, strict=True)):
+        if good or lead[n] or article[line.element] and not line.outside:
             at = line.element
             home = at if home < 0 else home
             while at != home:
@@ -296,10 +312,9 @@ def main_lines(parser: Lines) -> list[Line]:
     for n, line in enumerate(lines):
         if line.outside or against[n] and not dense[n]:
             continue
-        menu = line.linked * 2 > len(line.text)
         # Short paragraphs around the dense regions are the article's too; bare text there is not.
-        around = not menu and (first <= n <= last or elements[line.element].tag in PARAGRAPHS)
-        if dense[n] or article[line.element] or around and within(line.element):
+        around = is_paragraph(line, elements) or first <= n <= last and not is_menu(line)
+        if dense[n] or lead[n] or article[line.element] or around and within(line.element):
             kept.append(line)
     return kept
 
