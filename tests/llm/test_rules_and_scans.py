@@ -83,6 +83,14 @@ LICENSED = [
     ("Licensed under CC BY-NC 4.0.", {"cc-by"}, {"cc-by-nc-4.0"}),
     ("before " + NOTICE + " behind", set(), {"mit"}),
     ("x " + NOTICE.replace("free of charge", "free of any charge").replace("obtaining", "getting"), set(), {"mit"}),
+    ("This work is licensed under the GNU General Public License version 2", {"gpl"}, set()),  # another version is another license
+    ("licensed under the Apache License, Version 2.0", {"apache"}, {"apache-2.0"}),
+    ("licensed under the Apache License, Version 2.1", {"apache"}, set()),
+    ("licensed under the Apache License, Version 20", {"apache"}, set()),
+    ("licensed under CC BY-NC 4.1 or CC BY 4.0", {"cc-by"}, set()),
+    ("licensed under a Creative Commons Attribution ShareAlike 4.0 International License", set(), {"cc-by-sa-4.0"}),
+    ("licensed under a Creative Commons Attribution NoDerivatives 3.0 International License", set(), set()),
+    ("this program is free software you can redistribute it " * 4, set(), set()),  # a part, however often
     ("mit. gnu general license public; apachelicense, MİT LICENSE mitK license", set(), set()),
     ("mit license " * 3000, {"mit"}, set()),
     ("", set(), set()),

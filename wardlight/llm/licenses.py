@@ -13,6 +13,8 @@ GRAM = 2
 DRIFT = 3
 #: Share of a notice's grams that a place must hold, and its length against that of the notice.
 COVERED, STRETCH = 0.8, 1.5
+# Words that tell one license from the next, besides numbers. A place must hold all grams with them.
+TELLING = set("nc sharealike lesser library version".split())
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -24,6 +26,16 @@ class Template:
     label: str
     phrase: bool = False
 
+    @property
+    def grams(self) -> int:
+        return len(self.text.split()) - GRAM + 1
+
+    @property
+    def needed(self) -> int:
+        """The places of the grams that tell this license from others, as bits; a template has at most 62 grams."""
+        words = self.text.split()
+        return sum(1 << i for i in range(self.grams) if any(w.isdigit() or w in TELLING for w in words[i : i + GRAM]))
+
 
 # The phrases of the base labels, and opening words of public licenses and notices.
 TEMPLATES = (
@@ -91,8 +103,9 @@ def document_grams(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def diagonals(df: DataFrame, id_col: str, text_col: str, templates: tuple[Template, ...]) -> DataFrame:
-    """(uid, id, n_words, tid, diagonal, votes, low, high), and for each row of df one with a null tid.
+    """(uid, id, n_words, tid, diagonal, seen, low, high), and for each row of df one with a null tid.
 
+    seen holds the template's places that were met, as bits.
     The template side of the join is broadcast: its size is that of the fixed templates.
     """
     index = template_index(df.sparkSession, templates)
@@ -100,9 +113,10 @@ def diagonals(df: DataFrame, id_col: str, text_col: str, templates: tuple[Templa
     # The first gram of every text stays, matched or not, so that each row of df lives on.
     alive = met.filter(F.col("tid").isNotNull() | (F.coalesce("pos", F.lit(0)) == 0))
     once = F.when(F.col("tid").isNotNull(), F.col("pos") - F.col("at")).alias("diagonal")
-    dealt = alive.select("uid", "id", "n_words", "tid", "pos", once).repartition("uid")
+    place = F.expr("shiftleft(1L, at)").alias("place")
+    dealt = alive.select("uid", "id", "n_words", "tid", "pos", once, place).repartition("uid")
     return dealt.groupBy("uid", "id", "n_words", "tid", "diagonal").agg(
-        F.count(F.lit(1)).alias("votes"), F.min("pos").alias("low"), F.max("pos").alias("high")
+        F.bit_or("place").alias("seen"), F.min("pos").alias("low"), F.max("pos").alias("high")
     )
 
 
@@ -117,28 +131,32 @@ def scan(
     n_base counts the places of phrases, first_word and last_word are their smallest and largest start
     in words from 0, or null. labels holds base_labels and those of notices found; both are distinct,
     sorted and joined by commas, empty if there are none. score is the largest share of a template's
-    grams at one place (1 for a phrase), 0 if no gram occurs. places lists (label, first, last, score)
+    grams at one place (1 for a phrase), 0 if no gram occurs. A span found by votes is verified by which
+    grams of the notice it holds: COVERED of them, each counted once, and all that tell the license
+    and its version from others. places lists (label, first, last, score)
     of what was found. A null text has no words; null or repeated ids and other columns change nothing.
 
     Votes are gathered per text, so a text with many places, or many texts with the same place, put no
     group on one task that is larger than one text.
     """
-    sizes = F.array(*[F.lit(len(t.text.split()) - GRAM + 1) for t in templates])
+    sizes = F.array(*[F.lit(t.grams) for t in templates])
+    needs = F.array(*[F.lit(t.needed).cast("bigint") for t in templates])
     names = F.array(*[F.lit(t.label) for t in templates])
     phrases = F.array(*[F.lit(t.phrase) for t in templates])
     votes = diagonals(df, id_col, text_col, templates)
-    votes = votes.withColumns({"grams": F.get(sizes, F.col("tid")), "label": F.get(names, F.col("tid")), "phrase": F.get(phrases, F.col("tid"))})
+    votes = votes.withColumns({"grams": F.get(sizes, F.col("tid")), "label": F.get(names, F.col("tid")), "phrase": F.get(phrases, F.col("tid")), "needed": F.get(needs, F.col("tid"))})
     along = Window.partitionBy("uid", "tid").orderBy("diagonal")
     near = F.col("diagonal") - F.lag("diagonal").over(along) <= DRIFT
     close = F.abs(F.col("low") - F.lag("low").over(along)) <= STRETCH * F.col("grams")
     joins = F.coalesce(near & close & ~F.col("phrase"), F.lit(False))
     runs = votes.withColumn("run", F.sum(F.when(joins, 0).otherwise(1)).over(along.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = runs.groupBy("uid", "id", "n_words", "tid", "grams", "label", "phrase", "run").agg(
-        F.sum("votes").alias("votes"), F.min("low").alias("first"), (F.max("high") + GRAM - 1).alias("last")
+    merged = runs.groupBy("uid", "id", "n_words", "tid", "grams", "label", "phrase", "needed", "run").agg(
+        F.bit_or("seen").alias("seen"), F.min("low").alias("first"), (F.max("high") + GRAM - 1).alias("last")
     )
-    share = F.when(F.col("tid").isNotNull(), F.least(F.lit(1.0), F.col("votes") / F.col("grams")))
+    share = F.when(F.col("tid").isNotNull(), F.bit_count("seen") / F.col("grams"))
+    told = F.col("seen").bitwiseAND(F.col("needed")) == F.col("needed")
     fits = F.col("last") - F.col("first") + 1 <= STRETCH * (F.col("grams") + GRAM - 1)
-    good = F.when(F.col("phrase"), F.col("votes") == F.col("grams")).otherwise((share >= COVERED) & fits)
+    good = F.when(F.col("phrase"), F.bit_count("seen") == F.col("grams")).otherwise((share >= COVERED) & fits & told)
     merged = merged.withColumns({"share": share, "good": F.coalesce(F.col("tid").isNotNull() & good, F.lit(False))})
     base = F.col("good") & F.col("phrase")
 

@@ -159,10 +159,10 @@ def op6_bpe(spark, folder):
 
 
 def _license_sql() -> str:
-    rows = ", ".join(f"({i}, '{t.text}', '{t.label}', {t.phrase})" for i, t in enumerate(licenses.TEMPLATES))
+    rows = ", ".join(f"({i}, '{t.text}', '{t.label}', {t.phrase}, {t.needed})" for i, t in enumerate(licenses.TEMPLATES))
     return rf"""
-    with t(tid, text, label, phrase) as (values {rows}), tg as (
-        select tid, label, phrase, len(string_split(text, ' ')) - 1 as grams, unnest(range(1, len(string_split(text, ' ')))) - 1 as place,
+    with t(tid, text, label, phrase, needed) as (values {rows}), tg as (
+        select tid, label, phrase, needed, len(string_split(text, ' ')) - 1 as grams, unnest(range(1, len(string_split(text, ' ')))) - 1 as place,
             unnest(list_transform(range(1, len(string_split(text, ' '))), lambda i: string_split(text, ' ')[i] || ' ' || string_split(text, ' ')[i + 1])) as gram
         from t
     ), w as (
@@ -172,7 +172,7 @@ def _license_sql() -> str:
     ), dg as (
         select doc_id, unnest(range(1, len(ws))) - 1 as pos, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) as gram from w
     ), votes as (
-        select doc_id, tid, label, phrase, grams, pos - place as diagonal, count(*) as votes, min(pos) as low, max(pos) as high
+        select doc_id, tid, label, phrase, needed, grams, pos - place as diagonal, bit_or(1::bigint << place::int) as seen, min(pos) as low, max(pos) as high
         from dg join tg using (gram) group by all
     ), steps as (
         select *, coalesce(not phrase and diagonal - lag(diagonal) over a <= 3 and abs(low - lag(low) over a) <= 1.5 * grams, false) as joins
@@ -180,10 +180,10 @@ def _license_sql() -> str:
     ), runs as (
         select *, sum(case when joins then 0 else 1 end) over (partition by doc_id, tid order by diagonal) as run from steps
     ), merged as (
-        select doc_id, tid, label, phrase, grams, run, sum(votes) as votes, min(low) as first, max(high) + 1 as last from runs group by all
+        select doc_id, tid, label, phrase, needed, grams, run, bit_or(seen) as seen, min(low) as first, max(high) + 1 as last from runs group by all
     ), judged as (
-        select *, least(1.0, votes / grams)::double as share, case when phrase then votes = grams
-            else least(1.0, votes / grams) >= 0.8 and last - first + 1 <= 1.5 * (grams + 1) end as good
+        select *, (bit_count(seen) / grams)::double as share, case when phrase then bit_count(seen) = grams
+            else bit_count(seen) / grams >= 0.8 and seen & needed = needed and last - first + 1 <= 1.5 * (grams + 1) end as good
         from merged
     ), found as (
         select doc_id, count(*) filter (good and phrase) as n_base, min(first) filter (good and phrase) as first_word,
