@@ -1126,9 +1126,12 @@ def older_strategies(t):
 
 
 def text_files(t: Tables, lines: DataFrame, folder: str, name: str) -> str:
-    """Write lines into files called <name>-<n>.csv."""
+    """Write lines, or a table as CSV with its header in every file, into files called <name>-<n>.csv."""
     made = f"{work_folder(t.spark)}/lines-{uuid.uuid4().hex}"
-    lines.write.text(made)
+    if lines.columns == ["value"]:
+        lines.write.text(made)
+    else:
+        lines.write.csv(made, header=True)
     path = t.spark._jvm.org.apache.hadoop.fs.Path
     files = path(made).getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration())
     files.mkdirs(path(folder))
@@ -1148,7 +1151,7 @@ def event_lines(t: Tables, condition: str, column: str, *before: str) -> DataFra
 def weather_preamble(t):
     """Coordinate lines above the header are told apart by their content."""
     lines = event_lines(t, "true", "rain (mm)", "latitude,longitude,elevation", "13.74,100.5,7.0", "")
-    one = text_files(t, lines.coalesce(1), f"{work_folder(t.spark)}/weather-{uuid.uuid4().hex}", "weather")
+    one = text_files(t, lines, f"{work_folder(t.spark)}/weather-{uuid.uuid4().hex}", "weather")
     read = tables.read_weather(t.spark, one)
     return read.groupBy(F.to_date("time").alias("date")).agg(F.count("rain (mm)").alias("n"), F.round(F.sum("rain (mm)"), 4).alias("value"))
 
@@ -1160,8 +1163,9 @@ FROM s GROUP BY 1, 2""")
 def weather_sites(t):
     """Files of two sites with different columns, put together by name; one row for each site and time."""
     folder = f"{work_folder(t.spark)}/sites-{uuid.uuid4().hex}"
-    text_files(t, event_lines(t, "event_type = 'view'", "rain (mm)").coalesce(1), folder, "open-meteo-13.74N100.5E")
-    text_files(t, event_lines(t, "event_type <> 'view'", "wind_speed_10m (km/h)").coalesce(1), folder, "open-meteo-13.8N100.6E")
+    for condition, column, name in (("event_type = 'view'", "rain (mm)", "open-meteo-13.74N100.5E"), ("event_type <> 'view'", "wind_speed_10m (km/h)", "open-meteo-13.8N100.6E")):
+        hours = t.events.filter(condition).select(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("time"), F.col("value").alias(column))
+        text_files(t, hours.repartition(4), folder, name)  # several files for each site
     read = tables.read_weather_sites(t.spark, folder)
     return read.groupBy("latitude", "longitude").agg(
         F.count(F.lit(1)).alias("n"), F.count("rain (mm)").alias("n_rain"), F.count("wind_speed_10m (km/h)").alias("n_wind")
