@@ -27,9 +27,8 @@ def brute_force(rows, least):
         for start, end in enumerate(ends[d]):
             if end is None:
                 continue
-            firsts = [(o, s) for o in range(d + 1) for s, e in enumerate(ends[o]) if e and docs[o][3][s:e] == bare[start:end]]
-            o, s = min(firsts)
-            if (o, s) >= (d, start):
+            earlier = [(o, s) for o in range(d + 1) for s, e in enumerate(ends[o]) if e and docs[o][3][s:e] == bare[start:end] and (o, s) < (d, start)]
+            if not earlier:
                 continue
 
             def tail(doc, at):
@@ -37,10 +36,9 @@ def brute_force(rows, least):
                 return docs[doc][3][ends[doc][at] : (nxt - 1 if nxt else len(docs[doc][3]))]
 
             more = 0
-            for x, y in zip(tail(d, start), tail(o, s), strict=False):
-                if x != y:
-                    break
-                more += 1
+            for o, s in earlier:
+                same = [x == y for x, y in zip(tail(d, start), tail(o, s), strict=False)]
+                more = max(more, [*same, False].index(False))
             gone.update(lines[i][0] for i in range(start, end + more))
         kept = None if text is None else "\n".join(x for n, x in enumerate(text.split("\n")) if n not in gone)
         out[doc_id] = (kept, len(lines), len(gone))
@@ -253,12 +251,12 @@ def test_archives_round_trip(spark, tmp_path):
     assert W.archive_round_trip(df.limit(0)).collect() == []
 
 
-LONG = ["alpha ", "beta1 ", "gamma ", "delta ", "epsil "]
+PARTS = ["alpha ", "beta1 ", "gamma ", "delta ", "epsil "]
 
 
 @pytest.mark.parametrize("lead", ["", "<div class=intro><p>" + "a lead of some words " * 5 + "</p></div>"])
 def test_title_and_lead_before_the_container_of_the_text_stay(lead):
-    body = "".join(f"<p>{w * 100}</p>" for w in LONG)
+    body = "".join(f"<p>{w * 100}</p>" for w in PARTS)
     out = H.extract(f"<body><nav><a>menu</a></nav><h1>TITLE</h1>{lead}<div class=text>{body}</div></body>").split("\n")
     assert out[0] == "TITLE" and len(out) == 6 + bool(lead) and "menu" not in out
 
@@ -266,7 +264,7 @@ def test_title_and_lead_before_the_container_of_the_text_stay(lead):
 @pytest.mark.parametrize("menu", ["", '<div class="menu"><a>Home</a> <a>About</a></div>'])
 @pytest.mark.parametrize("named", ['<section class="comments"><p>{}</p></section>', '<div class="sidebar"><p>{}</p></div>', '<div class="ad">{}</div>'])
 def test_long_comments_and_adverts_go_whatever_menus_the_page_has(menu, named):
-    body, other = "".join(f"<p>{w * 50}</p>" for w in LONG[:3]), named.format("other words here " * 25)
+    body, other = "".join(f"<p>{w * 50}</p>" for w in PARTS[:3]), named.format("other words here " * 25)
     for page in (f"<body>{menu}<div class=text>{body}</div>{other}</body>", f"<body>{menu}<article>{body}</article>{other}</body>", f"<body>{menu}<div>{body}{other}</div></body>"):
         out = H.extract(page)
         assert len(out.split("\n")) == 3 and "other" not in out and "Home" not in out

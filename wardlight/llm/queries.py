@@ -54,12 +54,12 @@ def op1_toxicity(spark, folder):
         select w.doc_id, w.n, last, ls[w.n:last] as content,
             ls[last + 1:coalesce(lead(last) over (partition by w.doc_id order by w.n) - 1, lines)] as tail
         from w join d using (doc_id)
-    ), f as (
-        select *, row_number() over p as nth, first_value(tail) over p as first_tail from x window p as (partition by content order by doc_id, n)
+    ), t as (
+        select content, tail, min((doc_id, n)) as first from x group by all
     ), runs as (
-        select doc_id, n, last + coalesce(list_position(list_transform(range(1, least(len(tail), len(first_tail)) + 1),
-            lambda k: tail[k] = first_tail[k]), false) - 1, least(len(tail), len(first_tail))) as last
-        from f where nth > 1
+        select x.doc_id, x.n, last + max(coalesce(list_position(list_transform(range(1, least(len(x.tail), len(t.tail)) + 1),
+            lambda k: x.tail[k] = t.tail[k]), false) - 1, least(len(x.tail), len(t.tail)))) as last
+        from x join t on x.content = t.content and t.first < (x.doc_id, x.n) group by x.doc_id, x.n, last
     ), gone as (
         select distinct doc_id, l.place from runs join l using (doc_id) where l.n between runs.n and runs.last
     ), kept as (
