@@ -268,3 +268,10 @@ def test_long_comments_and_adverts_go_whatever_menus_the_page_has(menu, named):
     for page in (f"<body>{menu}<div class=text>{body}</div>{other}</body>", f"<body>{menu}<article>{body}</article>{other}</body>", f"<body>{menu}<div>{body}{other}</div></body>"):
         out = H.extract(page)
         assert len(out.split("\n")) == 3 and "other" not in out and "Home" not in out
+
+
+def test_columns_called_like_the_counts_stay(spark):
+    df = spark.createDataFrame([(1, "a b\nc", 7, "x")], "doc_id bigint, text string, n_lines int, n_deleted string")
+    assert tuple(L.delete_repeats(df).first()) == (1, "a b\nc", 7, "x", 2, 0)
+    assert L.delete_repeats(df).columns == ["doc_id", "text", "n_lines", "n_deleted", "n_lines_", "n_deleted_"]
+    assert L.delete_repeats(df, counts=False).columns == df.columns

@@ -105,14 +105,17 @@ def without_lines(text: str | None, runs: list | None) -> tuple[str | None, int,
     return ("\n".join(x for i, x in enumerate(lines) if i not in gone) if gone else text), len(full), len(gone)
 
 
-def delete_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
-    """df with repeated runs of lines deleted from its texts, and n_lines and n_deleted.
+def delete_repeats(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS, counts: bool = True
+) -> DataFrame:
+    """df with repeated runs of lines deleted from its texts, and with `counts` also n_lines and n_deleted.
 
     A run of lines with words that holds least_words words or more, and stands at an earlier place too,
     goes; places are ordered by id (null last), text and line, in the texts as they came. Lines are
     compared without white space at their ends; lines without a word are passed over and stay. A text
     that repeats in whole becomes empty of such lines, but its row stays. Null and empty texts are left
-    as they are. Rows with equal id and text are one place. All columns of df come along.
+    as they are. Rows with equal id and text are one place. All columns of df come along; if one of them is
+    called n_lines or n_deleted, the count of that name gets an underscore behind it.
     """
     ship(df.sparkSession)
     mine = {"id": F.col(f"`{id_col}`"), "text": F.col(f"`{text_col}`").cast("string")}
@@ -132,5 +135,6 @@ def delete_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column("row"), *arrays], ["row", "text", "n_lines", "n_deleted"])
 
     out = met.mapInArrow(run, f"row {kind(whole, 'row')}, text string, n_lines bigint, n_deleted bigint")
-    columns = [F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in df.columns if c not in ("n_lines", "n_deleted")]
-    return out.select(*columns, "n_lines", "n_deleted")
+    columns = [F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in df.columns]
+    numbers = [F.col(c).alias(f"{c}_" if c in df.columns else c) for c in ("n_lines", "n_deleted")]
+    return out.select(*columns, *(numbers if counts else ()))
