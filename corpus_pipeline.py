@@ -26,7 +26,7 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def delete_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the runs of lines that stand at an earlier place too; n_chars follows the text."""
-    out = line_dedup.delete_repeats(docs).drop("n_lines", "n_deleted")
+    out = line_dedup.delete_repeats(docs, counts=False)
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
