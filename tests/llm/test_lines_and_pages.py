@@ -58,8 +58,9 @@ def test_repeated_runs_are_those_of_brute_force(spark):
     rows += [(100, None), (101, ""), (102, "\n\n"), (103, "x y z\n" * 40), (104, "many words " * 5000), (105, "many words " * 5000)]
     df = spark.createDataFrame([(i, t, 3, "e") for i, t in rows], "doc_id bigint, text string, n_lines int, `end` string")
     out = L.delete_repeats(df, least_words=10)
-    assert out.columns == ["doc_id", "text", "end", "n_lines", "n_deleted"]
-    found = {r["doc_id"]: (r["text"], r["n_lines"], r["n_deleted"]) for r in out.collect()}
+    assert out.columns == ["doc_id", "text", "n_lines", "end", "n_lines_", "n_deleted"]
+    assert {r["n_lines"] for r in out.collect()} == {3}
+    found = {r["doc_id"]: (r["text"], r["n_lines_"], r["n_deleted"]) for r in out.collect()}
     assert found == brute_force(rows, 10)
     assert L.delete_repeats(df.limit(0)).collect() == []
 
