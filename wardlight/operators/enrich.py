@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import calculate_distances, grid_key, grid_nearest, hour_floor, parse_time, split_coordinates
+from ..session import write_stage
 from .clean import numeric_columns, quoted
 from .skew import BROADCAST_ROWS, fits_broadcast, lookup_join
 
@@ -33,10 +34,13 @@ def add_date(df: DataFrame, time_column: str, zone: str | None = None) -> DataFr
 
 
 def enrich_daily(reports: DataFrame, *daily: DataFrame | None, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Left join on date with each daily table that is given (one row per day)."""
+    """Left join on date with each daily table that is given (one row per day).
+
+    Daily tables are aggregates that are measured before they are joined, so they are computed once and written.
+    """
     for table in daily:
         if table is not None:
-            reports = lookup_join(reports, table, ["date"], "left", max_rows)
+            reports = lookup_join(reports, write_stage(table, "daily"), ["date"], "left", max_rows)
     return reports
 
 
@@ -51,12 +55,14 @@ def hour_join(left: DataFrame, right: DataFrame, how: str = "left", key: str = "
     """Join on the hour: 'inner', 'left' or 'full'.
 
     A full join can use neither a broadcast nor a skew split, so it is the left join plus the right
-    rows whose hour does not occur on the left; those hours are counted before they are broadcast.
+    rows whose hour does not occur on the left; those hours are counted before they are broadcast. As the
+    right side is measured and read twice, it is written first, and so are the hours of the left.
     """
     if how != "full":
         return lookup_join(left, right, [key], how, max_rows)
+    right = write_stage(right, "hourly")
     matched = lookup_join(left, right, [key], "left", max_rows)
-    hours = left.select(key).filter(F.col(key).isNotNull()).distinct()
+    hours = write_stage(left.select(key).filter(F.col(key).isNotNull()).distinct(), "hours")
     if fits_broadcast(hours, [key], max_rows):
         hours = F.broadcast(hours)
     return matched.unionByName(right.join(hours, [key], "left_anti"), allowMissingColumns=True)

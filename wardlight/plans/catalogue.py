@@ -856,6 +856,14 @@ def map_points(t):
     return points.select("o_orderkey", "date", "latitude", "longitude", "cluster")
 
 
+@query(cluster_sql(f"(SELECT * FROM {MAP_SQL} ORDER BY md5('42:' || o_orderkey) LIMIT 200)", 1, "date, latitude, longitude,"))
+def map_points_sampled(t):
+    """A map that can draw 200 points only gets a sample of exactly so many."""
+    table = L.parse_type_column(order_labels(t)).select("o_orderkey", F.to_date("o_orderdate").alias("date"), F.col("type").alias("types"))
+    points = V.map_points(table.join(order_sites(t).select("o_orderkey", "latitude", "longitude"), "o_orderkey"), "o_orderkey", 1998, ["1-URGENT", "P"], max_rows=200)
+    return points.select("o_orderkey", "date", "latitude", "longitude", "cluster")
+
+
 # --- imbalance -----------------------------------------------------------------------------------------------------
 
 
