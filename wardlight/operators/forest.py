@@ -166,8 +166,8 @@ class VotingForest:
         else:
             rows = write_stage(df.withColumn("_row", F.monotonically_increasing_id()), "scored")
             asked = rows.select(F.col("_row").alias("row_id"), "features", F.expr("cast(array() as array<struct<label:int,y:int,fold:int>>)").alias("entries"))
-            share = votes(self.trees, pack_rows(asked, self.binning, 1)).select(F.col("row").alias("_key"), F.col("p").alias("probability"))
-            found = rows.withColumn("_key", F.xxhash64(F.col("_row").cast("string"))).join(share, "_key").drop("_key", "_row")
+            share = votes(self.trees, pack_rows(asked, self.binning, 1)).select(F.col("row").alias("_row"), F.col("p").alias("probability"))
+            found = rows.join(share, "_row").drop("_row")
         return found.withColumn("prediction", (F.col("probability") > 0.5).cast("double"))
 
     def _small(self):

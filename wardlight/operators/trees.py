@@ -291,9 +291,11 @@ def pack_rows(df: DataFrame, binning: Binning, n_labels: int, features: str = "f
     """Blocks of about block_rows rows: a table that is written once.
 
     df: row_id, features, entries ARRAY<STRUCT<label: INT, y: INT, fold: INT>>: what a row is in each label
-    that it belongs to, with the fold TEST for rows that no forest learns from. Row ids must be unique.
+    that it belongs to, with the fold TEST for rows that no forest learns from. Row ids must be unique;
+    whole numbers stay as they are, other ids become 64-bit hashes.
     """
-    rows = df.select(F.xxhash64(F.col("row_id").cast("string")).alias("row"), vector_to_array(features).alias("x"), "entries")
+    number = F.col("row_id") if dict(df.dtypes)["row_id"] == "bigint" else F.xxhash64(F.col("row_id").cast("string"))
+    rows = df.select(number.alias("row"), vector_to_array(features).alias("x"), "entries")
     n_blocks = max(1, -(-df.count() // block_rows))
     width = len(binning.bounds)
 
