@@ -27,6 +27,14 @@ def test_auc_needs_both_classes(spark):
     assert tuple(M.roc_auc(df).first()) == (2, 0, None) and tuple(M.roc_auc(df.limit(0)).first()) == (0, 0, None)
 
 
+def test_auc_finds_the_range_of_a_score_by_halves(spark):
+    """No row goes through the cuts one by one, so its time does not grow with the number of ranges."""
+    df = spark.range(2_000).selectExpr("int(id % 3 = 0) AS label", "id / 7D AS probability")
+    made = M.roc_auc(df, ranked_rows=5)
+    assert "lambda" not in made._jdf.queryExecution().toString().lower()
+    assert made.first()["auc"] == pytest.approx(brute_auc([(int(i % 3 == 0), i / 7) for i in range(2_000)]), abs=1e-12)
+
+
 def test_top_labels_of_one_huge_and_many_small_districts(spark):
     rows = [("huge", [f"t{i % 997}", "all", None]) for i in range(5000)] + [(f"d{i}", ["b", "a", "a"]) for i in range(20)]
     rows += [(None, ["a"]), ("none", []), ("none", None)]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -131,15 +133,17 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "probability", ran
     counted = write_stage(counted, "scores")
     ranges = min(MAX_RANGES, -(-counted.count() // ranked_rows))
     if ranges > 1:
-        cuts = sorted(set(counted.approxQuantile("s", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges))))
-        place = F.aggregate(F.array(*map(F.lit, cuts)), F.lit(0), lambda k, c: k + (c < F.col("s")).cast("int"))
+        cuts = counted.approxQuantile("s", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges))
+        splits = [-math.inf, *sorted({c for c in cuts if math.isfinite(c)}), math.inf]
+        # A search by halves: the time of a row does not grow with the number of ranges.
+        placed = Bucketizer(splits=splits, inputCol="s", outputCol="r").transform(counted).withColumn("r", F.col("r").cast("int"))
     else:
-        place = F.lit(0)
-    placed = counted.withColumn("r", place)
+        placed = counted.withColumn("r", F.lit(0))
     below, start = 0, {}
     for r in placed.groupBy("r").agg(F.sum("n").alias("n")).orderBy("r").collect():
         start[r["r"]], below = below, below + r["n"]
-    before = F.get(F.array(*[F.lit(start.get(i, 0)).cast("bigint") for i in range(max(start, default=0) + 1)]), F.col("r"))
+    starts = df.sparkSession.createDataFrame(list(start.items()), "r int, before bigint")
+    placed, before = placed.join(F.broadcast(starts), "r"), F.col("before")
     inside = F.sum("n").over(Window.partitionBy("r").orderBy("s").rowsBetween(Window.unboundedPreceding, -1))
     # Twice the pairs in which the positive scores higher, a tie counting once: whole numbers, exact.
     twice = F.col("p").cast("decimal(20, 0)") * (2 * (before + F.coalesce(inside, F.lit(0))) + F.col("n")).cast("decimal(18, 0)")
