@@ -2,7 +2,9 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from wardlight.operators import labels as L
 from wardlight.operators import metrics as M
@@ -70,3 +72,12 @@ def test_values_in_a_table(spark):
     assert {r["id"]: r["hot_vector_places"] for r in again.collect()} == {i: r["hot_vector_places"] for i, r in out.items()}
     empty, none = L.encode_by_table(df.limit(0), "types", "v", "id")
     assert empty.count() == 0 and none.count() == 0
+
+
+def test_parts_of_a_vector_with_very_many_places(spark):
+    """A sparse vector is read as it is stored: its zeros are never written out."""
+    rows = [(1, Vectors.sparse(2_000_000_000, [5, 1_999_999_999], [1.0, 2.0])), (2, Vectors.dense([0.0, 3.0])), (3, Vectors.sparse(4, [], [])), (4, None)]
+    df = spark.createDataFrame(rows, StructType([StructField("id", LongType()), StructField("v", VectorUDT())]))
+    got = {r["id"]: r["p"] for r in df.select("id", L.vector_parts(F.col("v")).alias("p")).collect()}
+    assert tuple(got[1]) == (2_000_000_000, [5, 1_999_999_999], [1.0, 2.0])
+    assert tuple(got[2]) == (2, None, [0.0, 3.0]) and tuple(got[3]) == (4, [], []) and got[4] is None

@@ -150,6 +150,14 @@ def _sparse_vector(size: int, places: Column) -> Column:
     return F.from_json(F.to_json(F.struct(parts.alias("v"))), kind)["v"]
 
 
+def vector_parts(vector: Column) -> Column:
+    """(size, indices, values) of a vector as it is stored: indices and values of a sparse one, without its zeros."""
+    kind = "struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
+    parts = F.from_json(F.to_json(F.struct(vector.alias("v"))), f"struct<v: {kind}>")["v"]
+    size = F.when(parts["type"] == 0, parts["size"]).otherwise(F.size(parts["values"]))
+    return F.when(vector.isNotNull(), F.struct(size.alias("size"), parts["indices"].alias("indices"), parts["values"].alias("values")))
+
+
 def create_binary_targets(df: DataFrame, column: str = "type", labels: Sequence[str] | None = None) -> tuple[DataFrame, list[str]]:
     """One 0/1 column type_<label> per label, in one projection."""
     labels = vocabulary(df, column) if labels is None else list(labels)

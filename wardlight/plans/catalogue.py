@@ -300,10 +300,11 @@ def encoded_by_table(t):
     """A column with as many values as there are customers with orders, as sparse vectors; the vocabulary stays a table."""
     rows = t.orders.select("o_orderkey", F.col("o_custkey").cast("string").alias("district"))
     made, values = L.encode_by_table(rows, "district", "district_vector", "o_orderkey")
-    n_set = F.aggregate(vector_to_array("district_vector"), F.lit(0.0), lambda a, x: a + x).cast("bigint")
+    made = made.withColumn("parts", L.vector_parts(F.col("district_vector")))
+    n_set = F.aggregate("parts.values", F.lit(0.0), lambda a, x: a + x).cast("bigint")
     return made.select(
         "o_orderkey", F.array_join(F.transform("district_vector_places", lambda x: x.cast("string")), ",").alias("places"),
-        n_set.alias("n_set"), F.size(vector_to_array("district_vector")).cast("bigint").alias("size"),
+        n_set.alias("n_set"), F.col("parts.size").cast("bigint").alias("size"),
     )
 
 
