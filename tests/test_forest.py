@@ -138,3 +138,27 @@ def test_large_forests_score_like_small_ones(table, monkeypatch):
     monkeypatch.setattr(R, "SENT_BYTES", 0)
     large = {r["row_id"]: r["probability"] for r in model.transform(rows).collect()}
     assert small.keys() == large.keys() and all(small[k] == pytest.approx(large[k]) for k in small)
+
+
+def test_plain_forests_of_two_classes_are_tables_of_trees(table):
+    """Trees stay a table instead of objects of the driver that every prediction has to carry along."""
+    rows = labelled(table, "high")
+    models = R.train_classifier(rows.withColumn("other", 1 - F.col("label")), ["label", "other"], 6, 8)
+    assert all(isinstance(m, R.VotingForest) for m in models.values())
+    got = R.predict_all(models, rows).collect()
+    assert sum(r["pred_label"] == r["label"] for r in got) > 560 and sum(r["pred_other"] == 1 - r["label"] for r in got) > 560
+    assert set(got[0].asDict()) == {"row_id", "features", "label", "pred_label", "pred_other"}
+
+
+def test_folds_are_scored_from_counts():
+    assert R._score("accuracy", 3, 1, 2, 4) == 0.7 and R._score("precision", 3, 1, 2, 4) == 0.75 and R._score("recall", 3, 1, 2, 4) == 0.6
+    assert R._score("f1_weighted", 3, 1, 2, 4) == pytest.approx((5 * 6 / 9 + 5 * 8 / 11) / 10) and R._score("f1") == 0.0
+
+
+def test_labels_of_three_classes_and_own_settings_keep_spark_forest(spark, table):
+    three = table.select("row_id", "features", F.pmod(F.col("row_id").cast("int"), F.lit(3)).cast("double").alias("label"))
+    model = R.train_classifier(three, n_estimators=2, max_depth=2)
+    assert model.numClasses == 3 and R.evaluate_classifier(model, three).first()["accuracy"] > 0.3
+    assert R._followed(R.forest(7, 3)) == R._plain(0, 7, 3, 42) and R._followed(R.forest(7, 3, impurity="entropy")) is None
+    scores, _, _ = R.cross_validate(three, R.forest(2, 2), cv=2)
+    assert scores.count() == 2

@@ -132,3 +132,42 @@ def test_bootstrap_counts_are_poisson():
     features = T.drawn_features(1, 2, np.arange(1, 5000), 10, 3)
     assert features.shape == (4999, 3) and (np.diff(features, axis=1) > 0).all()
     assert np.bincount(features.ravel()) == pytest.approx(1500, rel=0.1)
+
+
+def test_sorting_finds_the_splits_that_counting_finds():
+    rng = np.random.default_rng(5)
+    n, nodes = 900, 60
+    bins, y, drawn = rng.integers(0, 9, (n, 12)).astype(np.uint8), rng.integers(0, 2, n).astype(np.int8), rng.integers(1, 5, n)
+    bins[:, :4] = 3  # nothing to part
+    node = np.concatenate([np.arange(nodes), rng.integers(0, nodes, n - nodes)])
+    features = T.drawn_features(1, 2, np.arange(1, nodes + 1), 12, 3)
+    for weights, least in (((1.0, 1.0), 1), ((0.6, 1.9), 4)):
+        counted = T.best_splits(T.counts_in_turn(bins, node, y, drawn, features, 16), features, weights, least)
+        found = T.best_splits_sorted(bins, node, y, drawn, features, weights, least, 16)
+        split = counted[0] != T.LEAF
+        assert split.any() and not split.all()
+        assert np.array_equal(found[0], counted[0])
+        assert all(np.array_equal(a[split], b[split]) for a, b in zip(found[1:], counted[1:]))
+
+
+def test_trees_that_are_only_tried_are_scored_where_they_grow(spark, table, monkeypatch):
+    binning, blocks = table
+    kept, sums = T.grow_and_score(blocks, FORESTS, binning)
+    assert same(loaded(kept), loaded(T.grow(blocks, FORESTS, binning))) and sums == T.confusion(kept, blocks, FORESTS)
+    assert T.grow_and_score(blocks, FORESTS, binning, keep_trees=False, local_rows=60) == (None, sums)
+    written = []
+    stage = T.write_stage
+    monkeypatch.setattr(T, "write_stage", lambda df, name: written.append(stage(df, name)) or written[-1])
+    monkeypatch.setattr(T, "drop_stage", lambda df: None)
+    assert T.grow_and_score(blocks, FORESTS, binning, keep_trees=False) == (None, sums)
+    assert len(written) == 1 and written[0].filter(f"tree <> {T.NO_ROW}").isEmpty()
+
+
+def test_trees_are_not_repeated_for_every_few_blocks(spark, table):
+    """A larger table makes runs of blocks longer, not more of them than tasks."""
+    binning, blocks = table
+    trees = T.grow(blocks, FORESTS, binning)
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    many = spark.range(40 * tasks).selectExpr("id AS block", "1 AS n", *[f"cast(null AS binary) AS {c}" for c in ("rows", "bins", "labels", "folds")])
+    pairs = T._pairs(trees, many, 40 * tasks, 64)
+    assert pairs.filter("kind = 0").count() <= tasks * len(loaded(trees)) and pairs.filter("kind = 1").count() == 40 * tasks

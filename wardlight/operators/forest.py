@@ -9,7 +9,7 @@ import re
 import statistics
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import UTC, datetime
 from functools import reduce
 
@@ -31,7 +31,7 @@ from .labels import class_distribution
 from .metrics import class_report, multilabel_metrics, weighted_metrics
 from .resampling import ResamplingStats, determine_resampling_strategy, non_adaptive_strategy, resample
 from .sampling import add_folds, mark_test
-from .trees import TEST, Binning, Forest, Tree, bin_features, confusion, grow, importance, pack_rows, votes
+from .trees import TEST, Binning, Forest, Tree, bin_features, grow, grow_and_score, importance, pack_rows, votes
 
 MAX_DEPTH = 30  # the deepest tree Spark grows; stands for "unlimited"
 #: What ids of rows that were not made up begin with, and the bytes of a forest that are sent to all tasks.
@@ -102,9 +102,38 @@ def forest(n_estimators: int = 100, max_depth: int | None = None, seed: int = 42
     )
 
 
+def _plain(label: int, n_estimators: int, max_depth: int | None, seed: int) -> Forest:
+    """A forest as Spark's own one is by default."""
+    return Forest(label, n_estimators, min(max_depth or MAX_DEPTH, MAX_DEPTH), max_features="sqrt" if n_estimators > 1 else "all", seed=seed)
+
+
+def _is_binary(rows: DataFrame, labels: Sequence[str]) -> bool:
+    """Whether all labels are 0 or 1 and all features are there and finite. Other rows are left to Spark's own forest."""
+    known = [F.coalesce(quoted(c).cast("double").isin(0.0, 1.0), F.lit(False)) for c in labels]
+    odd = F.exists(vector_to_array("features"), lambda x: F.isnan(x) | (F.abs(x) == float("inf")))
+    fine = reduce(lambda a, b: a & b, known, ~F.coalesce(odd, F.lit(True)))
+    n, fitting = rows.agg(F.count(F.lit(1)), F.count_if(fine)).first()
+    return 0 < n == fitting
+
+
 def train_classifier(df: DataFrame, label: str | Sequence[str] = "label", n_estimators: int = 100, max_depth: int | None = None, seed: int = 42):
-    """One forest, or for several labels one forest per label as a dict."""
-    work_folder(df.sparkSession)  # deep trees checkpoint the node of every row there
+    """One forest, or for several labels one forest per label as a dict, all grown in the same scans.
+
+    Labels of 0 and 1 give a VotingForest; labels of more classes are left to Spark's own forest.
+    """
+    names = [label] if isinstance(label, str) else list(label)
+    rows = write_stage(df.select(F.monotonically_increasing_id().alias("row_id"), "features", *map(quoted, names)), "train")
+    if _is_binary(rows, names):
+        entries = [F.struct(F.lit(i).alias("label"), quoted(n).cast("int").alias("y"), F.lit(0).alias("fold")) for i, n in enumerate(names)]
+        rows_of_all = rows.select("row_id", "features", F.array(*entries).alias("entries"))
+        binning = bin_features(rows_of_all)
+        blocks = pack_rows(rows_of_all, binning, len(names))
+        trees = grow(blocks, [_plain(i, n_estimators, max_depth, seed) for i in range(len(names))], binning)
+        models = {n: VotingForest(trees.filter(F.col("forest") == i), binning) for i, n in enumerate(names)}
+        drop_stage(blocks)
+        drop_stage(rows)
+        return models[label] if isinstance(label, str) else models
+    drop_stage(rows)
     if isinstance(label, str):
         return forest(n_estimators, max_depth, seed, label).fit(df)
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -114,11 +143,13 @@ def train_classifier(df: DataFrame, label: str | Sequence[str] = "label", n_esti
         df.unpersist()
 
 
-def predict_all(models: dict[str, RandomForestClassificationModel], df: DataFrame) -> DataFrame:
+def predict_all(models: dict[str, RandomForestClassificationModel | VotingForest], df: DataFrame) -> DataFrame:
     """Add one column pred_<label> per model."""
     for name, model in models.items():
-        scored = model.setPredictionCol(f"pred_{name}").setRawPredictionCol("").setProbabilityCol("")
-        df = scored.transform(df)
+        if isinstance(model, VotingForest):
+            df = model.transform(df, f"pred_{name}", None)
+        else:
+            df = model.setPredictionCol(f"pred_{name}").setRawPredictionCol("").setProbabilityCol("").transform(df)
     return df
 
 
@@ -129,7 +160,7 @@ def evaluate_classifier(models, df: DataFrame, label: str | Sequence[str] = "lab
     return weighted_metrics(models.transform(df), label)
 
 
-def evaluation(model: RandomForestClassificationModel, df: DataFrame, label: str = "label") -> dict[str, DataFrame]:
+def evaluation(model: RandomForestClassificationModel | VotingForest, df: DataFrame, label: str = "label") -> dict[str, DataFrame]:
     """The scores of evaluate_classifier, the report per class, and the predictions themselves."""
     predictions = model.transform(df)
     return {"scores": weighted_metrics(predictions, label), "report": class_report(predictions, label), "predictions": predictions}
@@ -157,18 +188,19 @@ class VotingForest:
         total = sum(shares.values()) or 1.0
         return DenseVector([shares.get(i, 0.0) / total for i in range(len(self.binning.bounds))])
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Add probability and prediction. A forest is sent to the tasks only if it has been measured to be small."""
+    def transform(self, df: DataFrame, prediction: str = "prediction", probability: str | None = "probability") -> DataFrame:
+        """Add probability (unless it has no name) and prediction. A forest is sent to the tasks only if it has been
+        measured to be small."""
         size = sum(F.octet_length(c) for c in Tree.KINDS)
         if (self.trees.agg(F.sum(size)).first()[0] or 0) <= SENT_BYTES:
-            chance = self._small()(vector_to_array("features"))
-            found = df.withColumn("probability", chance)
+            found = df.withColumn("_share", self._small()(vector_to_array("features")))
         else:
             rows = write_stage(df.withColumn("_row", F.monotonically_increasing_id()), "scored")
             asked = rows.select(F.col("_row").alias("row_id"), "features", F.expr("cast(array() as array<struct<label:int,y:int,fold:int>>)").alias("entries"))
-            share = votes(self.trees, pack_rows(asked, self.binning, 1)).select(F.col("row").alias("_row"), F.col("p").alias("probability"))
-            found = rows.join(share, "_row").drop("_row")
-        return found.withColumn("prediction", (F.col("probability") > 0.5).cast("double"))
+            share = votes(self.trees, pack_rows(asked, self.binning, 1)).select(F.col("row").alias("_row"), F.col("p").alias("_share"))
+            found = rows.join(write_stage(share, "votes"), "_row").drop("_row")
+        named = found if probability is None else found.withColumn(probability, F.col("_share"))
+        return named.withColumn(prediction, (F.col("_share") > 0.5).cast("double")).drop("_share")
 
     def _small(self):
         spark, binning = self.trees.sparkSession, self.binning
@@ -186,15 +218,32 @@ class VotingForest:
 
         return share
 
-    def save(self, path: str) -> None:
-        self.trees.write.mode("overwrite").parquet(f"{path}/trees")
+    def save(self, path: str, mode: str = "overwrite") -> None:
+        self.trees.write.mode(mode).parquet(f"{path}/trees")
         save_json(self.trees.sparkSession, f"{path}/bounds", [b.tolist() for b in self.binning.bounds])
 
+    def write(self) -> ForestWriter:
+        return ForestWriter(self)
+
     @staticmethod
     def load(spark: SparkSession, path: str) -> VotingForest:
         return VotingForest(spark.read.parquet(f"{path}/trees"), Binning([np.array(b, float) for b in load_json(spark, f"{path}/bounds")]))
 
 
+@dataclass
+class ForestWriter:
+    """What Spark's models have: model.write().overwrite().save(path)."""
+
+    forest: VotingForest
+    mode: str = "error"
+
+    def overwrite(self) -> ForestWriter:
+        return replace(self, mode="overwrite")
+
+    def save(self, path: str) -> None:
+        self.forest.save(path, self.mode)
+
+
 def _rows_of_labels(base: DataFrame, sets: Sequence[tuple[DataFrame, DataFrame | None]], folds: int, seed: int) -> DataFrame:
     """(row_id, features, entries): every row once, with all labels that it belongs to; made-up rows belong to one.
 
@@ -245,14 +294,11 @@ def search_together(
     binning = bin_features(rows)
     blocks = pack_rows(rows, binning, len(sets))
     tried = [_setting(i, s, seed, fold) for i in range(len(sets)) for s in settings for fold in range(folds)]
-    trees = grow(blocks, tried, binning)
-    sums = confusion(trees, blocks, tried)
-    drop_stage(trees)
+    _, sums = grow_and_score(blocks, tried, binning, keep_trees=False)
     f1 = np.array([_positive_scores(**sums.get(n, {}))["f1"] for n in range(len(tried))]).reshape(len(sets), n_iter, folds).mean(axis=2)
     best = [int(x.argmax()) for x in f1]
     final = [_setting(i, settings[n], seed) for i, n in enumerate(best)]
-    trees = grow(blocks, final, binning)
-    tested = confusion(trees, blocks, final)
+    trees, tested = grow_and_score(blocks, final, binning)
     out = []
     for i, n in enumerate(best):
         model = VotingForest(trees.filter(F.col("forest") == i), binning)
@@ -271,19 +317,49 @@ def random_search(train: DataFrame, n_iter: int = 5, seed: int = 42, folds: int
     return search_together(named, [(named, None)], n_iter, seed, folds, space)[0][:3]
 
 
+def _followed(estimator: RandomForestClassifier) -> Forest | None:
+    """The settings of an estimator as a Forest; None where it asks for what only Spark's own forest has."""
+    known = {"featuresCol", "labelCol", "numTrees", "maxDepth", "seed", "cacheNodeIds"}
+    if {p.name for p in estimator.params if estimator.isSet(p)} - known or (estimator.getFeaturesCol(), estimator.getLabelCol()) != ("features", "label"):
+        return None
+    return replace(_plain(0, estimator.getNumTrees(), None, estimator.getSeed()), max_depth=estimator.getMaxDepth())
+
+
+def _score(scoring: str, tp: int = 0, fp: int = 0, fn: int = 0, tn: int = 0) -> float:
+    """One of SCORES from the counts of a fold."""
+    if scoring != "f1_weighted":
+        return _positive_scores(tp, fp, fn, tn)[scoring]
+    of_one, of_zero = _positive_scores(tp, fp, fn, tn)["f1"], _positive_scores(tn, fn, fp, tp)["f1"]
+    return ((tp + fn) * of_one + (tn + fp) * of_zero) / max(1, tp + fp + fn + tn)
+
+
 def cross_validate(df: DataFrame, estimator: RandomForestClassifier | None = None, cv: int = 5, scoring: str = "accuracy", seed: int = 42) -> tuple[DataFrame, float, float]:
-    """(fold, score) per fold, their mean and population standard deviation."""
-    work_folder(df.sparkSession)
+    """(fold, score) per fold, their mean and population standard deviation.
+
+    For labels of 0 and 1 the forests of all folds grow in the same scans.
+    """
     estimator = estimator or forest(seed=seed)
     evaluator = MulticlassClassificationEvaluator(**SCORES[scoring])
-    folded = add_folds(df, "label", "row_id", cv, seed).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        scores = []
-        for i in range(cv):
-            model = estimator.fit(folded.filter(F.col("fold") != i))
-            scores.append(float(evaluator.evaluate(model.transform(folded.filter(F.col("fold") == i)))))
-    finally:
-        folded.unpersist()
+    folded, setting = add_folds(df, "label", "row_id", cv, seed), _followed(estimator)
+    rows = write_stage(folded.select(F.monotonically_increasing_id().alias("row_id"), "features", "label", "fold"), "folds")
+    if setting is not None and _is_binary(rows, ["label"]):
+        entry = F.struct(F.lit(0).alias("label"), F.col("label").cast("int").alias("y"), F.col("fold").cast("int").alias("fold"))
+        entered = rows.select("row_id", "features", F.array(entry).alias("entries"))
+        binning = bin_features(entered)
+        blocks = pack_rows(entered, binning, 1)
+        _, sums = grow_and_score(blocks, [replace(setting, without_fold=i) for i in range(cv)], binning, keep_trees=False)
+        drop_stage(blocks)
+        scores = [_score(scoring, **sums.get(i, {})) for i in range(cv)]
+    else:
+        folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            scores = []
+            for i in range(cv):
+                model = estimator.fit(folded.filter(F.col("fold") != i))
+                scores.append(float(evaluator.evaluate(model.transform(folded.filter(F.col("fold") == i)))))
+        finally:
+            folded.unpersist()
+    drop_stage(rows)
     table = df.sparkSession.createDataFrame(list(enumerate(scores)), "fold int, score double")
     return table, statistics.fmean(scores), statistics.pstdev(scores)
 

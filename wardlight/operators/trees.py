@@ -14,6 +14,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -26,12 +27,16 @@ from ..session import drop_stage, write_stage
 
 MAX_BINS = 64
 BLOCK_ROWS = 8_192
-#: Nodes with at most so many rows are finished in one task, and tables of at most so many bytes are sent to all tasks.
-LOCAL_ROWS, LOCAL_BYTES = 50_000, 32 << 20
-#: Counts that a task holds at a time, and blocks that it goes over with the same trees.
+#: Tables of at most so many rows and bytes are sent to all tasks, which grow whole trees.
+WHOLE_ROWS, LOCAL_BYTES = 2_000_000, 128 << 20
+#: In larger tables, nodes with at most so many rows are finished in one task.
+LOCAL_ROWS = 50_000
+#: Counts that a task holds at a time, and blocks that it goes over with the same trees at least.
 HELD_CELLS, IN_TURN = 4_000_000, 16
-#: Trees that a task scores together.
-SCORED_TREES = 64
+#: Trees, and bytes of trees, that a task scores together.
+SCORED_TREES, SCORED_BYTES = 64, 64 << 20
+#: Nodes with at most so many rows are split by sorting their values, larger ones by counting them by bin.
+SORTED_ROWS = 64
 TEST = -1
 NO_ROW = -1
 LEAF = -1
@@ -107,6 +112,16 @@ def counts_by_bin(bins: np.ndarray, node: np.ndarray, y: np.ndarray, drawn: np.n
     return np.stack(sums, -1).reshape(n_nodes, tried, n_bins, 3).astype(np.int64)
 
 
+def counts_in_turn(bins: np.ndarray, node: np.ndarray, y: np.ndarray, drawn: np.ndarray, features: np.ndarray, n_bins: int) -> np.ndarray:
+    """counts_by_bin over a bounded number of rows at a time."""
+    step = max(1, HELD_CELLS // features.shape[1])
+    sums = counts_by_bin(bins[:step], node[:step], y[:step], drawn[:step], features, n_bins)
+    for start in range(step, len(node), step):
+        some = slice(start, start + step)
+        sums += counts_by_bin(bins[some], node[some], y[some], drawn[some], features, n_bins)
+    return sums
+
+
 def _impurity(counts: np.ndarray, weights: tuple[float, float]) -> np.ndarray:
     """Gini impurity times weight; the last axis holds rows and the drawn rows of both classes."""
     a, b = weights[0] * counts[..., 1], weights[1] * counts[..., 2]
@@ -128,6 +143,47 @@ def best_splits(counts: np.ndarray, features: np.ndarray, weights: tuple[float,
     return feature, last, gain
 
 
+def best_splits_sorted(
+    bins: np.ndarray, node: np.ndarray, y: np.ndarray, drawn: np.ndarray, features: np.ndarray, weights: tuple[float, float], least_rows: int, n_bins: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What best_splits finds from counts_by_bin, from sorted values: for many nodes of few rows each.
+
+    Every node must have rows, and least_rows must be 1 or more: then the first best cut is behind a bin with rows.
+    """
+    n_nodes, tried = features.shape
+    at = np.take_along_axis(bins, features[node], axis=1).astype(np.int64)
+    cell = (node[:, None] * tried + np.arange(tried)) * n_bins + at
+    most = int(drawn.max()) + 1
+    # Classes and counts ride below the cell in the same number, so that one sort of numbers does.
+    packed = np.sort(((cell * most + drawn[:, None]) * 2 + y[:, None]).ravel())
+    cell, drawn, y = packed // (2 * most), packed // 2 % most, packed % 2
+    n = np.bincount(node, minlength=n_nodes)
+    sums = [np.concatenate([[0], np.cumsum(v)]) for v in (drawn * (y == 0), drawn * (y == 1))]
+    # The values of a node's feature lie together, n[node] of them.
+    size = np.repeat(n, tried)
+    begin = np.cumsum(size) - size
+    cut = np.flatnonzero(cell[1:] != cell[:-1]) + 1
+    part, last = np.divmod(cell[cut - 1], n_bins)
+    first, end = begin[part], begin[part] + size[part]
+    fits = (cut - first >= least_rows) & (end - cut >= least_rows)
+    cut, part, last, first, end = (v[fits] for v in (cut, part, last, first, end))
+
+    def counts(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.stack([b - a, sums[0][b] - sums[0][a], sums[1][b] - sums[1][a]], -1)
+
+    gain = _impurity(counts(first, end), weights) - _impurity(counts(first, cut), weights) - _impurity(counts(cut, end), weights)
+    gain = np.maximum(gain, 0.0)
+    owner, slot = np.divmod(part, tried)
+    feature, behind, best = np.full(n_nodes, LEAF), np.zeros(n_nodes, np.int64), np.full(n_nodes, -1.0)
+    if len(owner):
+        starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+        best[owner[starts]] = np.maximum.reduceat(gain, starts)
+        hits = np.flatnonzero(gain == best[owner])
+        some, where = np.unique(owner[hits], return_index=True)
+        feature[some], behind[some] = features[some, slot[hits[where]]], last[hits[where]]
+    return feature, behind, best
+
+
 @dataclass
 class Tree:
     """Nodes in ascending order of their numbers; the children of node i are 2i and 2i + 1, the root is 1.
@@ -158,20 +214,24 @@ class Tree:
     def load(cls, row) -> Tree:
         return cls(**{n: np.frombuffer(getattr(row, n), k) for n, k in cls.KINDS.items()})
 
+    @cached_property
+    def children(self) -> np.ndarray:
+        """(nodes, 2) places of the children of each node, NO_ROW where a child is not in this tree."""
+        numbers = 2 * self.node[:, None] + np.arange(2)
+        place = np.minimum(np.searchsorted(self.node, numbers), len(self.node) - 1)
+        return np.where((self.node[place] == numbers) & (self.feature != LEAF)[:, None], place, NO_ROW)
+
     def end_of(self, bins: np.ndarray) -> np.ndarray:
         """The place in this tree of the last known node that each row comes to."""
         at = np.zeros(len(bins), np.int64)
         going = np.arange(len(bins))
         while len(going):
             here = at[going]
-            feature = self.feature[here]
-            going, here, feature = (x[feature != LEAF] for x in (going, here, feature))
-            side = bins[going, feature] > self.last[here]
-            child = 2 * self.node[here] + side
-            place = np.minimum(np.searchsorted(self.node, child), len(self.node) - 1)
-            known = self.node[place] == child
-            at[going[known]] = place[known]
+            # A leaf has no children, whatever value its feature number picks.
+            child = self.children[here, (bins[going, self.feature[here]] > self.last[here]).astype(np.int8)]
+            known = child != NO_ROW
             going = going[known]
+            at[going] = child[known]
         return at
 
     def probability(self, weights: tuple[float, float]) -> np.ndarray:
@@ -192,6 +252,18 @@ def is_open(forest: Forest, nodes: np.ndarray, rows: np.ndarray, n0: np.ndarray,
     return (_depth(nodes) < forest.max_depth) & (rows >= forest.min_samples_split) & (n0 > 0) & (n1 > 0)
 
 
+def _portions(wanted: np.ndarray, few: np.ndarray, rows: np.ndarray, tried: int, n_bins: int) -> Iterator[tuple[np.ndarray, bool]]:
+    """(nodes to split together, whether by sorting), so that a bounded number of values or counts is held at a time."""
+    counted, step = np.flatnonzero(wanted & ~few), max(1, HELD_CELLS // (3 * tried * n_bins))
+    for start in range(0, len(counted), step):
+        yield counted[start : start + step], False
+    sorted_ones = np.flatnonzero(wanted & few)
+    turn = rows[sorted_ones].cumsum() * tried // HELD_CELLS
+    for some in np.split(sorted_ones, np.flatnonzero(np.diff(turn)) + 1):
+        if len(some):
+            yield some, True
+
+
 def grow_below(
     forest: Forest, tree: int, weights: tuple[float, float], bins: np.ndarray, y: np.ndarray, drawn: np.ndarray, n_bins: int, root: int = 1
 ) -> Tree:
@@ -204,16 +276,19 @@ def grow_below(
         feature, last, gain = np.full(len(ids), LEAF), np.zeros(len(ids), np.int64), np.zeros(len(ids))
         left = is_open(forest, ids, rows, n0, n1)
         # Where none of the drawn features parts the rows, all others are tried too.
+        few = (rows <= SORTED_ROWS) & (forest.min_samples_leaf >= 1)
         for tried in (forest.features_tried(n_features), n_features):
-            step = max(1, HELD_CELLS // (3 * tried * n_bins))
-            for start in range(0, int(left.sum()), step):
-                some = np.flatnonzero(left)[start : start + step]
+            for some, by_sorting in _portions(left, few, rows, tried, n_bins):
                 number = np.full(len(ids), NO_ROW)
                 number[some] = np.arange(len(some))
-                here = number[node] >= 0
+                here = np.flatnonzero(number[node] >= 0)
                 features = drawn_features(forest.seed, tree, ids[some], n_features, tried)
-                counts = counts_by_bin(bins[here], number[node[here]], y[here], drawn[here], features, n_bins)
-                feature[some], last[some], gain[some] = best_splits(counts, features, weights, forest.min_samples_leaf)
+                of_rows = bins[here], number[node[here]], y[here], drawn[here]
+                if by_sorting:
+                    found = best_splits_sorted(*of_rows, features, weights, forest.min_samples_leaf, n_bins)
+                else:
+                    found = best_splits(counts_in_turn(*of_rows, features, n_bins), features, weights, forest.min_samples_leaf)
+                feature[some], last[some], gain[some] = found
             left = left & (feature == LEAF)
         split = feature != LEAF
         parts.append(Tree(ids, feature, np.where(split, last, 0), n0, n1, np.where(split, gain, 0.0)))
@@ -286,6 +361,11 @@ class Block:
         counts = bootstrap(forest.seed, tree, self.rows[places]) if forest.bootstrap else np.ones(len(places), np.int64)
         return places[counts > 0], counts[counts > 0]
 
+    def asked(self, forest: Forest) -> np.ndarray:
+        """Places of the rows of its label that a forest did not learn from: the fold it left out, or the test rows."""
+        fold = TEST if forest.without_fold is None else forest.without_fold
+        return np.flatnonzero((self.labels[:, forest.label] >= 0) & (self.folds[:, forest.label] == fold))
+
 
 def pack_rows(df: DataFrame, binning: Binning, n_labels: int, features: str = "features", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Blocks of about block_rows rows: a table that is written once.
@@ -344,46 +424,94 @@ def _class_rows(blocks: DataFrame, forests: Sequence[Forest]) -> dict[tuple[int,
 
 
 def _task_trees(spark, forests: Sequence[Forest]) -> DataFrame:
-    """(forest, tree): one row for each tree to grow, spread over many tasks."""
-    sizes = spark.createDataFrame([(i, f.n_estimators) for i, f in enumerate(forests)], "forest int, n int")
-    each = sizes.select("forest", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("tree"))
-    tasks = min(sum(f.n_estimators for f in forests), 4 * spark.sparkContext.defaultParallelism)
-    return each.repartition(max(1, tasks), "forest", "tree")
+    """(forest, tree): one row for each tree to grow, spread evenly over many tasks; those of a forest lie together."""
+    ends = np.cumsum([f.n_estimators for f in forests]).tolist()
+    tasks = max(1, min(ends[-1], 8 * spark.sparkContext.defaultParallelism))
+    forest = F.size(F.filter(F.array(*map(F.lit, ends)), lambda end: end <= F.col("id")))
+    numbered = spark.range(0, ends[-1], 1, tasks).withColumn("forest", forest)
+    return numbered.select("forest", (F.col("id") - F.get(F.array(*map(F.lit, [0, *ends])), F.col("forest"))).cast("int").alias("tree"))
+
 
+GROWN = f"forest int, tree int, w0 double, w1 double, {STORED}"
+SCORED = "first int, trees int, y binary, total binary"
 
-def _grow_in_tasks(blocks: DataFrame, forests: Sequence[Forest], rows_of: dict, n_bins: int) -> DataFrame:
-    """Whole trees, each in one task, over a table that has been measured to be small."""
+
+def _grow_in_tasks(blocks: DataFrame, forests: Sequence[Forest], rows_of: dict, n_bins: int, keep_trees: bool, score: bool) -> DataFrame:
+    """Whole trees, each in one task, over a table that has been measured to be small.
+
+    With keep_trees there is a row for each tree. With score there are rows with the tree NO_ROW: what the trees of a
+    task, from `first` on, give in total to each row that their forest did not learn from, next to the classes of those.
+    """
     spark = blocks.sparkSession
     packed = [tuple(r) for r in blocks.orderBy("block").collect()]
     sent = spark.sparkContext.broadcast(packed)  # at most LOCAL_BYTES
     names = blocks.columns
+    columns = _names(f"{GROWN}, {SCORED}")
+    no_tree, no_score = [0.0, 0.0, *[None] * len(Tree.KINDS)], [0, 0, None, None]
 
     def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         whole = Block.of([Block.load(b) for b in pd.DataFrame(sent.value, columns=names).itertuples()])
-        for batch in batches:
-            out = []
-            for number, tree in zip(batch["forest"].tolist(), batch["tree"].tolist(), strict=True):
-                forest = forests[number]
-                at, drawn = whole.drawn(forest, tree)
-                y = whole.labels[at, forest.label]
-                sums = int(drawn[y == 0].sum()), int(drawn[y == 1].sum())
-                weights = class_weights(forest, rows_of[forest.label, forest.without_fold], sums)
-                made = grow_below(forest, tree, weights, whole.bins[at], y, drawn, n_bins)
-                out.append((number, tree, *weights, *made.dump()))
-            yield pd.DataFrame(out, columns=["forest", "tree", "w0", "w1", *Tree.KINDS])
-
-    return write_stage(_task_trees(spark, forests).mapInPandas(grow, f"forest int, tree int, w0 double, w1 double, {STORED}"), "trees")
+        wanted = ((int(f), int(t)) for b in batches for f, t in zip(b["forest"], b["tree"], strict=True))
+        number, first, n, asked, total = None, 0, 0, None, None
+
+        def scored() -> pd.DataFrame:
+            y = whole.labels[asked, forests[number].label]
+            return pd.DataFrame([(number, NO_ROW, *no_tree, first, n, y.tobytes(), total.tobytes())], columns=columns)
+
+        for following, tree in wanted:
+            forest = forests[following]
+            if score and following != number:
+                if number is not None:
+                    yield scored()
+                first, n, asked = tree, 0, whole.asked(forest)
+                total = np.zeros(len(asked))
+            number = following
+            at, drawn = whole.drawn(forest, tree)
+            y = whole.labels[at, forest.label]
+            sums = int(drawn[y == 0].sum()), int(drawn[y == 1].sum())
+            weights = class_weights(forest, rows_of[forest.label, forest.without_fold], sums)
+            made = grow_below(forest, tree, weights, whole.bins[at], y, drawn, n_bins)
+            if keep_trees:
+                yield pd.DataFrame([(number, tree, *weights, *made.dump(), *no_score)], columns=columns)
+            if score:
+                total, n = total + made.probability(weights)[made.end_of(whole.bins[asked])], n + 1
+        if score and number is not None:
+            yield scored()
+
+    return write_stage(_task_trees(spark, forests).mapInPandas(grow, f"{GROWN}, {SCORED}"), "trees")
+
+
+def _confusion_of_totals(scored: DataFrame) -> dict[int, dict[str, int]]:
+    """tp, fp, fn and tn of each forest from the totals that its trees gave in several tasks."""
+
+    def count(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("first")
+        total = sum(np.frombuffer(t, np.float64) for t in rows["total"])
+        yes, hit = total / rows["trees"].sum() > 0.5, np.frombuffer(rows["y"].iloc[0], np.int8) == 1
+        sums = [int(x.sum()) for x in (yes & hit, yes & ~hit, ~yes & hit, ~yes & ~hit)]
+        return pd.DataFrame([(rows["forest"].iloc[0], *sums)], columns=["forest", "tp", "fp", "fn", "tn"])
+
+    kinds = "forest int, tp bigint, fp bigint, fn bigint, tn bigint"
+    counted = scored.select("forest", "first", "trees", "y", "total").groupBy("forest").applyInPandas(count, kinds)
+    return {r["forest"]: {k: r[k] for k in ("tp", "fp", "fn", "tn")} for r in counted.collect()}
 
 
 def _pairs(trees: DataFrame, blocks: DataFrame, n_blocks: int, group_trees: int) -> DataFrame:
-    """Every group of trees beside every run of blocks: rows of trees first, then those of blocks, in the same partition."""
-    runs = -(-n_blocks // IN_TURN)
-    n_groups = max(1, -(-trees.count() // group_trees))
+    """Every group of trees beside every run of blocks: rows of trees first, then those of blocks, in the same partition.
+
+    Trees are repeated for each run, so there are no more runs than keep all tasks busy, however many blocks there are.
+    """
+    size = sum(F.octet_length(c) for c in Tree.KINDS)
+    n_trees, n_bytes = trees.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    n_groups = max(1, -(-n_trees // group_trees), -(-n_bytes // SCORED_BYTES))
+    wanted = -(-4 * trees.sparkSession.sparkContext.defaultParallelism // n_groups)
+    in_turn = max(IN_TURN, -(-n_blocks // wanted))
+    runs = -(-n_blocks // in_turn)
     every_run = F.explode(F.sequence(F.lit(0), F.lit(runs - 1)))
     every_group = F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1)))
     number = F.pmod(F.xxhash64("forest", "tree"), F.lit(n_groups)).cast("int")
     left = trees.select(number.alias("group"), every_run.alias("run"), F.lit(0).alias("kind"), "*")
-    right = blocks.select(every_group.alias("group"), F.floor(F.col("block") / IN_TURN).cast("int").alias("run"), F.lit(1).alias("kind"), "*")
+    right = blocks.select(every_group.alias("group"), F.floor(F.col("block") / in_turn).cast("int").alias("run"), F.lit(1).alias("kind"), "*")
     both = left.unionByName(right, allowMissingColumns=True)
     return both.repartition(min(n_groups * runs, 10_000), "group", "run").sortWithinPartitions("group", "run", "kind", "block")
 
@@ -523,10 +651,12 @@ def _grow_by_level(blocks: DataFrame, n_blocks: int, forests: Sequence[Forest],
         trees = following
     parts = "forest int, tree int, w0 double, w1 double, number bigint, bins binary, y binary, drawn binary"
     below = _pairs(trees, blocks, n_blocks, SCORED_TREES).mapInPandas(rows_below, parts)
-    done = f"forest int, tree int, w0 double, w1 double, {STORED}"
-    ends = below.groupBy("forest", "tree", "number").applyInPandas(finish, done)
-    names = [c.strip().split()[0] for c in done.split(",")]
-    return write_stage(trees.select(*names).unionByName(ends).groupBy("forest", "tree").applyInPandas(whole, done), "trees")
+    ends = below.groupBy("forest", "tree", "number").applyInPandas(finish, GROWN)
+    return write_stage(trees.select(*_names(GROWN)).unionByName(ends).groupBy("forest", "tree").applyInPandas(whole, GROWN), "trees")
+
+
+def _names(kinds: str) -> list[str]:
+    return [c.split()[0] for c in kinds.split(", ")]
 
 
 def _slot(features: np.ndarray, feature: np.ndarray) -> np.ndarray:
@@ -544,18 +674,45 @@ def _next_node(tree: Tree, bins: np.ndarray) -> np.ndarray:
     return np.where(feature == LEAF, 0, 2 * tree.node[end] + side)
 
 
-def grow(blocks: DataFrame, forests: Sequence[Forest], binning: Binning, local_rows: int = LOCAL_ROWS, local_bytes: int = LOCAL_BYTES) -> DataFrame:
+def _is_whole(blocks: DataFrame, local_rows: int, local_bytes: int) -> tuple[bool, int]:
+    """(whether blocks are few enough to be sent to all tasks, number of blocks)."""
+    size = F.octet_length("bins") + F.octet_length("labels") + F.octet_length("folds") + F.octet_length("rows")
+    n_rows, n_bytes, n_blocks = blocks.agg(F.sum("n"), F.sum(size), F.max("block") + 1).first()
+    return n_rows <= local_rows and n_bytes <= local_bytes, n_blocks
+
+
+def grow(blocks: DataFrame, forests: Sequence[Forest], binning: Binning, local_rows: int = WHOLE_ROWS, local_bytes: int = LOCAL_BYTES) -> DataFrame:
     """(forest, tree, w0, w1 and the arrays of a Tree) of all trees of all forests: a table.
 
     blocks comes from pack_rows. The forests share every scan of it. A table of at most local_rows rows and
     local_bytes bytes is sent to all tasks, which then grow whole trees; the trees are the same either way.
     """
-    size = F.octet_length("bins") + F.octet_length("labels") + F.octet_length("folds") + F.octet_length("rows")
-    n_rows, n_bytes, n_blocks = blocks.agg(F.sum("n"), F.sum(size), F.max("block") + 1).first()
+    whole, n_blocks = _is_whole(blocks, local_rows, local_bytes)
     rows_of = _class_rows(blocks, forests)
-    if n_rows <= local_rows and n_bytes <= local_bytes:
-        return _grow_in_tasks(blocks, forests, rows_of, binning.n_bins)
-    return _grow_by_level(blocks, n_blocks, forests, rows_of, binning.n_bins, local_rows)
+    if whole:
+        return _grow_in_tasks(blocks, forests, rows_of, binning.n_bins, True, False).select(*_names(GROWN))
+    return _grow_by_level(blocks, n_blocks, forests, rows_of, binning.n_bins, min(local_rows, LOCAL_ROWS))
+
+
+def grow_and_score(
+    blocks: DataFrame, forests: Sequence[Forest], binning: Binning, keep_trees: bool = True, local_rows: int = WHOLE_ROWS, local_bytes: int = LOCAL_BYTES
+) -> tuple[DataFrame | None, dict[int, dict[str, int]]]:
+    """(the table of grow, or None unless keep_trees; the confusion of each forest).
+
+    Where whole trees grow in a task they score their rows there, so trees that are only tried are never written.
+    """
+    whole, _ = _is_whole(blocks, local_rows, local_bytes)
+    if whole:
+        made = _grow_in_tasks(blocks, forests, _class_rows(blocks, forests), binning.n_bins, keep_trees, True)
+        sums = _confusion_of_totals(made.filter(F.col("tree") == NO_ROW))
+        trees = made.filter(F.col("tree") != NO_ROW).select(*_names(GROWN))
+    else:
+        trees = grow(blocks, forests, binning, local_rows, local_bytes)
+        sums = confusion(trees, blocks, forests)
+    if keep_trees:
+        return trees, sums
+    drop_stage(trees)
+    return None, sums
 
 
 # --- using forests --------------------------------------------------------------------------------------------------
@@ -581,9 +738,7 @@ def votes(trees: DataFrame, blocks: DataFrame, forests: Sequence[Forest] | None
                         if forests is None:
                             asked[number] = np.arange(len(block.rows))
                         else:
-                            f = forests[number]
-                            fold = TEST if f.without_fold is None else f.without_fold
-                            asked[number] = np.flatnonzero((block.labels[:, f.label] >= 0) & (block.folds[:, f.label] == fold))
+                            asked[number] = block.asked(forests[number])
                         sums[number] = np.zeros((2, len(asked[number])))
                     sums[number] += np.stack([share[tree.end_of(block.bins[asked[number]])], np.ones(len(asked[number]))])
                 for number, (total, n) in sums.items():
