@@ -1,10 +1,12 @@
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from wardlight.operators import neighbours
 from wardlight.operators.neighbours import nearest_neighbours
 from wardlight.operators.resampling import determine_resampling_strategy, non_adaptive_strategy, resample, smote
 
@@ -64,6 +66,18 @@ def test_neighbours_are_exact(spark, options):
     assert got == {f"p{i:03d}": [f"p{j:03d}" for j in np.argsort(d[i])[:5]] for i in range(len(x))}
 
 
+def test_copies_for_cells_are_dealt_in_bounded_slices(spark, monkeypatch):
+    """A task holds a bounded number of values while it copies points to cells, however many cells there are."""
+    batch = pd.DataFrame({"id": [str(i) for i in range(1000)], "features": [[0.0] * 8] * 1000})
+    parts = list(neighbours._slices(iter([batch, batch[:0], batch[:7]]), 2_000, 8))
+    assert max(map(len, parts)) * 2_000 * 8 <= neighbours.HELD_VALUES and sum(map(len, parts)) == 1007
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(f"p{i:03d}", [float(v) for v in r]) for i, r in enumerate(rng.normal(0, 1, (200, 3)))], "id string, features array<double>")
+    want = {tuple(r) for r in nearest_neighbours(df, 4, pivots=9).collect()}
+    monkeypatch.setattr(neighbours, "HELD_VALUES", 100)
+    assert {tuple(r) for r in nearest_neighbours(df, 4, pivots=9).collect()} == want
+
+
 @pytest.mark.parametrize("options", [{}, {"block_rows": 20, "pivots": 9}])
 def test_only_asking_points_get_neighbours(spark, options):
     rng = np.random.default_rng(9)

@@ -26,6 +26,8 @@ POINTS_PER_PIVOT = 4_000
 MAX_PIVOTS = 2_048
 PIVOT_VALUES = 2_000_000
 SLICE = 256
+#: Numbers that a task holds at a time while it deals points to cells: distances to pivots, and values of copies.
+HELD_VALUES = 4_000_000
 SLACK = 1e-7  # relative allowance for rounding, always on the side of keeping more candidates
 
 # Tasks get the functions of this module with the job, so executors need not have the package installed.
@@ -33,13 +35,25 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T), 0.0)
+    out = a @ b.T
+    out *= -2.0
+    out += (a * a).sum(1)[:, None]
+    out += (b * b).sum(1)[None, :]
+    return np.maximum(out, 0.0, out=out)
 
 
 def _matrix(values: pd.Series) -> np.ndarray:
     return np.stack(values.to_numpy()).astype(float)
 
 
+def _slices(batches: Iterator[pd.DataFrame], cells: int, width: int) -> Iterator[pd.DataFrame]:
+    """Rows in slices so small that a distance to every cell, and a copy for every cell, stay within HELD_VALUES."""
+    step = max(1, HELD_VALUES // (cells * (width + 1)))
+    for b in batches:
+        for start in range(0, len(b), step):
+            yield b.iloc[start : start + step]
+
+
 def _nearest(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.DataFrame:
     """k nearest candidates of each query, by (distance, id), the query itself left out."""
     columns = ["id", "nid", "dist"]
@@ -97,7 +111,7 @@ def nearest_neighbours(
     centres = np.array([r["features"] for r in picked], dtype=float)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in filter(len, batches):
+        for b in _slices(batches, len(centres), 1):
             d = np.sqrt(_squared(_matrix(b["features"]), centres))
             cell = d.argmin(axis=1)
             yield b.assign(cell=cell.astype("int32"), dist=d[np.arange(len(b)), cell])
@@ -122,12 +136,12 @@ def nearest_neighbours(
 
     def count_copies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(len(centres), dtype="int64")
-        for b in filter(len, batches):
+        for b in _slices(batches, len(centres), 1):
             total += np.bincount(within(b)[1], minlength=len(centres))
         yield pd.DataFrame({"cell": np.arange(len(centres), dtype="int32"), "n": total})
 
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in filter(len, batches):
+        for b in _slices(batches, len(centres), width):
             row, cell = within(b)
             yield b.iloc[row].assign(cell=cell.astype("int32"))
 
