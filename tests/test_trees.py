@@ -163,6 +163,15 @@ def test_trees_that_are_only_tried_are_scored_where_they_grow(spark, table, monk
     assert len(written) == 1 and written[0].filter(f"tree <> {T.NO_ROW}").isEmpty()
 
 
+def test_rows_that_come_twice_are_scored_once(spark, table):
+    df = spark.createDataFrame(rows() + rows()[:90], ["row_id", "features", "entries"]).selectExpr(
+        "row_id", "features", "transform(entries, e -> named_struct('label', int(e._1), 'y', int(e._2), 'fold', int(e._3))) AS entries"
+    )
+    blocks = T.pack_rows(df, table[0], 2, block_rows=60)
+    trees, sums = T.grow_and_score(blocks, FORESTS, table[0])
+    assert sums == T.confusion(trees, blocks, FORESTS) and sum(sums[1].values()) == 80
+
+
 def test_trees_are_not_repeated_for_every_few_blocks(spark, table):
     """A larger table makes runs of blocks longer, not more of them than tasks."""
     binning, blocks = table

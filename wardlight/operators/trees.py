@@ -455,8 +455,12 @@ def _grow_in_tasks(blocks: DataFrame, forests: Sequence[Forest], rows_of: dict,
         number, first, n, asked, total = None, 0, 0, None, None
 
         def scored() -> pd.DataFrame:
-            y = whole.labels[asked, forests[number].label]
-            return pd.DataFrame([(number, NO_ROW, *no_tree, first, n, y.tobytes(), total.tobytes())], columns=columns)
+            # Rows of the same number are one row, as in votes.
+            rows, place, copies = np.unique(whole.rows[asked], return_inverse=True, return_counts=True)
+            y = np.zeros(len(rows), np.int8)
+            np.maximum.at(y, place, whole.labels[asked, forests[number].label])
+            mean = np.bincount(place, total, len(rows)) / copies
+            return pd.DataFrame([(number, NO_ROW, *no_tree, first, n, y.tobytes(), mean.tobytes())], columns=columns)
 
         for following, tree in wanted:
             forest = forests[following]
